@@ -103,7 +103,7 @@ def interpolate_gaps(
     if mode not in ("linear", "quadratic"):
         raise ValueError(f"unknown mode {mode!r}")
     w, reach = series.window(), longest_gap + 1
-    past, future = w.rowsBetween(-reach, -1), w.rowsBetween(1, reach)
+    past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, reach)
     anchors, fills = [], {}
     for c in columns:
         known = F.col(c).isNotNull()

@@ -22,14 +22,32 @@ def lag_exprs(w: WindowSpec, lags: Mapping[str, Sequence[int]], name: str = "{c}
     return [F.lag(c, n).over(w).alias(name.format(c=c, n=n)) for c, ns in lags.items() for n in ns]
 
 
-def full_mean(w: WindowSpec, c: str, first: int, last: int) -> Column:
-    """Mean over a ROWS frame, null unless every row of the frame has a value."""
-    frame = w.rowsBetween(first, last)
-    return F.when(F.count(c).over(frame) == last - first + 1, F.avg(c).over(frame))
+def with_frame_means(laid: DataFrame, w: WindowSpec, frames: Mapping[str, tuple[str, int, int]]) -> DataFrame:
+    """Means over ROWS frames, null unless every row of the frame has a value.
 
+    ``frames`` maps a name to (column, first, last) relative to the row. A frame is the
+    difference of two running sums of the block, so its width costs nothing; a frame
+    evaluated row by row would read every row once per frame it belongs to.
+    """
+    columns = sorted({c for c, _, _ in frames.values()})
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    sums = [F.sum(F.coalesce(F.col(c), F.lit(0.0))).over(upto).alias(f"__s_{c}") for c in columns]
+    counts = [F.count(c).over(upto).alias(f"__n_{c}") for c in columns]
+    means = []
+    for name, (c, first, last) in frames.items():
+        size = last - first + 1
+
+        def between(kind: str) -> Column:
+            end = F.lag(f"__{kind}_{c}", -last).over(w) if last else F.col(f"__{kind}_{c}")
+            return end - F.coalesce(F.lag(f"__{kind}_{c}", 1 - first).over(w), F.lit(0))
+
+        means.append(F.when(between("n") == size, between("s") / size).alias(name))
+    summed = laid.select("*", *sums, *counts).select("*", *means)
+    return summed.drop(*[f"__{kind}_{c}" for c in columns for kind in "sn"])
 
-def past_mean_exprs(w: WindowSpec, columns: Sequence[str], hours: Sequence[int]) -> list[Column]:
-    return [full_mean(w, c, -k, -1).alias(f"{c}_roll{k}") for c in columns for k in hours]
+
+def past_frames(columns: Sequence[str], hours: Sequence[int]) -> dict[str, tuple[str, int, int]]:
+    return {f"{c}_roll{k}": (c, -k, -1) for c in columns for k in hours}
 
 
 def change_exprs(w: WindowSpec, column: str, shifts: Sequence[int], prefix: str | None = None) -> list[Column]:
@@ -42,27 +60,38 @@ def change_exprs(w: WindowSpec, column: str, shifts: Sequence[int], prefix: str
     return out
 
 
+def head_exprs(w: WindowSpec, lags: Mapping[str, Sequence[int]]) -> list[Column]:
+    """The first rows of a series as one small array per column, held by its first block."""
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.col(IDX) < longest_lag(lags)
+    return [
+        F.collect_list(F.when(first, F.struct(F.col(c).alias("x")))).over(whole).alias(f"__head_{c}") for c in lags
+    ]
+
+
 def padded_lag_exprs(w: WindowSpec, lags: Mapping[str, Sequence[int]], name: str = "{c}_plag{n}") -> list[Column]:
     """Lags as if the first rows of the series stood once more in front of it.
 
     With p = min(largest lag, length), the lag n of row i is x[i-n], or x[p-n+i] for
-    the first rows. Those lie among the first p rows, a small array that only the
-    first block of a series holds.
+    the first rows. Those lie among the first p rows; :func:`head_exprs` must have been
+    selected before.
     """
-    if not lags:
-        return []
-    longest = longest_lag(lags)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    head_size = F.least(F.lit(longest), F.col(LEN))
+    head_size = F.least(F.lit(longest_lag(lags)), F.col(LEN))
     out = []
     for c, ns in lags.items():
-        head = F.collect_list(F.when(F.col(IDX) < longest, F.struct(F.col(c).alias("x")))).over(whole)
         for n in ns:
-            wrapped = F.get(head, (head_size - n + F.col(IDX)).cast("int"))["x"]
+            wrapped = F.get(f"__head_{c}", (head_size - n + F.col(IDX)).cast("int"))["x"]
             out.append(F.when(F.col(IDX) >= n, F.lag(c, n).over(w)).otherwise(wrapped).alias(name.format(c=c, n=n)))
     return out
 
 
+def with_padded_lags(
+    laid: DataFrame, w: WindowSpec, lags: Mapping[str, Sequence[int]], also: Sequence[Column] = ()
+) -> DataFrame:
+    heads = laid.select("*", *head_exprs(w, lags))
+    return heads.select("*", *padded_lag_exprs(w, lags), *also).drop(*[f"__head_{c}" for c in lags])
+
+
 def longest_lag(lags: Mapping[str, Sequence[int]]) -> int:
     return max((max(ns) for ns in lags.values()), default=0)
 
@@ -90,16 +119,17 @@ def past_means(
     df: DataFrame, columns: Sequence[str] = LAG_COLUMNS, hours: Sequence[int] = ROLL_HOURS, series: Series = SITE_HOURS
 ) -> DataFrame:
     """Means of the k rows before each row."""
-    return series.apply(df, past_mean_exprs(series.window(), columns, hours), before=max(hours))
+    laid = series.blocks(df, before=max(hours) + 1)
+    return series.own_rows(with_frame_means(laid, series.window(), past_frames(columns, hours)), IDX in df.columns)
 
 
 def moving_averages(
     df: DataFrame, columns: Sequence[str] = AVERAGE_COLUMNS, size: int = 3, series: Series = SITE_HOURS
 ) -> DataFrame:
     """Means of the last ``size`` rows, the current one included."""
-    w = series.window()
-    means = [full_mean(w, c, 1 - size, 0).alias(f"{c}_ma") for c in columns]
-    return series.apply(df, means, before=size)
+    laid = series.blocks(df, before=size)
+    means = with_frame_means(laid, series.window(), {f"{c}_ma": (c, 1 - size, 0) for c in columns})
+    return series.own_rows(means, IDX in df.columns)
 
 
 def changes(
@@ -117,8 +147,8 @@ def first_differences(df: DataFrame, columns: Sequence[str], series: Series = SI
 def padded_lags(df: DataFrame, lags: Mapping[str, Sequence[int]], series: Series = SITE_HOURS) -> DataFrame:
     """Padded lags of the columns the frame has; unknown column names are skipped."""
     known = {c: list(ns) for c, ns in lags.items() if c in df.columns}
-    longest = longest_lag(known)
-    return series.apply(df, padded_lag_exprs(series.window(), known), before=longest)
+    laid = series.blocks(df, before=longest_lag(known))
+    return series.own_rows(with_padded_lags(laid, series.window(), known), IDX in df.columns)
 
 
 def running_radiation(df: DataFrame, site: str = "branch_id", tm: str = "tm") -> DataFrame:

@@ -29,7 +29,7 @@ def exact_quantiles(
     """One row per key with linearly interpolated quantiles; null values and rows
     with a null key are left out.
 
-    The quantile p of n values lies at position p * (n - 1) of the sorted values.
+    ``slices`` must be a power of two. The quantile p of n values lies at position p * (n - 1) of the sorted values.
     """
     if not keys:
         whole = exact_quantiles(df.withColumn("__all", F.lit(0)), ["__all"], value, quantiles, slices)
@@ -44,8 +44,14 @@ def exact_quantiles(
     sketch = counted.groupBy(*keys).agg(F.percentile_approx("__v", cuts, SKETCH_ACCURACY).alias("__cuts"))
     # a heavy key meets its one sketch row in many tasks
     sliced = salted_join(counted, sketch, keys, F.col("__v"), how="inner")
-    above = F.size(F.filter("__cuts", lambda c: c < F.col("__v")))
-    sliced = sliced.select(*keys, "__v", "__n", above.alias("__slice"))
+    sliced = sliced.withColumn("__slice", F.lit(0))
+    half = slices // 2
+    while half:
+        # binary search: how many cuts lie below the value
+        beyond = F.col("__v") > F.get("__cuts", F.col("__slice") + (half - 1))
+        sliced = sliced.withColumn("__slice", F.col("__slice") + F.when(beyond, half).otherwise(0))
+        half //= 2
+    sliced = sliced.select(*keys, "__v", "__n", "__slice")
 
     weight = sliced.groupBy(*keys, "__slice").agg(F.sum("__n").alias("__w"))
     order = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)

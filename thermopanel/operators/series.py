@@ -74,10 +74,10 @@ class Series:
     def _carried(self, df: DataFrame, totals: Sequence[Column], carries) -> DataFrame:
         """Per-chunk totals, and what the chunks before (or after) each one pass on."""
         names = self._chunk_columns()
-        spec = Window.partitionBy(*self.keys).orderBy(*names)
-        before = spec.rowsBetween(Window.unboundedPreceding, -1)
-        after = spec.rowsBetween(1, Window.unboundedFollowing)
         whole = Window.partitionBy(*self.keys)
+        before = whole.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+        # growing frames only: a frame that shrinks from the far end is evaluated anew per row
+        after = whole.orderBy(*[F.desc(c) for c in names]).rowsBetween(Window.unboundedPreceding, -1)
         summary = df.groupBy(*self.keys, *names).agg(*totals)
         return summary.select(*self.keys, *names, *carries(before, after, whole))
 
@@ -141,18 +141,19 @@ class Series:
             if forward:
                 out += [F.last(f"__l_{c}", ignorenulls=True).over(before).alias(f"__cl_{c}") for c in columns]
             if backward:
-                out += [F.first(f"__f_{c}", ignorenulls=True).over(after).alias(f"__cf_{c}") for c in columns]
+                out += [F.last(f"__f_{c}", ignorenulls=True).over(after).alias(f"__cf_{c}") for c in columns]
             return out
 
         summary = self._carried(cut if source is None else self.chunked(source), totals, carries)
         past = self.chunk_window().rowsBetween(Window.unboundedPreceding, 0)
-        future = self.chunk_window().rowsBetween(0, Window.unboundedFollowing)
+        chunk = Window.partitionBy(*self.keys, *self._chunk_columns())
+        future = chunk.orderBy(*[F.desc(c) for c in self.order]).rowsBetween(Window.unboundedPreceding, 0)
         within = []
         for c in columns:
             if forward:
                 within.append(F.last(c, ignorenulls=True).over(past).alias(f"__wl_{c}"))
             if backward:
-                within.append(F.first(c, ignorenulls=True).over(future).alias(f"__wf_{c}"))
+                within.append(F.last(c, ignorenulls=True).over(future).alias(f"__wf_{c}"))
         out = self._join_carried(cut.select("*", *within), summary)
         out = out.withColumns({
             c: F.coalesce(

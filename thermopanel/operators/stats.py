@@ -22,21 +22,39 @@ def pearson(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], keys: Sequence[str]) -> DataFrame:
+    """(keys, __pair, corr): one row per input row and pair meets one small aggregation.
+
+    Rows are combined before the shuffle, so only one row per group and pair and task
+    travels. Aggregates side by side for every pair would make one huge generated method.
+    """
+    entries = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        entries.append(F.struct(F.lit(i).alias("__pair"), F.when(both, x).alias("__x"), F.when(both, y).alias("__y")))
+    long = df.select(*keys, F.inline(F.array(*entries)))
+    return long.groupBy(*keys, "__pair").agg(pearson("__x", "__y").alias("corr"))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Every pair of columns in one aggregation, one row per pair and group."""
+    """Pearson correlation of every two columns over the rows that have both: (keys, a, b, corr)."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.groupBy(*keys).agg(*[pearson(a, b).alias(f"__{a}__{b}") for a, b in pairs])
-    entries = []
-    for a, b in pairs:
-        for x, y in {(a, b), (b, a)}:
-            entries.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"__{a}__{b}").alias("corr")))
-    return wide.select(*keys, F.inline(F.array(*entries)))
+    half = _pair_correlations(df, pairs, keys)
+    first = F.get(F.array(*[F.lit(a) for a, _ in pairs]), F.col("__pair"))
+    second = F.get(F.array(*[F.lit(b) for _, b in pairs]), F.col("__pair"))
+    named = half.select(*keys, first.alias("a"), second.alias("b"), "corr")
+    both_ways = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    )
+    return named.select(*keys, "corr", F.inline(both_ways))
 
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Correlation of each column with the target: (keys, feature, corr)."""
-    wide = df.groupBy(*keys).agg(*[pearson(c, target).alias(c) for c in columns])
-    return wide.unpivot(list(keys), list(columns), "feature", "corr")
+    long = _pair_correlations(df, [(c, target) for c in columns], keys)
+    feature = F.get(F.array(*[F.lit(c) for c in columns]), F.col("__pair"))
+    return long.select(*keys, feature.alias("feature"), "corr")
 
 
 def correlation_difference(

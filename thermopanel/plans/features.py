@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermopanel import rules
@@ -85,33 +85,45 @@ def group_frame(
         wanted = {c: n for c, n in wanted.items() if c in lag_columns}
     readings = [*present(df, WEATHER), "wd_rad", "wd_sin", "wd_cos"]
     w, longest = GROUP_SITES.window(), lags.longest_lag(wanted)
-    listed = lags.padded_lag_exprs(w, wanted) if padded else lags.lag_exprs(w, wanted, "{c}_plag{n}")
+    means, widest = lags.past_frames(lags.LAG_COLUMNS, lags.ROLL_HOURS), max(lags.ROLL_HOURS) + 1
     general = lags.lag_exprs(w, {c: lags.LAG_HOURS for c in lags.LAG_COLUMNS})
-    general += lags.past_mean_exprs(w, lags.LAG_COLUMNS, lags.ROLL_HOURS)
+
+    def with_listed(laid: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
+        if padded:
+            return lags.with_padded_lags(laid, w, wanted, also)
+        return laid.select("*", *lags.lag_exprs(w, wanted, "{c}_plag{n}"), *also)
+
+    # the daily flags read their own narrow fill: a summary of the wide frame would compute it twice
+    days = rows.select("cluster_key", "branch_id", "tm", "date", "ta")
+    if fill:
+        days = cleaning.fill_residual(days, ["ta"], across_groups=fill == "group", source=days)
+    flags = joins.daily_temperature_flags(days)
+
     if fill == "group":
         base = df.columns
-        df = GROUP_SITES.apply(df, listed, before=longest)
+        df = GROUP_SITES.own_rows(with_listed(GROUP_SITES.blocks(df, before=longest)), indexed=True)
         new = [c for c in df.columns if c not in base]
         df = cleaning.fill_residual(df, readings + new, across_groups=True)
-        if decompose and cluster != 2:
-            df = site_trend(df, "ta", rows)
-        df = GROUP_SITES.apply(df, general, before=max(lags.ROLL_HOURS))
+    elif fill == "site":
+        df = GROUP_SITES.fill(df, readings, True, True, source=rows)
+    if decompose and cluster != 2:
+        df = site_trend(df, "ta" if fill else None, rows)
+    df = lags.running_radiation(df)
+    if fill == "group":
+        laid = GROUP_SITES.blocks(df, before=widest).select("*", *general)
     else:
-        if fill == "site":
-            df = GROUP_SITES.fill(df, readings, True, True, source=rows)
-        if decompose and cluster != 2:
-            df = site_trend(df, "ta" if fill else None, rows)
-        df = GROUP_SITES.apply(df, listed + general, before=max(longest, *lags.ROLL_HOURS))
-    df = lags.running_radiation(df.drop(IDX, LEN))
-    df = joins.with_temperature_flags(joins.with_temperature_zone(df))
-    df = df.withColumns(cal.cyclical_parts()).withColumns(weather.temperature_features())
-    df = df.withColumns({
+        laid = with_listed(GROUP_SITES.blocks(df, before=max(longest, widest)), general)
+    df = GROUP_SITES.own_rows(lags.with_frame_means(laid, w, means))
+    df = joins.join_daily(joins.with_temperature_zone(df), flags).withColumns({
+        **cal.cyclical_parts(),
+        **weather.temperature_features(),
         "rain_intensity": weather.rain_intensity(),
         "day_flag": cal.day_flag("hour"),
         "season_group": cal.season_group("month"),
         "dew_point": weather.dew_point(),
+        "DI_interaction": weather.discomfort_interaction(cal.season_group("month")),
         "heat_demand_log": F.log1p("heat_demand"),
-    }).withColumn("DI_interaction", weather.discomfort_interaction())
+    })
     return cleaning.drop_service_columns(df)
 
 
