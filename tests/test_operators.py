@@ -185,6 +185,26 @@ def test_stl_in_blocks_equals_the_whole_series(spark):
     assert list(b["trend"]) == list(y[:5]) and set(b["seasonal"]) == {0.0}
 
 
+def test_robust_stl_in_blocks_equals_the_whole_series(spark):
+    n, period = 700, 6
+    y = wave(n, period)
+    y[::50] += 40
+    pdf = pd.DataFrame({"branch_id": "A", "tm": pd.Timestamp("2021-01-01") + pd.to_timedelta(np.arange(n), "h"), "ta": y})
+    lane = Series(span=50, block_rows=200)
+    got = stl.robust_stl(spark.createDataFrame(pdf), "ta", period, 10, 2, 2, lane).toPandas().sort_values("tm")
+    trend, seasonal = stl.stl_arrays(y, period, 2)
+    for _ in range(2):
+        r = np.abs(y - trend - seasonal)
+        share = r / (6 * np.median(r))
+        w = np.where(share <= 0.001, 1.0, np.where(share <= 0.999, (1 - share**2) ** 2, 0.0))
+        trend, seasonal = stl.stl_arrays(y, period, 2, row_weights=w, trend=trend)
+    np.testing.assert_allclose(got["trend"], trend, atol=1e-8)
+    np.testing.assert_allclose(got["seasonal"], seasonal, atol=1e-8)
+    plain = stl.stl_arrays(y, period, 2)[0]
+    base = 10 + 0.01 * np.arange(n)
+    assert np.abs(trend - base)[50:-50].mean() < np.abs(plain - base)[50:-50].mean()
+
+
 # ---- clustering ---------------------------------------------------------------
 def test_silhouette_checks_its_bound(spark):
     df = spark.range(20).select((F.col("id") % 2).alias("l"), F.array(F.col("id").cast("double")).alias("v"))

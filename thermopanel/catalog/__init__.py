@@ -66,5 +66,5 @@ NIGHTS_SQL = f"{values(rules.night_rules())} AS n(site, start_md, end_md, night_
 def load() -> None:
     """Import every module of the catalog."""
     from thermopanel.catalog import (  # noqa: F401
-        aggregates, cleaning, clustering, features, files, joins, modelling, series, sorting, statistics,
+        aggregates, cleaning, clustering, features, files, jobs, joins, modelling, series, sorting, statistics,
     )

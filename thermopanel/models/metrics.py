@@ -38,13 +38,9 @@ def best_models(metrics: DataFrame, group: str = "cluster_key") -> DataFrame:
 
 
 def pooled_best_metrics(predictions: DataFrame, group: str = "cluster_key") -> DataFrame:
-    """Scores over the validation rows of each group's best model together.
-
-    The best-model table has one row per model group (a handful), so the semi join
-    keeps predictions where they are.
-    """
+    """Scores over the validation rows of each group's best model together."""
     best = best_models(regression_metrics(predictions, [group, "model"]), group)
-    return regression_metrics(predictions.join(F.broadcast(best), [group, "model"], "left_semi"))
+    return regression_metrics(predictions.join(best, [group, "model"], "left_semi"))
 
 
 def overall_best(metrics: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from thermopanel.functions.calendar import is_long_summer
 from thermopanel.operators.series import IDX, LEN, Series
 
-#: all sites in one time order
-PANEL_ORDER = Series(keys=(), order=("tm", "branch_id"), axis="tm", span=168)
+#: all sites in one time order; a chunk is one hour of all sites
+PANEL_ORDER = Series(keys=(), order=("tm", "branch_id"), axis="tm", span=1)
 HASH_SLOTS = 10_000
 
 

@@ -70,6 +70,8 @@ def hour_spine(df: DataFrame, keys: Sequence[str] = ("branch_id",), tm: str = "t
     """Every hour from the first to the last of each group, expanded by day, then by hour."""
     ends = df.groupBy(*keys).agg(F.min(tm).alias("__a"), F.max(tm).alias("__b"))
     days = ends.select("*", F.explode(F.expr("sequence(to_date(__a), to_date(__b))")).alias("__day"))
+    # spread the days, so that a long series is not expanded by one task
+    days = days.repartition(*keys, "__day")
     hours = days.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("__h"))
     stamped = hours.withColumn(tm, F.expr("cast(__day as timestamp) + make_dt_interval(0, __h)"))
     return stamped.filter(F.col(tm).between(F.col("__a"), F.col("__b"))).select(*keys, tm)

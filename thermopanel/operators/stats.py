@@ -99,7 +99,7 @@ def strong_common_features(
         F.avg(F.abs("corr")).alias("mean_abs_corr"), F.count_distinct(site).alias("__sites")
     )
     sites = long.groupBy(season).agg(F.count_distinct(site).alias("__all"))
-    joined = found.join(F.broadcast(sites), season).filter(F.col("__sites") == F.col("__all"))
+    joined = found.join(sites, season).filter(F.col("__sites") == F.col("__all"))
     return joined.select(season, "feature", "mean_abs_corr").orderBy(season, F.desc("mean_abs_corr"), "feature")
 
 
