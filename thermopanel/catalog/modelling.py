@@ -229,7 +229,7 @@ def _(spark, d):
 
 @query(
     "residual_histogram_ml16",
-    f"{WITH_PREDICTED}, res AS (SELECT y - prediction AS residual FROM predicted WHERE model = 'flat') "
+    f"{WITH_PREDICTED}, res AS (SELECT y - prediction AS residual FROM predicted WHERE model = 'flat'), "
     + histogram_sql("residual", "res", 50), "bin_start",
 )
 def _(spark, d):

@@ -38,9 +38,35 @@ def best_models(metrics: DataFrame, group: str = "cluster_key") -> DataFrame:
 
 
 def pooled_best_metrics(predictions: DataFrame, group: str = "cluster_key") -> DataFrame:
-    """Scores over the validation rows of each group's best model together."""
-    best = best_models(regression_metrics(predictions, [group, "model"]), group)
-    return regression_metrics(predictions.join(best, [group, "model"], "left_semi"))
+    """Scores over the validation rows of each group's best model together.
+
+    One pass reduces every (group, model) to its size, means and spreads; the best
+    ones are then pooled from those, without going back to the predictions.
+    """
+    y, error = F.col("y"), F.col("y") - F.col("prediction")
+    parts = predictions.groupBy(group, "model").agg(
+        F.count(error).alias("n"), F.avg(F.abs(error)).alias("mae"), F.avg(error * error).alias("mse"),
+        F.avg(y).alias("my"), F.var_pop(y).alias("vy"), F.avg(error).alias("me"), F.var_pop(error).alias("ve"),
+        F.min(y).alias("low"), F.avg(F.abs(F.try_divide(error, y))).alias("share"),
+    )
+    columns = [c for c in parts.columns if c not in (group, "model")]
+    chosen = parts.groupBy(group).agg(F.min_by(F.struct(*columns), F.struct("mse", "model")).alias("p")).select("p.*")
+    whole = F.sum("n")
+
+    def pooled(c: str) -> Column:
+        return F.sum(F.col("n") * F.col(c)) / whole
+
+    def pooled_variance(mean: str, variance: str) -> Column:
+        return pooled(variance) + F.sum(F.col("n") * F.col(mean) * F.col(mean)) / whole - pooled(mean) * pooled(mean)
+
+    return chosen.agg(
+        pooled("mae").alias("MAE"),
+        pooled("mse").alias("MSE"),
+        F.sqrt(pooled("mse")).alias("RMSE"),
+        (1 - F.try_divide(pooled("mse"), pooled_variance("my", "vy"))).alias("R2"),
+        (1 - F.try_divide(pooled_variance("me", "ve"), pooled_variance("my", "vy"))).alias("EVS"),
+        F.when(F.min("low") > 0, pooled("share")).alias("MAPE"),
+    )
 
 
 def overall_best(metrics: DataFrame) -> DataFrame:

@@ -145,17 +145,16 @@ def wind_rose(df: DataFrame, wd: str = "wd", width: int = 10, by: Sequence[str]
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between minimum and maximum, the last one closed."""
-    ends = df.agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"))
-    known = df.select(column).filter(F.col(column).isNotNull())
-    # equal values are counted before the one-row range table meets them
-    counted = known.groupBy(column).agg(rows().alias("__n")).withColumn("__k", F.lit(0))
-    placed = counted.join(F.broadcast(ends.withColumn("__k", F.lit(0))), "__k")
-    width = (F.col("__hi") - F.col("__lo")) / bins
-    place = F.least(F.floor(F.try_divide(F.col(column) - F.col("__lo"), width)), F.lit(bins - 1))
-    binned = placed.withColumn("bin", F.coalesce(place, F.lit(0)).cast("int"))
-    return binned.groupBy("bin").agg(
-        F.sum("__n").alias("count"), F.first(F.col("__lo") + F.col("bin") * width).alias("bin_start")
+    """Equal-width bins between minimum and maximum, the last one closed; empty bins count 0."""
+    known = df.select(F.col(column).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    low, high = known.agg(F.min("__v")).scalar(), known.agg(F.max("__v")).scalar()
+    placed = known.select("__v", low.alias("__lo"), ((high - low) / bins).alias("__width"))
+    place = F.least(F.floor(F.try_divide(F.col("__v") - F.col("__lo"), F.col("__width"))), F.lit(bins - 1))
+    counts = placed.groupBy(F.coalesce(place, F.lit(0)).cast("int").alias("bin")).agg(rows().alias("count"))
+    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    start = low + F.col("bin") * ((high - low) / bins)
+    return spine.join(counts, "bin", "left").select(
+        "bin", F.coalesce("count", F.lit(0)).alias("count"), start.alias("bin_start")
     )
 
 

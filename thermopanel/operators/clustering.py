@@ -48,9 +48,9 @@ def silhouette(points: DataFrame, vector: str, label: str, max_points: int = MAX
     n = points.select(label).limit(max_points + 1).count()
     if n > max_points:
         raise ValueError(f"more than {max_points} points: use squared_silhouette")
-    tagged = points.select(F.col(label).alias("__l"), F.col(vector).alias("__v"), F.lit(0).alias("__k"))
-    every = tagged.agg(F.collect_list(F.struct("__l", "__v")).alias("__all"), F.count_distinct("__l").alias("__n_l"))
-    joined = tagged.join(F.broadcast(every.withColumn("__k", F.lit(0))), "__k")
+    tagged = points.select(F.col(label).alias("__l"), F.col(vector).alias("__v"))
+    every = tagged.agg(F.collect_list(F.struct("__l", "__v"))).scalar()
+    joined = tagged.withColumn("__all", every)
     labels = F.array_sort(F.array_distinct(F.transform("__all", lambda p: p["__l"])))
 
     def mean_to(l: Column) -> Column:
@@ -87,11 +87,11 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def _groups_array(moments: DataFrame, max_groups: int) -> DataFrame:
-    """All group moments as one array; the number of groups is checked first."""
+def _groups_array(moments: DataFrame, max_groups: int) -> Column:
+    """All group moments as one array value; the number of groups is checked first."""
     if moments.select("label").limit(max_groups + 1).count() > max_groups:
         raise ValueError(f"more than {max_groups} groups")
-    return moments.agg(F.collect_list(F.struct("label", "n", "s", "q")).alias("__g")).withColumn("__k", F.lit(0))
+    return moments.agg(F.collect_list(F.struct("label", "n", "s", "q"))).scalar()
 
 
 def squared_silhouette(points: DataFrame, vector: str, label: str, max_groups: int = 1000) -> DataFrame:
@@ -101,10 +101,8 @@ def squared_silhouette(points: DataFrame, vector: str, label: str, max_groups: i
     |x|^2 - 2 x.s/n + q/n.
     """
     groups = _groups_array(group_moments(points, vector, label), max_groups)
-    tagged = points.select(
-        F.col(label).alias("__l"), F.transform(vector, lambda x: x.cast("double")).alias("__v"), F.lit(0).alias("__k")
-    )
-    joined = tagged.join(F.broadcast(groups), "__k").withColumn("__xx", _dot(F.col("__v"), F.col("__v")))
+    tagged = points.select(F.col(label).alias("__l"), F.transform(vector, lambda x: x.cast("double")).alias("__v"))
+    joined = tagged.withColumns({"__g": groups, "__xx": _dot(F.col("__v"), F.col("__v"))})
 
     def total_to(g: Column) -> Column:
         total = g["n"] * F.col("__xx") - 2 * _dot(F.col("__v"), g["s"]) + g["q"]
@@ -135,17 +133,14 @@ def dispersion_scores(points: DataFrame, vector: str, label: str, max_groups: in
     calinski = F.try_divide(between * (n - k), within * (k - 1))
 
     # mean distance to the own centroid needs one more pass over the points
-    tagged = points.select(
-        F.col(label).alias("__l"), F.transform(vector, lambda x: x.cast("double")).alias("__v"), F.lit(0).alias("__k")
-    )
-    to_own = tagged.join(F.broadcast(groups), "__k").select(
+    tagged = points.select(F.col(label).alias("__l"), F.transform(vector, lambda x: x.cast("double")).alias("__v"))
+    to_own = tagged.withColumn("__g", groups).select(
         "__l", _distance(F.col("__v"), centroid(F.element_at(F.filter("__g", lambda g: g["label"] == F.col("__l")), 1)))
         .alias("__d")
     )
-    scatter = to_own.groupBy("__l").agg(F.avg("__d").alias("__s")).agg(
+    both = to_own.groupBy("__l").agg(F.avg("__d").alias("__s")).agg(
         F.map_from_entries(F.collect_list(F.struct("__l", "__s"))).alias("__scatter")
-    )
-    both = groups.join(F.broadcast(scatter.withColumn("__k", F.lit(0))), "__k")
+    ).withColumn("__g", groups)
     spread = lambda g: F.element_at("__scatter", g["label"])
 
     def worst(g: Column) -> Column:

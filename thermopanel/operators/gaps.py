@@ -156,7 +156,7 @@ def interpolate_in_time(df: DataFrame, column: str, series: Series) -> DataFrame
     marked = df.select("*", F.when(F.col(column).isNotNull(), point).alias("__past")).withColumn(
         "__next", F.col("__past")
     )
-    both = series.fill(series.fill(marked, ["__past"]), ["__next"], forward=False, backward=True)
+    both = series.fill(marked, ["__past", "__next"], forward=["__past"], backward=["__next"])
     p, n = F.col("__past"), F.col("__next")
     line = p["v"] + (n["v"] - p["v"]) * F.try_divide(when - p["t"], n["t"] - p["t"])
     value = F.when(F.col(column).isNotNull(), F.col(column)).otherwise(F.coalesce(line, p["v"], n["v"]))

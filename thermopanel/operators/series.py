@@ -124,46 +124,45 @@ class Series:
         return self._drop_chunks(out.drop(*[f"__{p}_{name}" for name in sums for p in "wc"]))
 
     def fill(
-        self, df: DataFrame, columns: Sequence[str], forward: bool = True, backward: bool = False,
-        source: DataFrame | None = None,
+        self, df: DataFrame, columns: Sequence[str], forward: bool | Sequence[str] = True,
+        backward: bool | Sequence[str] = False, source: DataFrame | None = None,
     ) -> DataFrame:
-        """Replace nulls by the last known value, then (if asked) by the next one."""
-        cut = self.chunked(df)
+        """Replace nulls by the last known value, then (if asked) by the next one.
+
+        ``forward`` and ``backward`` may name the columns they are meant for.
+        """
+        chosen = {
+            "f": [c for c in columns if forward is True or (forward and c in forward)],
+            "b": [c for c in columns if backward is True or (backward and c in backward)],
+        }
         place = F.struct(*self.order)
-        totals = []
-        if forward:
-            totals += [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"__l_{c}") for c in columns]
-        if backward:
-            totals += [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"__f_{c}") for c in columns]
+        chunk = Window.partitionBy(*self.keys, *self._chunk_columns())
+        orders = {"f": list(self.order), "b": [F.desc(c) for c in self.order]}
+        pick = {"f": F.max_by, "b": F.min_by}
+        cut = self.chunked(df)
+        totals = [
+            pick[way](c, F.when(F.col(c).isNotNull(), place)).alias(f"__{way}t_{c}") for way in "fb" for c in chosen[way]
+        ]
 
         def carries(before, after, whole):
-            out = []
-            if forward:
-                out += [F.last(f"__l_{c}", ignorenulls=True).over(before).alias(f"__cl_{c}") for c in columns]
-            if backward:
-                out += [F.last(f"__f_{c}", ignorenulls=True).over(after).alias(f"__cf_{c}") for c in columns]
-            return out
+            frame = {"f": before, "b": after}
+            return [
+                F.last(f"__{way}t_{c}", ignorenulls=True).over(frame[way]).alias(f"__{way}c_{c}")
+                for way in "fb" for c in chosen[way]
+            ]
 
         summary = self._carried(cut if source is None else self.chunked(source), totals, carries)
-        past = self.chunk_window().rowsBetween(Window.unboundedPreceding, 0)
-        chunk = Window.partitionBy(*self.keys, *self._chunk_columns())
-        future = chunk.orderBy(*[F.desc(c) for c in self.order]).rowsBetween(Window.unboundedPreceding, 0)
-        within = []
-        for c in columns:
-            if forward:
-                within.append(F.last(c, ignorenulls=True).over(past).alias(f"__wl_{c}"))
-            if backward:
-                within.append(F.last(c, ignorenulls=True).over(future).alias(f"__wf_{c}"))
+        within = [
+            F.last(c, ignorenulls=True)
+            .over(chunk.orderBy(*orders[way]).rowsBetween(Window.unboundedPreceding, 0)).alias(f"__{way}w_{c}")
+            for way in "fb" for c in chosen[way]
+        ]
         out = self._join_carried(cut.select("*", *within), summary)
-        out = out.withColumns({
-            c: F.coalesce(
-                F.col(c),
-                *([F.col(f"__wl_{c}"), F.col(f"__cl_{c}")] if forward else []),
-                *([F.col(f"__wf_{c}"), F.col(f"__cf_{c}")] if backward else []),
-            )
+        filled = {
+            c: F.coalesce(c, *[F.col(f"__{way}{k}_{c}") for way in "fb" if c in chosen[way] for k in "wc"])
             for c in columns
-        })
-        return out.select(*df.columns)
+        }
+        return out.withColumns(filled).select(*df.columns)
 
     # ---- blocks with a halo -------------------------------------------
     def blocks(
