@@ -60,12 +60,12 @@ def change_exprs(w: WindowSpec, column: str, shifts: Sequence[int], prefix: str
     return out
 
 
-def head_exprs(w: WindowSpec, lags: Mapping[str, Sequence[int]]) -> list[Column]:
-    """The first rows of a series as one small array per column, held by its first block."""
+def short_series_exprs(w: WindowSpec, lags: Mapping[str, Sequence[int]]) -> list[Column]:
+    """A series shorter than the largest lag as one array per column; empty for any other."""
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.col(IDX) < longest_lag(lags)
+    short = F.col(LEN) < longest_lag(lags)
     return [
-        F.collect_list(F.when(first, F.struct(F.col(c).alias("x")))).over(whole).alias(f"__head_{c}") for c in lags
+        F.collect_list(F.when(short, F.struct(F.col(c).alias("x")))).over(whole).alias(f"__short_{c}") for c in lags
     ]
 
 
@@ -73,23 +73,28 @@ def padded_lag_exprs(w: WindowSpec, lags: Mapping[str, Sequence[int]], name: str
     """Lags as if the first rows of the series stood once more in front of it.
 
     With p = min(largest lag, length), the lag n of row i is x[i-n], or x[p-n+i] for
-    the first rows. Those lie among the first p rows; :func:`head_exprs` must have been
-    selected before.
+    the first rows. That row lies p-n rows ahead: a constant lead, unless the series is
+    shorter than the largest lag; :func:`short_series_exprs` must have been selected before.
     """
-    head_size = F.least(F.lit(longest_lag(lags)), F.col(LEN))
+    longest = longest_lag(lags)
+    idx, size = F.col(IDX), F.col(LEN)
     out = []
     for c, ns in lags.items():
         for n in ns:
-            wrapped = F.get(f"__head_{c}", (head_size - n + F.col(IDX)).cast("int"))["x"]
-            out.append(F.when(F.col(IDX) >= n, F.lag(c, n).over(w)).otherwise(wrapped).alias(name.format(c=c, n=n)))
+            value = (
+                F.when(idx >= n, F.lag(c, n).over(w))
+                .when(size >= longest, F.lead(c, longest - n).over(w))
+                .otherwise(F.get(f"__short_{c}", (size - n + idx).cast("int"))["x"])
+            )
+            out.append(value.alias(name.format(c=c, n=n)))
     return out
 
 
 def with_padded_lags(
     laid: DataFrame, w: WindowSpec, lags: Mapping[str, Sequence[int]], also: Sequence[Column] = ()
 ) -> DataFrame:
-    heads = laid.select("*", *head_exprs(w, lags))
-    return heads.select("*", *padded_lag_exprs(w, lags), *also).drop(*[f"__head_{c}" for c in lags])
+    arrays = laid.select("*", *short_series_exprs(w, lags))
+    return arrays.select("*", *padded_lag_exprs(w, lags), *also).drop(*[f"__short_{c}" for c in lags])
 
 
 def longest_lag(lags: Mapping[str, Sequence[int]]) -> int:

@@ -30,8 +30,9 @@ IDX, LEN, BLOCK, OWN = "__idx", "__len", "__block", "__own"
 
 #: hours per chunk; a multiple of 24, so a calendar day never straddles two chunks
 SPAN_HOURS = 2016
-#: rows per block without its halo
-BLOCK_ROWS = 4096
+#: rows per block; with a week as halo it stays below 4096, up to which a window keeps
+#: its rows in a plain array (beyond, every frame reads them through a spillable buffer)
+BLOCK_ROWS = 3584
 
 
 @dataclass(frozen=True)

@@ -109,11 +109,9 @@ def group_frame(
     if decompose and cluster != 2:
         df = site_trend(df, "ta" if fill else None, rows)
     df = lags.running_radiation(df)
-    if fill == "group":
-        laid = GROUP_SITES.blocks(df, before=widest).select("*", *general)
-    else:
-        laid = with_listed(GROUP_SITES.blocks(df, before=max(longest, widest)), general)
-    df = GROUP_SITES.own_rows(lags.with_frame_means(laid, w, means))
+    # means first, while rows are narrow: every window node copies whole rows
+    laid = lags.with_frame_means(GROUP_SITES.blocks(df, before=max(longest, widest)), w, means)
+    df = GROUP_SITES.own_rows(laid.select("*", *general) if fill == "group" else with_listed(laid, general))
     df = joins.join_daily(joins.with_temperature_zone(df), flags).withColumns({
         **cal.cyclical_parts(),
         **weather.temperature_features(),
