@@ -108,11 +108,8 @@ def group_frame(
         df = GROUP_SITES.fill(df, readings, True, True, source=rows)
     if decompose and cluster != 2:
         df = site_trend(df, "ta" if fill else None, rows)
-    df = lags.running_radiation(df)
-    # means first, while rows are narrow: every window node copies whole rows
-    laid = lags.with_frame_means(GROUP_SITES.blocks(df, before=max(longest, widest)), w, means)
-    df = GROUP_SITES.own_rows(laid.select("*", *general) if fill == "group" else with_listed(laid, general))
-    df = joins.join_daily(joins.with_temperature_zone(df), flags).withColumns({
+    df = joins.join_daily(joins.with_temperature_zone(lags.running_radiation(df)), flags)
+    scalars = {
         **cal.cyclical_parts(),
         **weather.temperature_features(),
         "rain_intensity": weather.rain_intensity(),
@@ -121,8 +118,13 @@ def group_frame(
         "dew_point": weather.dew_point(),
         "DI_interaction": weather.discomfort_interaction(cal.season_group("month")),
         "heat_demand_log": F.log1p("heat_demand"),
-    })
-    return cleaning.drop_service_columns(df)
+    }
+    # means first, while rows are narrow, as every window node copies whole rows; then all
+    # lags and scalar features in one projection, after the shuffle
+    laid = lags.with_frame_means(GROUP_SITES.blocks(df, before=max(longest, widest)), w, means)
+    added = [*general, *[c.alias(name) for name, c in scalars.items()]]
+    wide = laid.select("*", *added) if fill == "group" else with_listed(laid, added)
+    return cleaning.drop_service_columns(GROUP_SITES.own_rows(wide))
 
 
 def group_frames(raw: DataFrame, keys: Sequence[str] = rules.CLUSTER_KEYS, **options) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
 _TEST_DIRS: dict[str, str] = {}
 
 
@@ -19,6 +20,7 @@ def build_session(app: str = "thermopanel", master: str | None = None, partition
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(CALL_SITES, "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -30,8 +32,14 @@ def build_session(app: str = "thermopanel", master: str | None = None, partition
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Hour stamps are zone-free in the source data, so the session runs in UTC."""
+    """Hour stamps are zone-free in the source data, so the session runs in UTC.
+
+    Recording the call site of every column expression is switched off where the session
+    allows it: a feature frame is built from thousands of them.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.isModifiable(CALL_SITES):
+        spark.conf.set(CALL_SITES, "false")
     return spark
 
 
