@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from thermopanel.llm import pieces, quality, secrets
+from thermopanel.llm import packing, pieces, quality, secrets, toxicity
 from thermopanel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

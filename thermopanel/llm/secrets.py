@@ -49,7 +49,7 @@ RULES = (
     Rule("forge", r"\b(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
     Rule("chat", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web", r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("login", r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@[^\s/]+"),
+    Rule("login", r"[a-z][a-z0-9+.-]{0,20}://[^\s:/@]{1,200}:[^\s:/@]{1,200}@[^\s/]{1,200}"),
 )
 
 #: A query is True (every text), or a frozenset of alternatives; an alternative is a frozenset of trigrams.
