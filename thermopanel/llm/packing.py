@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from thermopanel.llm.common import rows, slices, staged
+from thermopanel.llm.common import Texts, ragged, rows, slices, staged
 
 CAPACITY = 1024
 #: Distinct stretches of text whose ids a task remembers; bounds its memory.
@@ -33,37 +33,95 @@ class Tokens:
     """Ids of texts by the tokenizers library, an end id after each.
 
     Byte-level tokens never run past a space that stands between two visible characters (the space goes with
-    what follows), so a text falls into stretches there, and each distinct stretch is encoded once.
+    what follows), so a text falls into stretches there. Each distinct stretch of a slice goes to the library once,
+    many in one call with the tokenizer's special token between them.
     """
 
+    #: Bytes known to be visible: printable ASCII and the bytes of longer characters, but see ``_visible``.
+    PRINTABLE = np.zeros(256, bool)
+    PRINTABLE[0x21:0x7F] = True
+    PRINTABLE[0x80:] = True
+    #: First two bytes of characters some of which are white space; such characters count as not visible.
+    DOUBTFUL = ((0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80))
+
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end
-        self.known: dict[str, np.ndarray] = {}
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.between = next((i for i, t in special.items() if t.special), None)
+        self.mark = special[self.between].content if self.between is not None else None
+        self.reset()
+
+    def reset(self) -> None:
+        self.number: dict[int, int] = {}
+        self.pool = np.zeros(0, np.uint32)
+        self.lengths = np.zeros(0, np.int64)
+
+    def _visible(self, data: np.ndarray) -> np.ndarray:
+        out = self.PRINTABLE[data]
+        for a, b in self.DOUBTFUL:
+            at = np.flatnonzero((data[:-1] == a) & (data[1:] == b))
+            for k in range(3):
+                out[np.minimum(at + k, len(data) - 1)] = False
+        return out
+
+    def _stretches(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """First byte of every stretch, and the bounds of each text's stretches."""
+        data = texts.data
+        opens = np.zeros(len(data), bool)
+        if len(data) > 2:
+            seen = self._visible(data)
+            opens[1:-1] = (data[1:-1] == 0x20) & seen[:-2] & seen[2:]
+        # a neighbour in the next text is none
+        opens[texts.offsets[1:-1][texts.offsets[1:-1] < len(data)]] = False
+        ends = texts.offsets[1:] - 1
+        opens[ends[ends >= 0]] = False
+        opens[texts.offsets[:-1][np.diff(texts.offsets) > 0]] = True
+        starts = np.flatnonzero(opens)
+        return starts, np.searchsorted(starts, texts.offsets)
+
+    def _encode(self, stretches: list[bytes]) -> list[np.ndarray]:
+        strings, out = [s.decode() for s in stretches], []
+        for i in range(0, len(strings), 4000):
+            part = strings[i:i + 4000]
+            if self.mark is None or any(self.mark in s for s in part):
+                out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+            else:
+                ids = np.array(self.tokenizer.encode(self.mark.join(part), add_special_tokens=False).ids, np.uint32)
+                out += [x[k > 0:] for k, x in enumerate(np.split(ids, np.flatnonzero(ids == self.between)))]
+        return out
+
+    def flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and the bounds of each text's."""
+        texts = Texts(column)
+        starts, bounds = self._stretches(texts)
+        ends = np.append(starts[1:], len(texts.data)) if len(starts) else starts
+        keys, first, inverse = np.unique(texts.spans(starts, ends), return_index=True, return_inverse=True)
+        if len(self.number) > REMEMBERED:
+            self.reset()
+        new = [k for k, key in enumerate(keys.tolist()) if key not in self.number]
+        if new:
+            data = texts.data.tobytes()
+            found = self._encode([data[starts[first[k]]:ends[first[k]]] for k in new])
+            for k, key in enumerate(keys[new].tolist(), len(self.lengths)):
+                self.number[key] = k
+            self.pool = np.concatenate([self.pool, *found])
+            self.lengths = np.concatenate([self.lengths, [len(x) for x in found]]).astype(np.int64)
+        at = np.fromiter(map(self.number.__getitem__, keys.tolist()), np.int64, len(keys))[inverse]
+        begin = np.cumsum(self.lengths) - self.lengths
+        # the end id of each text is a stretch of its own
+        pool, lengths = np.append(self.pool, np.uint32(self.end)), np.append(self.lengths, 1)
+        begin = np.append(begin, len(self.pool))
+        at = np.insert(at, bounds[1:], len(self.lengths))
+        bounds = bounds + np.arange(len(bounds))
+        ids = ragged(pool, begin[at], lengths[at])
+        return ids, np.concatenate(([0], np.cumsum(lengths[at])))[bounds]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        lists = [self._stretches(t) if t else [] for t in texts]
-        new = list({s for x in lists for s in x}.difference(self.known))
-        for stretch, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[stretch] = np.array(found.ids, "<u4")
-        end = np.array([self.end], "<u4")
-        return [np.concatenate([*map(self.known.__getitem__, x), end]) for x in lists]
-
-    @staticmethod
-    def _stretches(text: str) -> list[str]:
-        parts = text.split(" ")
-        out = [parts[0]]
-        for part in parts[1:]:
-            # joined again unless both neighbours of the space are visible
-            if not part or part[0].isspace() or not out[-1] or out[-1][-1].isspace():
-                out[-1] += " " + part
-            else:
-                out.append(" " + part)
-        return out if out[0] else out[1:]
+        flat, bounds = self.flat(pa.array(texts, pa.string()))
+        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -76,12 +134,12 @@ def pieces_of(docs: DataFrame, path: str, end: int = 2, capacity: int = CAPACITY
     def run(batches):
         tokens = Tokens(path, end)
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+            flat, bounds = tokens.flat(batch.column(1))
+            data = flat.astype("<u4").tobytes()
             out = [
-                (doc_id, k, start, length, zlib.crc32(found[start:start + length].tobytes()))
-                for doc_id, found in zip(ids, tokens.ids(texts))
-                for k, (start, length) in enumerate(cut(len(found), capacity))
+                (doc_id, k, start, length, zlib.crc32(data[4 * (a + start):4 * (a + start + length)]))
+                for doc_id, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist())
+                for k, (start, length) in enumerate(cut(b - a, capacity))
             ]
             yield rows(PIECES, *zip(*out))
 
