@@ -8,7 +8,7 @@ terms are found in one walk, without comparing with each term. A stem matches at
 A hit weighs its term's learned log-odds times a factor for the distance; hits within ``WINDOW`` words of each
 other add up, and a hit in a quotation (quote marks around it, or a word of reporting just before) counts
 ``QUOTED`` of its weight. The strongest window and the sums of exact and misspelled hits are the features of a
-logistic model, fitted on at most ``FIT_ROWS`` labelled rows.
+logistic model, fitted on about ``FIT_ROWS`` labelled rows, chosen by the hash of their id, or on all if there are fewer.
 
 Defined cases: a null or empty text has no hits and gets the score of a text without hits; without both kinds of
 labels every score is 0; repeated rows are scored one by one; no rows give no rows; other columns
@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from thermopanel.llm.common import Texts, keep_rows, per_text, remainder, rows, slices
 
-#: Labelled rows that the logistic model is fitted on, at most; the lexicon is counted over all of them.
+#: Labelled rows that the logistic model is fitted on, on average, if there are more; the lexicon counts all.
 FIT_ROWS = 20_000
 #: Labelled rows whose ids and labels travel as one array; beyond it, documents are joined with the labels.
 LABEL_LIMIT = 2_000_000
 STEM_LENGTHS = (4, 5, 6)
 LEXICON = 400
-LEAST_ODDS = 3.0
+LEAST_ODDS, LEAST_GAIN = 3.0, 0.1
 WINDOW = 12
 QUOTED = 0.3
 THRESHOLD = 0.7
@@ -282,7 +282,10 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON) -> tuple[Lexicon, tuple
         (frozenset(t for t, stem in found if not stem), frozenset(t for t, stem in found if stem)))
     other = {(r["term"], r["stem"]): r["n"] for r in _counted(train.where("toxic = 0"), shared).collect()}
     odds = {k: float(np.log((v + 0.5) / (n_toxic + 1)) - np.log((other.get(k, 0) + 0.5) / (n_other + 1))) for k, v in found.items()}
-    best = sorted((k for k in found if odds[k] > LEAST_ODDS), key=lambda k: (-odds[k] * found[k], -len(k[0]), k))[:size]
+    gain = {k: odds[k] * found[k] for k in found if odds[k] > LEAST_ODDS}
+    # chance words, of near copies for instance, gain far less than the terms that make rows toxic
+    least_gain = LEAST_GAIN * max(gain.values(), default=0.0)
+    best = sorted((k for k in gain if gain[k] >= least_gain), key=lambda k: (-gain[k], -len(k[0]), k))[:size]
     words, stems = {k[0] for k in best if not k[1]}, {}
     for term, stem in best:
         # a stem is kept if it says more than each word and longer stem that begins with it
@@ -331,8 +334,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[L
         for batch in slices(batches):
             yield rows(schema, batch.column(0), *all_features(batch.column(1), shared.value).T)
 
-    # the rows of smallest id hash: a bounded sample that does not depend on the order of the input
-    sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows) if n_toxic + n_other > fit_rows else train
+    # a share of the rows by the hash of their id: no sort, and the same rows in any order of the input
+    share = min(1.0, fit_rows / (n_toxic + n_other))
+    sample = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     table = sample.mapInArrow(measure, schema).toPandas()
     return lexicon, logistic(table[names].to_numpy(), table["toxic"].to_numpy(float))
 
