@@ -74,7 +74,8 @@ def arrow_schema(fields: str) -> pa.Schema:
 
 def rows(fields: str, *columns) -> pa.RecordBatch:
     schema = arrow_schema(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def per_text(docs: DataFrame, keys: str, fields: str, work: Callable[[], Callable[[pa.RecordBatch], dict]],
