@@ -6,9 +6,10 @@ again, so that no stage repeats the work before it.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from thermopanel.llm import quality
+from thermopanel.llm import neardup, packing, quality, secrets, toxicity
 from thermopanel.llm.common import staged, table
 
 
@@ -17,7 +18,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_documents(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality rules", quality_rules)]
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents at or above the toxicity threshold go."""
+    return toxicity.filter_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity of 0.8 or more."""
+    return neardup.filter_documents(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets give way to the name of their kind."""
+    return secrets.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token pieces, each with its place in a sequence."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("toxicity", remove_toxic),
+    ("near-duplicates", near_dedup),
+    ("secret scans", redact_secrets),
+    ("best-fit packing", pack),
+]
 
 #: The stages hold models and tokenizers that SQL cannot express.
 ORACLE_SQL = None
