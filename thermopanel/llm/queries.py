@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from thermopanel.llm import neardup, packing, pieces, quality, secrets, toxicity
+from thermopanel.llm import fingerprints, language_model, neardup, packing, perspectives, pieces, quality, resampling, secrets, toxicity
 from thermopanel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(build):
     return build
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -29,6 +34,24 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.label(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_i_match_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op6_perspective_rotation"] = perspectives.ROTATE_SQL
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
