@@ -259,7 +259,7 @@ def marked(docs: DataFrame, ids: DataFrame, limit: int, name: str) -> tuple[Data
     and carry the answer in a column ``name``.
     """
     ids = ids.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    few = ids.limit(limit + 1).toPandas()["doc_id"].to_numpy(np.int64)
+    few = ids.limit(limit + 1).toArrow().column(0).to_numpy()
     if len(few) <= limit:
         return docs, IdSet(few)
     return docs.join(ids.withColumn(name, F.lit(True)), "doc_id", "left"), None

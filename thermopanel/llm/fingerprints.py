@@ -31,7 +31,7 @@ from thermopanel.llm.common import Texts, finished, rows, slices, staged
 LEAST_IDF, LEAST_DOCUMENTS = math.log(20), 3
 SUBSETS, LEVELS = 8, 9
 HASHES = 1 + SUBSETS * LEVELS
-LEXICON_LIMIT = 4_000_000
+LEXICON_LIMIT = 2_000_000
 #: Rows that one block of the document order holds, about.
 BLOCK_ROWS = 4_000
 
@@ -165,7 +165,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     # lexicon subset of bounded size, as the method has them anyway
     size = terms.count()
     share = min(1.0, LEXICON_LIMIT / max(size, 1))
-    few = terms.where(F.abs(F.xxhash64("term") % (1 << 20)) < int(share * (1 << 20))).toPandas()["term"].to_numpy(np.int64)
+    few = terms.where(F.abs(F.xxhash64("term") % (1 << 20)) < int(share * (1 << 20))).toArrow().column(0).to_numpy()
     known = spark.sparkContext.broadcast(Known(few))
     blocks, n_blocks = ordered_blocks(docs, n)
 
@@ -192,6 +192,8 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, rows=500):
             for doc_id, text, b, halo in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != block:
+                    if len(held) > 1:
+                        yield done(held)
                     held, block = [], b
                 if held and held[-1][2]:
                     continue  # the successor of the block's last row is the first halo row

@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from thermopanel.llm.common import Texts, arrow_schema, remainder, remainder_column, rows, slices, staged
 
-VOCABULARY, CLASSES, HIDDEN = 4094, 64, 16
+VOCABULARY, CLASSES, HIDDEN = 2046, 32, 16
 HEAD = 1 << 16
-WINDOW, LANES = 16, 256
+WINDOW, LANES, SCORED_LANES = 16, 128, 512
 #: Documents of the first model's sample, on average, and tasks that train on from it, at most.
 SAMPLE, SHARDS = 2_000, 64
-RATE = 0.08
+RATE = 0.05
 FOLDS, HELD_OUT = 7, 2
 END, OTHER = 0, 1         # token numbers; vocabulary words follow
 
@@ -85,7 +85,7 @@ class Words:
 
 def gather(counts: DataFrame, n_documents: int) -> Words:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).toPandas()
+    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).toArrow().to_pandas()
     words, c = top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     token = np.where(np.arange(len(words)) < VOCABULARY, np.arange(len(words)) + 2, OTHER)
     inside = c[:VOCABULARY]
@@ -143,7 +143,7 @@ class Network:
             "class": f(hidden, k), "class_bias": np.log(totals / totals.sum()).astype(np.float32),
             "word": f(n, hidden), "word_bias": logs.astype(np.float32),   # rows in order of class
         }
-        self.squares = {name: np.full_like(x, 1e-2) for name, x in self.w.items()}
+        self.squares = {name: np.full_like(x, 1e-3) for name, x in self.w.items()}
 
     def forward(self, inputs: np.ndarray, begins: np.ndarray, h: np.ndarray):
         """States of a window: inputs and begins are (steps, lanes). Returns what the way back needs."""
@@ -196,13 +196,14 @@ class Network:
                 p /= total[:, None]
                 p[np.arange(len(mine)), place] -= 1
                 back[mine] += p @ w["word"][part]
-                self.step("word", p.T @ h, part, len(targets))
-                self.step("word_bias", p.sum(axis=0), part, len(targets))
+                self.step("word", p.T @ h, part)
+                self.step("word_bias", p.sum(axis=0), part)
         return out, back if learn else None
 
-    def step(self, name: str, grad: np.ndarray, part, n: int) -> None:
-        """A step of the method that divides by the root of the squares so far."""
-        grad = np.clip(grad / np.float32(n) * np.float32(WINDOW), -1, 1)
+    def step(self, name: str, grad: np.ndarray, part) -> None:
+        """A step of the method that divides by the root of the squares so far. The gradient is per full window, so
+        the few lanes that run on with long documents take small steps."""
+        grad = np.clip(grad * np.float32(4 / (LANES * WINDOW)), -1, 1)
         self.squares[name][part] += grad * grad
         self.w[name][part] -= np.float32(RATE) * grad / np.sqrt(self.squares[name][part])
 
@@ -230,14 +231,13 @@ class Network:
             dh = dh * (1 - z) + d_rh * r + given[t, :, :2 * n] @ w["gates"].T
             if begins[t].any():
                 dh = np.where(begins[t][:, None], np.float32(0), dh)
-        count = inputs.size
         flat, ids = given.reshape(-1, 3 * n), inputs.reshape(-1)
         order = np.argsort(ids, kind="stable")
         used, first = np.unique(ids[order], return_index=True)
         for name, grad, part in (("gates", gates, ...), ("state", state, ...), ("bias", flat.sum(axis=0), ...),
                                  ("class", self.grads["class"], ...), ("class_bias", self.grads["class_bias"], ...),
                                  ("input", np.add.reduceat(flat[order], first), used)):
-            self.step(name, grad, part, count)
+            self.step(name, grad, part)
         return float(score.sum()), last
 
 
@@ -274,8 +274,8 @@ def train(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> int:
 def score_texts(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log-likelihood of each text's tokens, float64."""
     each = np.zeros(len(tokens))
-    h = np.zeros((LANES, network.hidden), np.float32)
-    for inputs, targets, begins, part, running in windows(tokens, bounds, LANES, 2 * WINDOW):
+    h = np.zeros((SCORED_LANES, network.hidden), np.float32)
+    for inputs, targets, begins, part, running in windows(tokens, bounds, SCORED_LANES, WINDOW):
         states, _, h = network.forward(inputs, begins, h[:running])
         there = part >= 0
         found, _ = network.output(states.reshape(-1, network.hidden)[there.reshape(-1)], targets[there], False)

@@ -78,7 +78,7 @@ def count_buckets(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
         yield rows(schema, full.astype(np.int32), raw[full], target[full])
 
     found = _inputs(docs).mapInArrow(count, schema).groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
+        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow().to_pandas()
     raw, target = np.zeros(buckets), np.zeros(buckets)
     raw[found["bucket"]], target[found["bucket"]] = found["raw"], found["target"]
     return docs, Model(target, raw, ids)

@@ -249,7 +249,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
-    few = known.limit(LABEL_LIMIT + 1).toPandas().sort_values("doc_id")
+    few = known.limit(LABEL_LIMIT + 1).toArrow().to_pandas().sort_values("doc_id")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if len(few) > LABEL_LIMIT:
         return docs.join(known, "doc_id").select("toxic", "text", "doc_id")
@@ -337,7 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[L
     # a share of the rows by the hash of their id: no sort, and the same rows in any order of the input
     share = min(1.0, fit_rows / (n_toxic + n_other))
     sample = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    table = sample.mapInArrow(measure, schema).toPandas()
+    table = sample.mapInArrow(measure, schema).toArrow().to_pandas()
     return lexicon, logistic(table[names].to_numpy(), table["toxic"].to_numpy(float))
 
 
