@@ -16,12 +16,11 @@ from thermopanel.operators.series import Series
 
 # ---- rule tables -----------------------------------------------------------
 def test_rule_tables():
-    assert len(rules.night_rules()) == 19 * 9
-    assert sorted(rules.site_clusters()) == list(rules.SITES) == sorted(rules.TA_BREAKPOINTS)
-    assert {k: max(max(v) for v in rules.lag_config(k).values()) for k in rules.CLUSTER_KEYS} == {
+    assert len(rules.NIGHT_RULES) == 19 * 9
+    assert sorted(rules.SITES) == rules.SITES == sorted(rules.TA_BREAKPOINTS)
+    assert {k: max(max(v) for v in rules.LAG_LISTS[k].values()) for k in rules.CLUSTER_KEYS} == {
         "cluster0": 30, "cluster1": 5, "cluster2_summer": 24, "cluster2_non_summer": 24, "cluster3": 28
     }
-    assert rules.lag_numbers("1-3 8") == [1, 2, 3, 8]
 
 
 def test_boundary_day_belongs_to_both_night_periods(spark):

@@ -75,7 +75,7 @@ def test_all_groups_keep_every_mapped_row(spark, sf_dir):
     raw = panels.obs_season(spark, sf_dir)
     keys = ("cluster1", "cluster2_summer", "cluster2_non_summer")
     got = features.all_groups(raw, keys, decompose=False, lag_columns=["ta"])
-    sites = list(rules.CLUSTER_MEMBERS[1] + rules.CLUSTER_MEMBERS[2])
+    sites = rules.cluster_members(1) + rules.cluster_members(2)
     want = frames.ready_season(spark, sf_dir).filter(F.col("branch_id").isin(sites)).count()
     assert got.count() == want
     assert not got.filter("cluster_key = 'cluster1' AND ta_plag24 IS NOT NULL").head(1)

@@ -58,9 +58,9 @@ def values(rows: Sequence[tuple]) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows) + ")"
 
 
-CLUSTERS_SQL = f"{values(sorted(rules.site_clusters().items()))} AS c(site, cluster_id)"
+CLUSTERS_SQL = f"{values(rules.SITE_CLUSTERS)} AS c(site, cluster_id)"
 BREAKPOINTS_SQL = f"{values([(s, *x) for s, x in rules.TA_BREAKPOINTS.items()])} AS b(site, x0, x1)"
-NIGHTS_SQL = f"{values(rules.night_rules())} AS n(site, start_md, end_md, night_start, night_end)"
+NIGHTS_SQL = f"{values(rules.NIGHT_RULES)} AS n(site, start_md, end_md, night_start, night_end)"
 
 
 def load() -> None:

@@ -208,7 +208,7 @@ def _(spark, d):
     "count(*) AS rows, avg(heat_demand) AS demand FROM ready GROUP BY 1", "demand",
 )
 def _(spark, d):
-    label = weather.member_label("branch_id", list(rules.CLUSTER_MEMBERS[1]), "Cluster 1").alias("cluster")
+    label = weather.member_label("branch_id", rules.cluster_members(1), "Cluster 1").alias("cluster")
     return frames.ready(spark, d).groupBy(label).agg(
         F.count(F.lit(1)).alias("rows"), F.avg("heat_demand").alias("demand")
     )

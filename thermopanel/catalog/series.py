@@ -88,7 +88,7 @@ def _(spark, d):
     return lags.padded_lags(frames.ready(spark, d), PADDED).select("id", *names(PADDED, "{c}_plag{n}"))
 
 
-ROUTED = {key: {"ta": [n for n in rules.lag_config(key)["ta"] if n in (1, 3, 9, 24)]} for key in rules.CLUSTER_KEYS}
+ROUTED = {key: {"ta": [n for n in rules.LAG_LISTS[key]["ta"] if n in (1, 3, 9, 24)]} for key in rules.CLUSTER_KEYS}
 ROUTED_NAMES = sorted({f"ta_plag{n}" for m in ROUTED.values() for n in m["ta"]}, key=lambda s: int(s[7:]))
 
 

@@ -23,7 +23,7 @@ def lag_exprs(w: WindowSpec, lags: Mapping[str, Sequence[int]], name: str = "{c}
 
 
 def with_frame_means(laid: DataFrame, w: WindowSpec, frames: Mapping[str, tuple[str, int, int]]) -> DataFrame:
-    """Means over ROWS frames, null unless every row of the frame has a value.
+    """Means over ROWS frames, null unless every row of the frame has a finite value.
 
     ``frames`` maps a name to (column, first, last) relative to the row. A frame is the
     difference of two running sums of the block, so its width costs nothing; a frame
@@ -31,8 +31,9 @@ def with_frame_means(laid: DataFrame, w: WindowSpec, frames: Mapping[str, tuple[
     """
     columns = sorted({c for c, _, _ in frames.values()})
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    sums = [F.sum(F.coalesce(F.col(c), F.lit(0.0))).over(upto).alias(f"__s_{c}") for c in columns]
-    counts = [F.count(c).over(upto).alias(f"__n_{c}") for c in columns]
+    finite = {c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c)) for c in columns}
+    sums = [F.sum(F.coalesce(finite[c], F.lit(0.0))).over(upto).alias(f"__s_{c}") for c in columns]
+    counts = [F.count(finite[c]).over(upto).alias(f"__n_{c}") for c in columns]
     means = []
     for name, (c, first, last) in frames.items():
         size = last - first + 1

@@ -70,11 +70,14 @@ def loess_filter(near: np.ndarray, kernel: np.ndarray, at: np.ndarray, n: int, r
 
 
 class Loess:
-    """Loess at fixed points of an evenly spaced series; reused while row weights stay."""
+    """Loess at fixed points of an evenly spaced series; reused while row weights stay.
 
-    def __init__(self, n: int, window: int, at: np.ndarray, row_weights: np.ndarray | None = None):
+    ``whole`` is the length of the series that the n points are a piece of: it decides what counts as a slope.
+    """
+
+    def __init__(self, n: int, window: int, at: np.ndarray, row_weights: np.ndarray | None = None, whole: int | None = None):
         self.near, kernel = loess_kernel(n, window, at)
-        self.weights = loess_filter(self.near, kernel, at, n, row_weights)
+        self.weights = loess_filter(self.near, kernel, at, whole or n, row_weights)
 
     def __call__(self, y: np.ndarray) -> np.ndarray:
         return (y[self.near] * self.weights).sum(axis=1)
@@ -87,19 +90,24 @@ def moving_mean(x: np.ndarray, size: int) -> np.ndarray:
 
 def stl_arrays(
     y: np.ndarray, period: int, iterations: int = INNER_ITERATIONS, seasonal_window: int = SEASONAL_WINDOW,
-    row_weights: np.ndarray | None = None, trend: np.ndarray | None = None,
+    row_weights: np.ndarray | None = None, trend: np.ndarray | None = None, first: int = 0, whole: int | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(trend, seasonal) of one piece of an evenly spaced series without gaps."""
+    """(trend, seasonal) of one piece of an evenly spaced series without gaps.
+
+    The piece begins at position ``first`` of a series of ``whole`` points.
+    """
     n = len(y)
+    whole = whole or n
     everywhere = np.arange(n, dtype=float)
-    trend_loess = Loess(n, trend_window(period, seasonal_window), everywhere, row_weights)
-    low_loess = Loess(n, odd_at_least(period + 1), everywhere)
+    trend_loess = Loess(n, trend_window(period, seasonal_window), everywhere, row_weights, whole)
+    low_loess = Loess(n, odd_at_least(period + 1), everywhere, whole=whole)
     phases = []
     for p in range(period):
         count = len(range(p, n, period))
         # one point more on either end, for the averages that follow
         weights = None if row_weights is None else row_weights[p::period]
-        phases.append(Loess(count, seasonal_window, np.arange(-1.0, count + 1.0), weights))
+        in_series = len(range((first + p) % period, whole, period))
+        phases.append(Loess(count, seasonal_window, np.arange(-1.0, count + 1.0), weights, in_series))
     trend = np.zeros(n) if trend is None else trend
     seasonal = np.zeros(n)
     for _ in range(iterations):
@@ -114,6 +122,7 @@ def stl_arrays(
 
 
 PARTS = ("trend", "seasonal", "resid")
+GAP = "__gap"
 
 
 def stl(
@@ -134,19 +143,23 @@ def _one_pass(
 ) -> DataFrame:
     """Inner iterations over blocks; with ``weight`` they start from the trend found before."""
     halo = reach(period, iterations)
+    # one null anywhere leaves the whole series as it is, whichever block it is in
+    gaps = df.groupBy(*series.keys).agg(F.max(F.col(column).isNull() | F.isnan(F.col(column).cast("double"))).alias(GAP))
     laid = series.blocks(df, before=halo, after=halo)
-    helpers = [BLOCK, OWN] if IDX in df.columns else [IDX, LEN, BLOCK, OWN]
+    laid = salted_join(laid, gaps, list(series.keys), F.col(IDX)) if series.keys else laid.crossJoin(gaps)
+    helpers = [BLOCK, OWN, GAP] if IDX in df.columns else [IDX, LEN, BLOCK, OWN, GAP]
     kept = [f for f in laid.schema if f.name not in (*helpers, *PARTS)]
     out_schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in PARTS])
 
     def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(IDX)
         y = pdf[column].to_numpy(dtype=float)
-        if pdf[LEN].iloc[0] >= shortest and not np.isnan(y).any():
+        if pdf[LEN].iloc[0] >= shortest and not pdf[GAP].iloc[0]:
             known = {} if weight is None else {
                 "row_weights": pdf[weight].to_numpy(dtype=float), "trend": pdf["trend"].to_numpy(dtype=float)
             }
-            trend, seasonal = stl_arrays(y, period, iterations, **known)
+            place = {"first": int(pdf[IDX].iloc[0]), "whole": int(pdf[LEN].iloc[0])}
+            trend, seasonal = stl_arrays(y, period, iterations, **known, **place)
         else:
             trend, seasonal = y, np.zeros(len(y))
         pdf = pdf.assign(trend=trend, seasonal=seasonal, resid=y - trend - seasonal)

@@ -69,7 +69,7 @@ def group_frame(
     backward fills look ahead in time: switch both off to train without leakage.
     """
     cluster = int(cluster_key[len("cluster")])
-    sites = list(rules.CLUSTER_MEMBERS[cluster])
+    sites = rules.cluster_members(cluster)
     df = base_frame(raw.filter(F.col("branch_id").isin(sites)), is_test)
     df = with_cluster_key(df.withColumn("cluster_id", F.lit(cluster))).drop("cluster_id")
     if decompose and cluster == 2:
@@ -80,7 +80,7 @@ def group_frame(
     rows = with_cluster_key(rows.withColumn("cluster_id", F.lit(cluster))).filter(own)
     df = GROUP_SITES.row_index(df.filter(own), source=rows)
 
-    wanted = {c: n for c, n in rules.lag_config(cluster_key).items() if c in df.columns}
+    wanted = {c: n for c, n in rules.LAG_LISTS[cluster_key].items() if c in df.columns}
     if lag_columns is not None:
         wanted = {c: n for c, n in wanted.items() if c in lag_columns}
     readings = [*present(df, WEATHER), "wd_rad", "wd_sin", "wd_cos"]

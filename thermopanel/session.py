@@ -46,11 +46,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a session that names none (a local test) gets a folder of this machine.
+    Only a local session that names none (a test) gets a folder of this machine; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _TEST_DIRS:
         _TEST_DIRS[app] = tempfile.mkdtemp(prefix="thermopanel-")
