@@ -33,10 +33,10 @@ from thermopanel.llm.common import Texts, arrow_schema, remainder, remainder_col
 
 VOCABULARY, CLASSES, HIDDEN = 2046, 32, 16
 HEAD = 1 << 16
-WINDOW, LANES, SCORED_LANES = 16, 128, 512
+WINDOW, LANES, SCORED_LANES = 16, 256, 512
 #: Documents of the first model's sample, on average, and tasks that train on from it, at most.
 SAMPLE, SHARDS = 2_000, 64
-RATE = 0.05
+RATE = 0.01
 FOLDS, HELD_OUT = 7, 2
 END, OTHER = 0, 1         # token numbers; vocabulary words follow
 
