@@ -297,6 +297,17 @@ def test_agenda_round_trip():
 
 
 # 8 -------------------------------------------------------------------------------------------------------------
+def test_agendas_side_by_side_equal_the_single_one():
+    agenda = pieces.Agenda(public_tokenizers.path("piece_bpe_32k.model"))
+    many = pieces.ManyAgendas(agenda)
+    letters = np.array(list("▁aaeeinrstthäé中0.-"))
+    rng = np.random.default_rng(5)
+    texts = ["", "▁", "a", *("".join(rng.choice(letters, n)) for n in rng.integers(1, 45, 3000)), "▁the▁", "▁interesting", "\U0001f9ff"]
+    found = many.encode(texts)
+    assert sum(x is not None for x in found) > 2000
+    assert all(x is None or x == agenda.encode(t) for t, x in zip(texts, found))
+
+
 def test_secret_scan_equals_full_scan(spark, docs, nothing):
     for frame in (given(spark, "documents").select("doc_id", "text"), docs.select("doc_id", "text")):
         want = Counter()

@@ -26,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     base = os.path.join(tempfile.gettempdir(), f"corpus-{spark.sparkContext.applicationId}")
     spark.conf.set("spark.checkpoint.dir", base)

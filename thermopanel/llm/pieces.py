@@ -2,7 +2,8 @@
 
 ``Agenda`` encodes a text as the library does: the text becomes symbols (characters), every adjacent pair that
 forms a piece goes on an agenda ordered by score, then by place, and the best pair is merged until none is left.
-Characters without a piece fall back to bytes. No piece of such a vocabulary goes on past a word (none has the
+Characters without a piece fall back to bytes. ``ManyAgendas`` does the same for many short segments at once, each
+round taking the best pair of every segment's agenda; long segments and rare characters go to ``Agenda``. No piece of such a vocabulary goes on past a word (none has the
 space mark after another character), so a text falls into segments - a run of space marks and what
 follows - that are encoded one by one, with the same result; each distinct segment of a slice is encoded once.
 ``Agenda`` checks that property of the vocabulary and encodes whole texts where it does not hold.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,14 @@ class Agenda:
         n = sp.get_piece_size()
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-        self.scores = {self.pieces[i]: sp.get_score(i) for i in plain}
+        self.places = {self.pieces[i]: -sp.get_score(i) for i in plain}
         self.ids = {self.pieces[i]: i for i in plain}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.unknown, self.end = sp.unk_id(), sp.eos_id()
+        self.spoken = frozenset(plain)
         self.silent = {i for i in range(n) if sp.is_control(i)}
+        self.digits = [b"%d " % i for i in range(n)]
         self.by_segment = not any(MARK in p.lstrip(MARK) for p in self.ids)
 
     def encode(self, text: str) -> list[int]:
@@ -50,29 +54,27 @@ class Agenda:
         symbols = list(text)
         n = len(symbols)
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda: list[tuple[float, int, str]] = []
-        scores, push = self.scores, heapq.heappush
-
-        def propose(i: int, j: int) -> None:
-            if i >= 0 and j >= 0:
-                piece = symbols[i] + symbols[j]
-                score = scores.get(piece)
-                if score is not None:
-                    push(agenda, (-score, i, j, piece))
-
-        for i in range(n - 1):
-            propose(i, i + 1)
+        place, push, pop = self.places.get, heapq.heappush, heapq.heappop
+        # (negative score, left symbol, right symbol, piece), the best pair first
+        agenda = [(at, i, i + 1, piece) for i, piece in enumerate(map(add, symbols, symbols[1:])) if (at := place(piece)) is not None]
+        heapq.heapify(agenda)
         while agenda:
-            _, i, j, piece = heapq.heappop(agenda)
+            _, i, j, piece = pop(agenda)
             # stale unless both symbols still stand and make up the piece
             if right[i] != j or not symbols[i] or symbols[i] + symbols[j] != piece:
                 continue
             symbols[i], symbols[j] = piece, ""
-            right[i] = after = right[j]
+            before, after = left[i], right[j]
+            right[i] = after
             if after >= 0:
                 left[after] = i
-            propose(left[i], i)
-            propose(i, after)
+                longer = piece + symbols[after]
+                if (at := place(longer)) is not None:
+                    push(agenda, (at, i, after, longer))
+            if before >= 0:
+                longer = symbols[before] + piece
+                if (at := place(longer)) is not None:
+                    push(agenda, (at, before, i, longer))
         out: list[int] = []
         for symbol in symbols:
             if symbol:
@@ -91,6 +93,8 @@ class Agenda:
         return text[1:] if text.startswith(" ") else text
 
     def plain(self, ids: list[int]) -> str:
+        if self.spoken.issuperset(ids):
+            return "".join(map(self.pieces.__getitem__, ids)).replace(MARK, " ")
         out, held = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -117,11 +121,126 @@ class Agenda:
                 raise ValueError(f"encoding differs from the library's: {segments[i]!r}")
 
 
+class ManyAgendas:
+    """The agendas of many short segments side by side, as arrays.
+
+    Symbols are numbers of pieces. The pairs that form a piece stand in a hash table (pair -> score, piece), so a round
+    is: the best pair of each segment, its merge, and the scores of the merged symbol's two new pairs.
+    """
+
+    LONGEST = 40
+    FREE = np.uint64(2**64 - 1)
+    NEVER = np.float32(np.inf)
+
+    def __init__(self, agenda: Agenda):
+        pieces = list(agenda.ids)
+        self.known = {p: i for i, p in enumerate(pieces)}
+        self.ids = np.array(list(agenda.ids.values()), np.int64)
+        self.letters = np.full(0x110000, -1, np.int32)
+        for p, i in self.known.items():
+            if len(p) == 1:
+                self.letters[ord(p)] = i
+        pairs = [(a, b, i) for p, i in self.known.items() for k in range(1, len(p))
+                 if (a := self.known.get(p[:k])) is not None and (b := self.known.get(p[k:])) is not None]
+        # a piece part of which is no piece is out of reach for the arrays only if that part is one character
+        self.complete = all(self.letters[ord(c)] >= 0 for p in pieces for c in p)
+        left, right, whole = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 3
+        places = np.array([agenda.places[p] for p in pieces], np.float32)
+        self.bits = max(10, int(len(pairs) * 4).bit_length())
+        self.keys = np.full(1 << self.bits, self.FREE)
+        self.score, self.merged = np.full(1 << self.bits, self.NEVER), np.zeros(1 << self.bits, np.int32)
+        keys = self._key(left, right)
+        slot, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[slot[todo]] == self.FREE]
+            self.keys[slot[free]] = keys[free]          # of several the last one stays
+            done = self.keys[slot[todo]] == keys[todo]
+            at = slot[todo[done]]
+            self.score[at], self.merged[at] = places[whole[todo[done]]], whole[todo[done]]
+            todo = todo[~done]
+            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+
+    @staticmethod
+    def _key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Slot of each pair; one that forms no piece gets a free slot, whose score is ``NEVER``."""
+        keys = self._key(left, right)
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        todo = np.flatnonzero((there != keys) & (there != self.FREE))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[slot[todo]]
+            todo = todo[(there != keys[todo]) & (there != self.FREE)]
+        return slot
+
+    def _merge(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merges rows of equally many symbols; returns the symbols and how many stand in each row."""
+        n, width = symbols.shape
+        sizes = np.full(n, width)
+        if width < 2:
+            return symbols, sizes
+        slots = self._find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+        score, slots = self.score[slots].reshape(n, width - 1), slots.reshape(n, width - 1)
+        out, rows = symbols.copy(), np.arange(n)
+        column = np.arange(width)
+        while True:
+            at = score.argmin(axis=1)                     # the leftmost of equals
+            each = np.arange(len(rows))
+            going = score[each, at] < self.NEVER
+            out[rows[~going], :symbols.shape[1]] = symbols[~going]
+            if not going.any():
+                return out, sizes
+            if not going.all():
+                rows, symbols, score, slots, at = rows[going], symbols[going], score[going], slots[going], at[going]
+                each = np.arange(len(rows))
+            sizes[rows] -= 1
+            width = symbols.shape[1] - 1
+            new = self.merged[slots[each, at]]
+            # what is right of the pair moves one place to the left
+            take = column[:width] + (column[:width] > at[:, None])
+            symbols = np.take_along_axis(symbols, take, 1)
+            symbols[each, at] = new
+            if width < 2:
+                out[rows, :width] = symbols
+                return out, sizes
+            take = column[:width - 1] + (column[:width - 1] >= at[:, None])
+            score, slots = np.take_along_axis(score, take, 1), np.take_along_axis(slots, take, 1)
+            for pair in (at - 1, at):
+                some = np.flatnonzero((pair >= 0) & (pair < width - 1))
+                p = pair[some]
+                found = self._find(symbols[some, p], symbols[some, p + 1])
+                score[some, p], slots[some, p] = self.score[found], found
+
+    def encode(self, texts: list[str]) -> list[list[int] | None]:
+        """Ids of each text; None where the text is for ``Agenda``."""
+        out: list[list[int] | None] = [None] * len(texts)
+        if not self.complete:
+            return out
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        for length in np.unique(lengths[(lengths > 0) & (lengths <= self.LONGEST)]).tolist():
+            mine = np.flatnonzero(lengths == length)
+            letters = np.frombuffer("".join([texts[i] for i in mine.tolist()]).encode("utf-32-le"), np.uint32).reshape(-1, length)
+            symbols = self.letters[letters]
+            fit = (symbols >= 0).all(axis=1)
+            mine = mine[fit]
+            found, sizes = self._merge(symbols[fit])
+            for i, size, row in zip(mine.tolist(), sizes.tolist(), self.ids[found].tolist()):
+                out[i] = row[:size]
+        return out
+
+
 class Encoder:
     """Encodes slices of texts; remembers the segments it has met."""
 
     def __init__(self, path: str):
         self.agenda = Agenda(path)
+        self.many = ManyAgendas(self.agenda)
         self.number: dict[bytes, int] = {}
         self._reset()
 
@@ -133,14 +252,14 @@ class Encoder:
 
     def _learn(self, segments: list[bytes]) -> None:
         strings = [s.decode() for s in segments]
-        ids = [self.agenda.encode(s) for s in strings]
+        ids = [self.agenda.encode(s) if found is None else found for s, found in zip(strings, self.many.encode(strings))]
         self.agenda.check(strings, ids)
-        for segment, found in zip(segments, ids):
-            self.number[segment] = len(self.counts)
-            self.counts.append(len(found))
-            self.ids_text.append(b"".join(b"%d " % i for i in found))
-            # a segment's bytes are whole characters, so it decodes apart from the text around it
-            self.plain.append(self.agenda.plain(found).encode())
+        self.number.update(zip(segments, range(len(self.counts), len(self.counts) + len(segments))))
+        self.counts += map(len, ids)
+        digits = self.agenda.digits.__getitem__
+        self.ids_text += [b"".join(map(digits, found)) for found in ids]
+        # a segment's bytes are whole characters, so it decodes apart from the text around it
+        self.plain += [self.agenda.plain(found).encode() for found in ids]
 
     def run(self, column: pa.Array) -> dict:
         mark = MARK.encode()
