@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -56,6 +57,20 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, size: int
             yield batch.slice(start)
 
 
+def released(run: Callable) -> Callable:
+    """``run``, after which the worker hands unused memory back: workers live on from stage to stage, and what one
+    stage left to the allocators would count against the next."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return whole
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """Texts of a batch, null as the empty text."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
@@ -96,7 +111,7 @@ def per_text(docs: DataFrame, keys: str, fields: str, work: Callable[[], Callabl
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
-    return docs.select(*inputs).mapInArrow(run, schema)
+    return docs.select(*inputs).mapInArrow(released(run), schema)
 
 
 def keep_rows(docs: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], np.ndarray]]) -> DataFrame:
@@ -107,7 +122,7 @@ def keep_rows(docs: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], np.
         for batch in slices(batches):
             yield batch.filter(pa.array(np.asarray(step(batch), bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")

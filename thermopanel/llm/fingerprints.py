@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermopanel.llm.common import Texts, finished, rows, slices, staged
+from thermopanel.llm.common import Texts, finished, released, rows, slices, staged
 
 #: Inverse document frequency, ln(N / df): in at least 3 documents of any corpus, and in at most 1 of 20.
 LEAST_IDF, LEAST_DOCUMENTS = math.log(20), 3
@@ -59,7 +59,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
         if len(found):
             yield rows(schema, found.view(np.int64), counts)
 
-    return docs.select("text").mapInArrow(count, schema).groupBy("term").agg(F.sum("df").alias("df"))
+    return docs.select("text").mapInArrow(released(count), schema).groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def lexicon(docs: DataFrame, n: int) -> DataFrame:
@@ -204,4 +204,4 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
     arranged = blocks.repartition(min(n_blocks, 4096), "block").sortWithinPartitions(
         "block", "halo", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    return arranged.mapInArrow(run, FIELDS)
+    return arranged.mapInArrow(released(run), FIELDS)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermopanel.llm.common import Texts, arrow_schema, remainder, remainder_column, rows, slices, staged
+from thermopanel.llm.common import Texts, arrow_schema, released, remainder, remainder_column, rows, slices, staged
 
 VOCABULARY, CLASSES, HIDDEN = 2046, 32, 16
 HEAD = 1 << 16
@@ -57,7 +57,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         if len(found):
             yield rows(schema, found.view(np.int64), counts)
 
-    return docs.select("text").mapInArrow(count, schema).groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select("text").mapInArrow(released(count), schema).groupBy("word").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -317,7 +317,7 @@ def fit(training: DataFrame, words: Words) -> Network:
         total = sum(np.frombuffer(x, np.float64) for x in group.column(2).to_pylist())
         return pa.table({"name": [key[0].as_py()], "tokens": [sum(group.column(1).to_pylist())], "weights": [total.tobytes()]}, schema=arrow_schema(WEIGHTS))
 
-    shards = training.select("text").coalesce(SHARDS).mapInArrow(shard, WEIGHTS)
+    shards = training.select("text").coalesce(SHARDS).mapInArrow(released(shard), WEIGHTS)
     for row in shards.groupBy("name").applyInArrow(added, WEIGHTS).toLocalIterator():
         x = np.frombuffer(row["weights"], np.float64) / row["tokens"]
         network.w[row["name"]] = x.reshape(network.w[row["name"]].shape).astype(np.float32)
@@ -360,7 +360,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 pa.ListArray.from_arrays(cuts, pa.array(rare)))
 
     share = float(np.log10(words.outside + words.outside_distinct + 1))
-    scored = staged(docs.mapInArrow(score, SCORED).withColumn("row", F.monotonically_increasing_id()))
+    scored = staged(docs.mapInArrow(released(score), SCORED).withColumn("row", F.monotonically_increasing_id()))
     # rare words: none is frequent, since the HEAD most frequent are not among them
     rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
     tails = rare.join(counts, "word", "left").groupBy("row").agg(

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermopanel.llm.common import Texts, finished, keep_rows, marked, mixed, rows, slices, staged
+from thermopanel.llm.common import Texts, finished, keep_rows, marked, mixed, released, rows, slices, staged
 
 WORDS = 4
 SIMILARITY = 80           # percent
@@ -154,7 +154,7 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 bits[full], keys[full] = low_bits(found), bands(found).view(np.int64)
             yield rows(SIGNED, batch.column(0), sizes, names[:, 0], names[:, 1], lists(bits), lists(keys))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), SIGNED)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
@@ -180,7 +180,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, similarity:
     return (
         pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "one"}), "a")
         .join(texts.withColumnsRenamed({"doc_id": "b", "text": "other"}), "b")
-        .select("a", "b", "one", "other").mapInArrow(run, schema)
+        .select("a", "b", "one", "other").mapInArrow(released(run), schema)
     )
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from thermopanel.llm.common import Texts, ragged, rows, slices, staged
+from thermopanel.llm.common import Texts, ragged, released, rows, slices, staged
 
 CAPACITY = 1024
 #: Distinct stretches of text whose ids a task remembers; bounds its memory.
@@ -157,7 +157,7 @@ def pieces_of(docs: DataFrame, path: str, end: int = 2, capacity: int = CAPACITY
             ]
             yield rows(PIECES, *zip(*out))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), PIECES)
 
 
 def fullest(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, int]]:
@@ -269,7 +269,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     names = [x.split()[0] for x in PIECES.split(", ")]
-    return numbered(pieces, blocks).select(*names, "number").mapInArrow(place, schema)
+    return numbered(pieces, blocks).select(*names, "number").mapInArrow(released(place), schema)
 
 
 def pack_documents(docs: DataFrame, path: str, end: int = 2, capacity: int = CAPACITY) -> DataFrame:

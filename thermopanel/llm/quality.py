@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermopanel.llm.common import IdSet, Texts, keep_rows, marked, mixed, per_text, rows, slices, texts_column
+from thermopanel.llm.common import IdSet, Texts, keep_rows, marked, mixed, per_text, released, rows, slices, texts_column
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
@@ -77,7 +77,7 @@ def count_buckets(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
         full = np.flatnonzero(raw)
         yield rows(schema, full.astype(np.int32), raw[full], target[full])
 
-    found = _inputs(docs).mapInArrow(count, schema).groupBy("bucket").agg(
+    found = _inputs(docs).mapInArrow(released(count), schema).groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow().to_pandas()
     raw, target = np.zeros(buckets), np.zeros(buckets)
     raw[found["bucket"]], target[found["bucket"]] = found["raw"], found["target"]

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from thermopanel.llm.common import SLICE_ROWS, Texts, per_text, slices
+from thermopanel.llm.common import SLICE_ROWS, Texts, per_text, released, slices
 
 parser = re._parser
 #: Alternatives a character class or a repeat may stand for before it counts as unknown.
@@ -306,4 +306,4 @@ def redact(docs: DataFrame, rules=RULES) -> DataFrame:
                     batch = batch.set_column(n, batch.schema.field(n), pa.array(sizes, batch.column(n).type))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermopanel.llm.common import Texts, keep_rows, per_text, remainder, rows, slices
+from thermopanel.llm.common import Texts, keep_rows, per_text, released, remainder, rows, slices
 
 #: Labelled rows that the logistic model is fitted on, on average, if there are more; the lexicon counts all.
 FIT_ROWS = 20_000
@@ -44,8 +44,9 @@ LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7"
 #: Terms shorter than this are matched exactly; from LONG on, two edits are allowed.
 SHORT, LONG = 4, 8
 BY_DISTANCE = (1.0, 0.8, 0.6)
-#: Words whose match a task remembers; bounds its memory.
-REMEMBERED = 300_000
+#: Words whose match a worker remembers, states of the automaton that it keeps, and terms that a task counts before it
+#: passes them on; these bound its memory.
+REMEMBERED, STATES, COUNTED = 100_000, 20_000, 300_000
 
 
 def allowed(term: str) -> int:
@@ -158,8 +159,10 @@ class Lexicon:
         """Of the best match of a word, look-alike signs read as letters too."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= REMEMBERED or len(self.sets) >= REMEMBERED:
+            if len(self.sets) >= STATES:
                 self.reset()
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
             found = max(self.match(word), (max((self.stems.get(word[:n], 0.0) for n in STEM_LENGTHS), default=0.0), 0))
             if not word.isalpha():
                 plain = word.translate(LOOKALIKE)
@@ -262,7 +265,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
             chosen = batch.filter(pa.array(toxic >= 0))
             yield rows(schema, toxic[toxic >= 0], chosen.column(1).cast(pa.string()), chosen.column(0))
 
-    return docs.mapInArrow(pick, schema)
+    return docs.mapInArrow(released(pick), schema)
 
 
 def learn_lexicon(train: DataFrame, size: int = LEXICON) -> tuple[Lexicon, tuple[int, int]]:
@@ -313,11 +316,11 @@ def _counted(train: DataFrame, wanted) -> DataFrame:
                     words, stems = words & wanted.value[0], stems & wanted.value[1]
                 found.update((w, False) for w in words)
                 found.update((w, True) for w in stems)
-            if len(found) > REMEMBERED:
+            if len(found) > COUNTED:
                 yield from flush()
         yield from flush()
 
-    return train.mapInArrow(count, schema).groupBy("term", "stem").agg(F.sum("n").alias("n"))
+    return train.mapInArrow(released(count), schema).groupBy("term", "stem").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Lexicon, np.ndarray | None]:
@@ -337,7 +340,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[L
     # a share of the rows by the hash of their id: no sort, and the same rows in any order of the input
     share = min(1.0, fit_rows / (n_toxic + n_other))
     sample = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    table = sample.mapInArrow(measure, schema).toArrow().to_pandas()
+    table = sample.mapInArrow(released(measure), schema).toArrow().to_pandas()
     return lexicon, logistic(table[names].to_numpy(), table["toxic"].to_numpy(float))
 
 
