@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Text handled at once inside a task.
-SLICE_ROWS, SLICE_BYTES = 2_000, 4 << 20
+SLICE_ROWS, SLICE_BYTES = 2_000, 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

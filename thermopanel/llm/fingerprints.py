@@ -139,7 +139,7 @@ def ordered_blocks(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
                 part = batch.take(pa.array(first))
                 yield rows(schema, part.column(0), part.column(1), ((block[first] - 1) % len(limits)).astype(np.int32), np.ones(len(first), bool))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(spread, schema), len(limits)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(spread), schema), len(limits)
 
 
 FIELDS = (

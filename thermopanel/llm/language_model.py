@@ -306,7 +306,7 @@ def fit(training: DataFrame, words: Words) -> Network:
         own.w = {k: x.copy() for k, x in start.w.items()}
         own.squares = {k: x.copy() for k, x in start.squares.items()}
         seen = 0
-        for batch in slices(batches, rows=4_000):
+        for batch in slices(batches, rows=4_000, size=4 << 20):
             tokens, bounds, _ = sequences(Texts(batch.column(0)), table)
             seen += train(own, tokens, bounds)
         if seen:

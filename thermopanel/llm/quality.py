@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, deviations: float = DEVIATIONS) -> t
             llr = measure(column, shared.value, np.ones(len(column), bool))["llr"]
             yield rows(schema, [len(llr)], [llr.sum()], [(llr ** 2).sum()])
 
-    n, total, squares = _inputs(docs).mapInArrow(sums, schema).agg(F.sum("n"), F.sum("total"), F.sum("squares")).first()
+    n, total, squares = _inputs(docs).mapInArrow(released(sums), schema).agg(F.sum("n"), F.sum("total"), F.sum("squares")).first()
     if not n:
         return docs, shared, float("-inf")
     mean = total / n
