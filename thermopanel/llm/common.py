@@ -18,7 +18,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SLICE_ROWS, SLICE_BYTES = 2_000, 2 << 20
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``SLICE_ROWS`` rows: a batch of texts is held whole by the executor and by its
+    worker, and the operators work on slices of it anyway."""
+    if not 0 < int(spark.conf.get(BATCH)) <= SLICE_ROWS:
+        spark.conf.set(BATCH, str(SLICE_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -36,6 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staged(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: later passes start from files, not from lineage."""
+    small_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -111,6 +123,7 @@ def per_text(docs: DataFrame, keys: str, fields: str, work: Callable[[], Callabl
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
+    small_batches(docs.sparkSession)
     return docs.select(*inputs).mapInArrow(released(run), schema)
 
 
@@ -122,6 +135,7 @@ def keep_rows(docs: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], np.
         for batch in slices(batches):
             yield batch.filter(pa.array(np.asarray(step(batch), bool)))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(released(run), docs.schema)
 
 
