@@ -207,6 +207,24 @@ def test_links_that_the_star_misses(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.label(frame).collect()} == brute_components(texts, 4)
 
 
+def test_rare_shingles_rule_out_only_pairs_that_are_not_similar(spark):
+    rng = np.random.default_rng(3)
+    passage = " ".join(f"p{k}" for k in range(60))
+    # a frequent passage with own endings, near copies of some of them, and texts of other sizes
+    texts = [f"{passage} " + " ".join(f"w{rng.integers(10**6)}" for _ in range(rng.integers(8, 16))) for _ in range(60)]
+    texts += [f"x{i} {t} y{i}" for i, t in enumerate(texts[:15])] + [passage, "p0 p1 p2 p3", "one", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = docs.select("doc_id", F.col("doc_id").alias("component"))
+    found = {tuple(r) for r in neardup.sharing(left, docs, 4, 80).collect()}
+    words = [(t or "").split() for t in texts]
+    sets = [{tuple(w[k:k + 4]) for k in range(max(len(w) - 3, 1))} if w else set() for w in words]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if sets[a] and sets[b]]
+    similar = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert similar and similar <= found and len(found) < len(pairs) // 4
+    same = left.withColumn("component", F.lit(0).cast("long"))
+    assert neardup.sharing(same, docs, 4, 80).count() == 0
+
+
 def test_dedup_awkward_rows(docs, nothing):
     rows = {(r.doc_id, r.component_id, r.n_shingles) for r in neardup.label(docs).collect()}
     assert {r[:2] for r in rows if r[0] in (0, 1, 2)} == {(0, 0), (1, 0), (2, 0)}

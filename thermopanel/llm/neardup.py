@@ -12,8 +12,8 @@ Candidates. ``ROWS`` neighbouring bins make a band, equal bands a bucket. A buck
 edges: its centre with each other member, never all pairs. A candidate is confirmed on full sets. What a
 star can miss is a link between two members that are not linked with its centre. So the components of the stars'
 links are set against the buckets: members of one bucket that are still in different components are compared
-too, if the low bits of their signatures leave it possible. After that no two texts that share a bucket
-remain both unlinked and uncompared.
+too, if their rarest shingles and the low bits of their signatures leave it possible. After that two texts that share a bucket
+are linked, compared, or ruled out.
 
 Components are found by alternating large and small stars over the confirmed links, written to the shared folder
 each round.
@@ -41,6 +41,8 @@ BANDS = PERMUTATIONS * BINS // ROWS
 ATTEMPTS = 64
 #: Ids sent to the tasks as one array (8 bytes each); beyond, documents are joined with them.
 WANTED_LIMIT = 2_000_000
+#: Cells of the table by which shingles are ordered from rare to frequent (8 bytes each).
+RARITY = 1 << 18
 
 
 def shingles(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -162,13 +164,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, similarity:
     schema = "a long, b long"
     pairs = staged(pairs)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    texts, ids = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, WANTED_LIMIT, "__wanted")
-    if ids is not None:
-        shared = docs.sparkSession.sparkContext.broadcast(ids)
-        texts = keep_rows(texts, lambda: lambda batch: shared.value.has(batch.column(0)))
-    else:
-        texts = texts.where("__wanted")
-    texts = staged(texts.select("doc_id", "text"))
+    texts = wanted_texts(docs, wanted)
 
     def run(batches):
         for part in slices(batches, rows=1000, text="one"):
@@ -244,17 +240,71 @@ def links_of(reps: DataFrame, docs: DataFrame, words: int = WORDS, similarity: i
     placed = members.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
     # members that are not their bucket's centre: its star has compared the centre with all others
-    keys = reps.select(*facts, F.transform("bands", lambda b: b.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("keys"), "bands")
-    left = placed.where("doc_id > centre").join(several, "bucket").join(keys, "doc_id").select(
-        "bucket", "component", *facts, "keys", F.array_position("bands", F.col("bucket")).alias("band"))
-    # a pair is compared in the first band it shares, whichever its other buckets are
-    first = F.array_position(F.zip_with("x.keys", "y.keys", lambda a, b: a == b), True) == F.col("x.band")
-    rest = (
-        left.alias("x").join(left.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.doc_id") < F.col("y.doc_id"))
-                             & (F.col("x.component") != F.col("y.component")) & possible(similarity) & first)
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    left = staged(placed.where("doc_id > centre").join(several, "bucket").select("doc_id", "component").distinct())
+    rest = judged(staged(sharing(left, docs, words, similarity)).join(stars, ["a", "b"], "left_anti"))
+    return found.union(staged(confirmed(rest, docs, words, similarity)))
+
+
+def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and text of the documents among ``wanted`` (one column doc_id), written to the shared folder."""
+    texts, ids = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, WANTED_LIMIT, "__wanted")
+    if ids is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(ids)
+        texts = keep_rows(texts, lambda: lambda batch: shared.value.has(batch.column(0)))
+    else:
+        texts = texts.where("__wanted")
+    return staged(texts.select("doc_id", "text"))
+
+
+def sharing(left: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Pairs (a, b) of ``left`` (doc_id, component), components differing, that can be similar by their rare shingles.
+
+    Shingles are put in one order for all texts, rare ones first. Similar sets of m <= n shingles have at least
+    s / (100 + s) * (m + n) in common, so the first one they share is followed by that many in both: it is among the first
+    (100 - s) % of the larger set and among the first (100 - s) / (100 + s) of the smaller. Texts that have only a
+    frequent passage in common never meet, however many they are. The order goes by counts in ``RARITY`` cells;
+    cells that several shingles share make it less sharp, never wrong.
+    """
+    texts = wanted_texts(docs, left.select("doc_id"))
+
+    def count(batches):
+        total = np.zeros(RARITY, np.int64)
+        for batch in slices(batches):
+            total += np.bincount(_cell(shingles(Texts(batch.column(1)), words)[0]), minlength=RARITY)
+        full = np.flatnonzero(total)
+        yield rows("cell long, n long", full, total[full])
+
+    table = texts.mapInArrow(released(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(RARITY, np.int64)
+    counts[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    fields = "doc_id long, shingle long, size long, place long"
+
+    def first(batches):
+        for batch in slices(batches):
+            grams, bounds = shingles(Texts(batch.column(1)), words)
+            sizes = np.diff(bounds)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            grams = grams[np.lexsort((grams, shared.value[_cell(grams)], owner))]
+            place = np.arange(len(grams)) - bounds[owner]
+            keep = 100 * (sizes[owner] - place) >= similarity * sizes[owner]
+            yield rows(fields, batch.column(0).take(pa.array(owner[keep])), grams[keep].view(np.int64), sizes[owner[keep]], place[keep])
+
+    table = staged(texts.mapInArrow(released(first), fields).join(left, "doc_id"))
+    several = table.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    table = staged(table.join(several.select("shingle"), "shingle", "left_semi"))
+    both = similarity * (F.col("x.size") + F.col("y.size"))
+    return (
+        table.where(F.lit(100 + similarity) * (F.col("size") - F.col("place")) >= F.lit(2 * similarity) * F.col("size")).alias("x")
+        .join(table.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
+              & (F.struct("x.size", "x.doc_id") < F.struct("y.size", "y.doc_id"))
+              & (F.lit(100 + similarity) * F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) >= both))
+        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
     )
-    return found.union(staged(confirmed(rest.join(stars, ["a", "b"], "left_anti"), docs, words, similarity)))
+
+
+def _cell(grams: np.ndarray) -> np.ndarray:
+    return (finished(grams) % np.uint64(RARITY)).astype(np.int64)
 
 
 def label(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
