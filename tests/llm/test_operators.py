@@ -269,6 +269,36 @@ def test_fingerprint_blocks_wrap_around(spark, monkeypatch):
         assert r.edited_sha256 == hashlib.sha256(fingerprints.edited(a, b).encode()).hexdigest()
 
 
+def copied_corpus(spark):
+    """One text in a third of the rows, another in a fifth; no text of either kind follows its own kind."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(2500)]
+    text = lambda mark: " ".join([*rng.choice(words, 30), *(f"{mark}{i}" for i in range(20))])
+    big, second = text("big"), text("second")
+    rows = [(i, big if i % 3 == 0 else second if i % 5 == 1 else text(f"own{i}_")) for i in range(300)]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows, big, second
+
+
+def test_a_text_with_many_copies_keeps_its_fingerprint(spark):
+    frame, texts, big, second = copied_corpus(spark)
+    found = {r.doc_id: r for r in fingerprints.fingerprint_documents(frame).collect()}
+    prints = {t: found[i].fingerprint for i, t in texts}
+    assert set(prints[big]) != {"0"} and set(prints[second]) != {"0"} and prints[big] != prints[second]
+    edits = [found[i] for i, t in texts if t == big]
+    assert np.mean([r.near_edited for r in edits]) > 0.1 and all(r.near_next < 0.5 for r in edits)
+
+
+def test_document_frequencies_count_distinct_texts(spark):
+    frame, texts, _, _ = copied_corpus(spark)
+    counted = fingerprints.distinct_texts(frame)
+    copied = fingerprints.shipped(counted.where("count > 1"), 2)
+    assert counted.count() == len({t for _, t in texts})
+    got = Counter((r.df, r.n_rows) for r in fingerprints.document_frequencies(frame, copied).collect())
+    df = Counter(w for t in {t for _, t in texts} for w in set(t.split()))
+    n_rows = Counter(w for _, t in texts for w in set(t.split()))
+    assert got == Counter((df[w], n_rows[w]) for w in df)
+
+
 # 6 -------------------------------------------------------------------------------------------------------------
 def test_rotation_against_a_plain_version(spark):
     turns = [(1, 0, "system", "S"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 3, None, "x" * 9000),

@@ -1,7 +1,9 @@
 """Document fingerprints by I-Match, over several randomised lexicons.
 
-Document frequencies are counted over all documents. Terms whose inverse document frequency lies in the chosen band
-form the lexicon; terms too common or too rare say nothing about near copies. The distinct terms of a document that
+Document frequencies are counted over distinct texts, so that a text with many copies does not make its own terms
+common. Terms whose inverse document frequency lies in the chosen band form the lexicon; terms too common or too rare
+say nothing about near copies. Rare is what stands in few rows, copies included: the terms of a text that has
+copies do tell about them. Only equal texts count once; near copies count as texts of their own. The distinct terms of a document that
 are in the lexicon, sorted, are hashed; and so is what is left of them in each of several random subsets of
 the lexicon. ``SUBSETS`` subsets hold half of the lexicon, as many a quarter, and so on: large ones tell near copies
 apart, small ones hold few terms of a document and still agree when much of it has changed. The fingerprint lists
@@ -23,11 +25,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from thermopanel.llm.common import Texts, finished, released, rows, slices, staged
 
-#: Inverse document frequency, ln(N / df): in at least 3 documents of any corpus, and in at most 1 of 20.
+#: Inverse document frequency, ln(N / df): in at least 3 documents of any corpus, and in at most 1 of 20 distinct texts.
 LEAST_IDF, LEAST_DOCUMENTS = math.log(20), 3
 SUBSETS, LEVELS = 8, 9
 HASHES = 1 + SUBSETS * LEVELS
@@ -36,12 +39,68 @@ LEXICON_LIMIT = 2_000_000
 BLOCK_ROWS = 4_000
 
 
-def document_frequencies(docs: DataFrame) -> DataFrame:
-    """term, df over all documents; each task adds up its own first."""
-    schema = "term long, df long"
+def text_hashes(texts: Texts) -> np.ndarray:
+    """(n, 2) 64-bit values: a 128-bit hash of each text."""
+    digests = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts.column.to_pylist())
+    return np.frombuffer(digests, np.uint64).reshape(-1, 2)
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """a, b, count: the hash of each distinct text and its number of rows."""
+    schema = "a long, b long"
+
+    def run(batches):
+        for batch in slices(batches):
+            yield rows(schema, *text_hashes(Texts(batch.column(0))).view(np.int64).T)
+
+    return docs.select("text").mapInArrow(released(run), schema).groupBy("a", "b").count()
+
+
+def shipped(table: DataFrame, n: int) -> list[Broadcast]:
+    """The ``n`` rows of a table of longs as arrays sorted by the first column, in pieces of about ``LEXICON_LIMIT`` rows:
+    the driver and each worker hold one piece at a time."""
+    pieces = max(1, -(-n // LEXICON_LIMIT))
+    out = []
+    for k in range(pieces):
+        part = table.where(F.pmod(table.columns[0], F.lit(pieces)) == k).toArrow()
+        columns = [c.to_numpy().view(np.uint64) for c in part.columns]
+        order = np.argsort(columns[0])
+        out.append(table.sparkSession.sparkContext.broadcast([c[order] for c in columns]))
+    return out
+
+
+def held(pieces: list[Broadcast]):
+    """Each piece that has rows, in turn; of several, a worker lets go of one before it reads the next."""
+    for piece in pieces:
+        columns = piece.value
+        if len(columns[0]):
+            yield columns
+        del columns
+        if len(pieces) > 1 and getattr(piece, "_path", None):
+            piece.__dict__.pop("_value", None)
+
+
+def copies_of(texts: Texts, copied: list[Broadcast]) -> np.ndarray:
+    """In how many rows each text stands."""
+    out = np.ones(len(texts), np.int64)
+    hashes = None
+    for a, b, counts in held(copied):
+        hashes = text_hashes(texts) if hashes is None else hashes
+        at = np.minimum(np.searchsorted(a, hashes[:, 0]), len(a) - 1)
+        known = (a[at] == hashes[:, 0]) & (b[at] == hashes[:, 1])
+        out[known] = counts[at[known]]
+    return out
+
+
+def document_frequencies(docs: DataFrame, copied: list[Broadcast]) -> DataFrame:
+    """term, df, n_rows: in how many distinct texts and in how many rows; each task adds up its own first.
+
+    Each of the c rows of a text counts as 1 / c of it. What that takes from the rows is summed, mostly 0.
+    """
+    schema = "term long, n_rows long, less double"
 
     def count(batches):
-        found, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        found, counts, less = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
         for batch in slices(batches):
             texts = Texts(batch.column(0))
             keys = texts.hashes(lower=True)
@@ -50,22 +109,27 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
             keys, owner = keys[order], owner[order]
             new = np.ones(len(keys), bool)
             new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-            once, n = np.unique(keys[new], return_counts=True)
+            once, at = np.unique(keys[new], return_inverse=True)
+            n = np.bincount(at, minlength=len(once))
+            more = np.bincount(at, (1 - 1 / copies_of(texts, copied))[owner[new]], len(once))
             found, inverse = np.unique(np.concatenate([found, once]), return_inverse=True)
             counts = np.bincount(inverse, np.concatenate([counts, n]), len(found)).astype(np.int64)
+            less = np.bincount(inverse, np.concatenate([less, more]), len(found))
             if len(found) > 2_000_000:
-                yield rows(schema, found.view(np.int64), counts)
-                found, counts = found[:0], counts[:0]
+                yield rows(schema, found.view(np.int64), counts, less)
+                found, counts, less = found[:0], counts[:0], less[:0]
         if len(found):
-            yield rows(schema, found.view(np.int64), counts)
+            yield rows(schema, found.view(np.int64), counts, less)
 
-    return docs.select("text").mapInArrow(released(count), schema).groupBy("term").agg(F.sum("df").alias("df"))
+    summed = docs.select("text").mapInArrow(released(count), schema).groupBy("term").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("less").alias("less"))
+    return summed.select("term", (F.col("n_rows") - F.round("less").cast("long")).alias("df"), "n_rows")
 
 
-def lexicon(docs: DataFrame, n: int) -> DataFrame:
-    """The terms within the band."""
-    most = max(LEAST_DOCUMENTS, int(n / math.exp(LEAST_IDF)))
-    return document_frequencies(docs).where(F.col("df").between(LEAST_DOCUMENTS, most)).select("term")
+def lexicon(docs: DataFrame, n_texts: int, copied: list[Broadcast]) -> DataFrame:
+    """The terms within the band, of ``n_texts`` distinct texts."""
+    most = max(LEAST_DOCUMENTS, int(n_texts / math.exp(LEAST_IDF)))
+    return document_frequencies(docs, copied).where((F.col("n_rows") >= LEAST_DOCUMENTS) & (F.col("df") <= most)).select("term")
 
 
 def fingerprints(terms: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -157,10 +221,12 @@ def edited(text: str, following: str) -> str:
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """One row per document with its fingerprint, that of its edited text, and their likeness to it."""
     spark = docs.sparkSession
-    n = docs.count()
+    counted = staged(distinct_texts(docs))
+    n_texts, n, n_copied = counted.select(F.count("*"), F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 1)).first()
     if not n:
         return spark.createDataFrame([], FIELDS)
-    terms = staged(lexicon(docs, n))
+    copied = shipped(counted.where("count > 1"), n_copied)
+    terms = staged(lexicon(docs, n_texts, copied))
     # beyond the limit a smaller share of all possible hashes is taken, the same for every document: a random
     # lexicon subset of bounded size, as the method has them anyway
     size = terms.count()
