@@ -299,6 +299,15 @@ def test_document_frequencies_count_distinct_texts(spark):
     assert got == Counter((df[w], n_rows[w]) for w in df)
 
 
+def test_lexicon_in_pieces_is_whole(spark, monkeypatch):
+    frame = copied_corpus(spark)[0]
+    whole = sorted(fingerprints.fingerprint_documents(frame).collect(), key=str)
+    monkeypatch.setattr(fingerprints, "LEXICON_LIMIT", 40)
+    assert sorted(fingerprints.fingerprint_documents(frame).collect(), key=str) == whole
+    monkeypatch.setattr(fingerprints, "LEXICON_LIMIT", 1)
+    assert len(fingerprints.shipped(fingerprints.distinct_texts(frame).where("count > 1"), 2)) == 2
+
+
 # 6 -------------------------------------------------------------------------------------------------------------
 def test_rotation_against_a_plain_version(spark):
     turns = [(1, 0, "system", "S"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 3, None, "x" * 9000),

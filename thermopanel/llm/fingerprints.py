@@ -10,8 +10,8 @@ apart, small ones hold few terms of a document and still agree when much of it h
 the hashes; likeness is the share of equal ones among those where either text has a term.
 
 Terms are 64-bit hashes of lower-cased words. Words with the same hash (a chance of 2**-64 a pair) count as one.
-The lexicon goes to the tasks as one sorted array. A corpus with more than ``LEXICON_LIMIT`` terms in the band (8 bytes
-each) is fingerprinted over a random subset of about that many, one more randomised lexicon.
+The lexicon goes to the tasks whole, as sorted arrays of at most about ``LEXICON_LIMIT`` terms (8 bytes each) of which
+a worker holds one at a time: every slice of texts is looked up in each.
 
 Defined cases: a null text counts as empty; texts without a term in the lexicon share the fingerprint of no
 terms and are like each other alone; ties in doc_id are ordered by text, null ids come first; a single
@@ -34,6 +34,7 @@ from thermopanel.llm.common import Texts, finished, released, rows, slices, stag
 LEAST_IDF, LEAST_DOCUMENTS = math.log(20), 3
 SUBSETS, LEVELS = 8, 9
 HASHES = 1 + SUBSETS * LEVELS
+#: Rows of the lexicon, or of the table of copied texts, that travel and are held at once.
 LEXICON_LIMIT = 2_000_000
 #: Rows that one block of the document order holds, about.
 BLOCK_ROWS = 4_000
@@ -165,18 +166,14 @@ def written(prints: np.ndarray) -> list[str]:
     return [row.astype(">u4").tobytes().hex() for row in prints]
 
 
-class Known:
-    """The lexicon as a sorted array."""
-
-    def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(terms.view(np.uint64))
-
-    def only(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.terms):
-            return np.zeros(len(keys), bool)
-        once, inverse = np.unique(keys, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.terms, once), len(self.terms) - 1)
-        return (self.terms[at] == once)[inverse]
+def among(keys: np.ndarray, terms: list[Broadcast]) -> np.ndarray:
+    """Which keys are in the lexicon."""
+    once, inverse = np.unique(keys, return_inverse=True)
+    found = np.zeros(len(once), bool)
+    for (known,) in held(terms):
+        at = np.minimum(np.searchsorted(known, once), len(known) - 1)
+        found |= known[at] == once
+    return found[inverse]
 
 
 def ordered_blocks(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
@@ -227,28 +224,24 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         return spark.createDataFrame([], FIELDS)
     copied = shipped(counted.where("count > 1"), n_copied)
     terms = staged(lexicon(docs, n_texts, copied))
-    # beyond the limit a smaller share of all possible hashes is taken, the same for every document: a random
-    # lexicon subset of bounded size, as the method has them anyway
-    size = terms.count()
-    share = min(1.0, LEXICON_LIMIT / max(size, 1))
-    few = terms.where(F.abs(F.xxhash64("term") % (1 << 20)) < int(share * (1 << 20))).toArrow().column(0).to_numpy()
-    known = spark.sparkContext.broadcast(Known(few))
+    known = shipped(terms, terms.count())
     blocks, n_blocks = ordered_blocks(docs, n)
 
-    def prints(texts: list[str]) -> np.ndarray:
-        found = Texts(pa.array(texts, pa.string()))
-        keys = found.hashes(lower=True)
-        keep = known.value.only(keys)
-        return fingerprints(keys[keep], found.owners[keep], len(texts))
+    def prints(*groups: list[str]) -> list[np.ndarray]:
+        """Fingerprints of the texts of each group, which are looked up together."""
+        found = [Texts(pa.array(texts, pa.string())) for texts in groups]
+        keys = [texts.hashes(lower=True) for texts in found]
+        keep = np.split(among(np.concatenate(keys), known), np.cumsum([len(k) for k in keys])[:-1])
+        return [fingerprints(k[x], t.owners[x], len(t)) for k, x, t in zip(keys, keep, found)]
 
     def run(batches):
-        held: list[tuple[int, str, bool]] = []
+        kept: list[tuple[int, str, bool]] = []
 
         def done(part: list[tuple[int, str, bool]]):
             """Rows for all but the last of ``part``, each with the next as its successor."""
             texts = [x[1] for x in part]
             changed = [edited(a, b) for a, b in zip(texts, texts[1:])]
-            own, new = prints(texts), prints(changed)
+            own, new = prints(texts, changed)
             return rows(
                 FIELDS, [x[0] for x in part[:-1]], [len(t) for t in texts[:-1]],
                 [hashlib.sha256(t.encode()).hexdigest() for t in changed], written(own[:-1]), written(new),
@@ -258,15 +251,15 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, rows=500):
             for doc_id, text, b, halo in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != block:
-                    if len(held) > 1:
-                        yield done(held)
-                    held, block = [], b
-                if held and held[-1][2]:
+                    if len(kept) > 1:
+                        yield done(kept)
+                    kept, block = [], b
+                if kept and kept[-1][2]:
                     continue  # the successor of the block's last row is the first halo row
-                held.append((doc_id, text or "", halo))
-            if len(held) > 1:
-                yield done(held)
-                held = held[-1:]
+                kept.append((doc_id, text or "", halo))
+            if len(kept) > 1:
+                yield done(kept)
+                kept = kept[-1:]
 
     arranged = blocks.repartition(min(n_blocks, 4096), "block").sortWithinPartitions(
         "block", "halo", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
