@@ -437,6 +437,21 @@ def test_toxicity_of_held_out_rows(spark, docs, labels, nothing):
     assert {r.score for r in toxicity.score_documents(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_lexicon_holds_rare_terms_beside_a_text_with_many_copies(spark):
+    rng = np.random.default_rng(8)
+    words = [f"plain{i}" for i in range(300)]
+    text = lambda *more: " ".join([*rng.choice(words, 12), *more])
+    copied = text("grobian", *(f"{a}{b}only" for a in "bcdfghjklmnpq" for b in "aeiouyrstvw"))
+    rows = [(1, text(f"{'abcdefghij'[i % 10] * 3}slur", *(["rareslur"] if i % 100 == 7 else []))) for i in range(1500)]
+    rows += [(0, text()) for _ in range(4500)] + [(1, copied)] * 3000
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(i, 1, x) for i, (x, _) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    lexicon, _ = toxicity.fit(frame, marks)
+    for term in [f"{x * 3}slur" for x in "abcdefghij"] + ["rareslur"]:
+        assert lexicon.weight(term) > (3.0, 0), term
+    assert not any(lexicon.weight(w)[0] for w in words)
+
+
 # 10 ------------------------------------------------------------------------------------------------------------
 def test_packing_places_every_token_once(spark, docs, nothing):
     library = Tokenizer.from_file(BYTES)

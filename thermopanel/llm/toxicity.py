@@ -1,14 +1,15 @@
 """Toxicity: Levenshtein automata over a lexicon trie, scored in context windows.
 
 The lexicon is learned from the labelled training rows: words, and stems (beginnings of words), that stand in
-far more toxic than other documents. Its terms form a trie. The Levenshtein automaton runs over the trie:
+far more toxic than other documents, each distinct text counted once. A term is taken if its counts are beyond chance
+for so many terms, at whatever rate it stands in the toxic rows. Its terms form a trie. The Levenshtein automaton runs over the trie:
 its states are sets of (trie node, edits so far), and a word is left as soon as no state remains, so misspelled
 terms are found in one walk, without comparing with each term. A stem matches at the start of a longer word.
 
 A hit weighs its term's learned log-odds times a factor for the distance; hits within ``WINDOW`` words of each
 other add up, and a hit in a quotation (quote marks around it, or a word of reporting just before) counts
 ``QUOTED`` of its weight. The strongest window and the sums of exact and misspelled hits are the features of a
-logistic model, fitted on about ``FIT_ROWS`` labelled rows, chosen by the hash of their id, or on all if there are fewer.
+logistic model, fitted on about ``FIT_ROWS`` distinct labelled texts, chosen by their hash, or on all if there are fewer.
 
 Defined cases: a null or empty text has no hits and gets the score of a text without hits; without both kinds of
 labels every score is 0; repeated rows are scored one by one; no rows give no rows; other columns
@@ -25,15 +26,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermopanel.llm.common import Texts, keep_rows, per_text, released, remainder, rows, slices
+from thermopanel.llm.common import Texts, keep_rows, per_text, released, remainder, rows, slices, staged
 
-#: Labelled rows that the logistic model is fitted on, on average, if there are more; the lexicon counts all.
+#: Labelled texts that the logistic model is fitted on, on average, if there are more; the lexicon counts all.
 FIT_ROWS = 20_000
 #: Labelled rows whose ids and labels travel as one array; beyond it, documents are joined with the labels.
 LABEL_LIMIT = 2_000_000
 STEM_LENGTHS = (4, 5, 6)
-LEXICON = 400
-LEAST_ODDS, LEAST_GAIN = 3.0, 0.1
+LEAST_ODDS = 3.0
+#: Terms that chance may add to the lexicon, at most, on average.
+CHANCE = 1.0
 WINDOW = 12
 QUOTED = 0.3
 THRESHOLD = 0.7
@@ -255,77 +257,84 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     few = known.limit(LABEL_LIMIT + 1).toArrow().to_pandas().sort_values("doc_id")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if len(few) > LABEL_LIMIT:
-        return docs.join(known, "doc_id").select("toxic", "text", "doc_id")
+        return docs.join(known, "doc_id").select("toxic", "text")
     table = docs.sparkSession.sparkContext.broadcast(Labels(few["doc_id"].to_numpy(np.int64), few["toxic"].to_numpy(np.int64)))
-    schema = "toxic int, text string, doc_id long"
+    schema = "toxic int, text string"
 
     def pick(batches):
         for batch in slices(batches):
             toxic = table.value.of(batch.column(0))
             chosen = batch.filter(pa.array(toxic >= 0))
-            yield rows(schema, toxic[toxic >= 0], chosen.column(1).cast(pa.string()), chosen.column(0))
+            yield rows(schema, toxic[toxic >= 0], chosen.column(1).cast(pa.string()))
 
     return docs.mapInArrow(released(pick), schema)
 
 
-def learn_lexicon(train: DataFrame, size: int = LEXICON) -> tuple[Lexicon, tuple[int, int]]:
-    """Terms by their log-odds, from document counts over all training rows.
+def learn_lexicon(train: DataFrame) -> tuple[Lexicon, tuple[int, int]]:
+    """Terms by their log-odds, from document counts over all training rows; a text counts once for a label.
 
-    Candidates stand in at least 1 in 50 of the toxic rows (and in 4), which bounds their number by 50 times the
-    terms of a text; the other rows are counted for candidates only. The ``size`` best are kept.
+    If a term that stands in ``k`` texts has nothing to do with toxicity, the chance that a share ``s`` of them or more
+    is toxic, where the share of all is ``p``, is at most exp(-k * KL(s || p)). With ``tested`` terms, those are taken for
+    which it is at most ``CHANCE`` / ``tested``. Counts and test stay distributed; only the terms taken are collected.
     """
     n = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_other:
         return Lexicon({}, {}), (n_toxic, n_other)
-    least = max(4, n_toxic // 50)
-    toxic = _counted(train.where("toxic = 1"), None).where(F.col("n") >= least).collect()
-    found = {(r["term"], r["stem"]): r["n"] for r in toxic}
-    shared = train.sparkSession.sparkContext.broadcast(
-        (frozenset(t for t, stem in found if not stem), frozenset(t for t, stem in found if stem)))
-    other = {(r["term"], r["stem"]): r["n"] for r in _counted(train.where("toxic = 0"), shared).collect()}
-    odds = {k: float(np.log((v + 0.5) / (n_toxic + 1)) - np.log((other.get(k, 0) + 0.5) / (n_other + 1))) for k, v in found.items()}
-    gain = {k: odds[k] * found[k] for k in found if odds[k] > LEAST_ODDS}
-    # chance words, of near copies for instance, gain far less than the terms that make rows toxic
-    least_gain = LEAST_GAIN * max(gain.values(), default=0.0)
-    best = sorted((k for k in gain if gain[k] >= least_gain), key=lambda k: (-gain[k], -len(k[0]), k))[:size]
-    words, stems = {k[0] for k in best if not k[1]}, {}
+    counted = staged(_counted(train).where("toxic > 0"))
+    tested = counted.count()
+    toxic, other = F.col("toxic"), F.col("other")
+    p, of_term = n_toxic / (n_toxic + n_other), toxic + other
+    divergence = toxic * F.ln(toxic / (of_term * p)) + F.when(other > 0, other * F.ln(other / (of_term * (1 - p)))).otherwise(0.0)
+    log_odds = F.ln((toxic + 0.5) / (n_toxic + 1)) - F.ln((other + 0.5) / (n_other + 1))
+    taken = counted.where((log_odds > LEAST_ODDS) & (toxic > of_term * p) & (divergence >= float(np.log(max(tested, 1) / CHANCE)))).select(
+        "term", "stem", "toxic", log_odds.alias("odds")).collect()
+    found = {(r["term"], r["stem"]): r["toxic"] for r in taken}
+    odds = {(r["term"], r["stem"]): r["odds"] for r in taken}
+    best = sorted(found, key=lambda k: (-odds[k] * found[k], -len(k[0]), k))
+    words, stems, begun = {k[0] for k in best if not k[1]}, {}, set()
+    commonest: dict[str, int] = {}  # count of the commonest word that begins so
+    for w in words:
+        for size in STEM_LENGTHS:
+            commonest[w[:size]] = max(commonest.get(w[:size], 0), found[w, False])
     for term, stem in best:
         # a stem is kept if it says more than each word and longer stem that begins with it
-        if stem and not any(term.startswith(s) or s.startswith(term) for s in stems) and found[term, True] > 1.2 * max(
-                [found[w, False] for w in words if w.startswith(term)], default=0):
+        if stem and term not in begun and not any(term[:size] in stems for size in STEM_LENGTHS) and found[term, True] > 1.2 * commonest.get(term, 0):
             stems[term] = odds[term, True]
-    return Lexicon({w: odds[w, False] for w in words if not any(w.startswith(s) for s in stems)}, stems), (n_toxic, n_other)
+            begun.update(term[:size] for size in STEM_LENGTHS)
+    return Lexicon({w: odds[w, False] for w in words if not any(w[:size] in stems for size in STEM_LENGTHS)}, stems), (n_toxic, n_other)
 
 
-def _counted(train: DataFrame, wanted) -> DataFrame:
-    """term, stem, n: in how many texts each word and stem stands; ``wanted``: a broadcast pair of sets, or all."""
-    schema = "term string, stem boolean, n long"
+def _counted(train: DataFrame) -> DataFrame:
+    """term, stem, toxic, other: in how many texts of either label each word and stem stands."""
+    schema = "term string, stem boolean, toxic long, other long"
 
     def count(batches):
-        found: Counter = Counter()
+        found: tuple[Counter, Counter] = Counter(), Counter()  # not toxic, toxic
 
         def flush():
-            yield rows(schema, [k[0] for k in found], [k[1] for k in found], list(found.values()))
-            found.clear()
+            for label, counts in enumerate(found):
+                none = [0] * len(counts)
+                some = list(counts.values())
+                yield rows(schema, [k[0] for k in counts], [k[1] for k in counts], *((some, none) if label else (none, some)))
+                counts.clear()
 
         for batch in slices(batches):
-            for text in batch.column(1).to_pylist():
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words, stems = _terms(text or "")
-                if wanted is not None:
-                    words, stems = words & wanted.value[0], stems & wanted.value[1]
-                found.update((w, False) for w in words)
-                found.update((w, True) for w in stems)
-            if len(found) > COUNTED:
-                yield from flush()
+                found[toxic == 1].update((w, False) for w in words)
+                found[toxic == 1].update((w, True) for w in stems)
+                if len(found[0]) + len(found[1]) > COUNTED:
+                    yield from flush()
         yield from flush()
 
-    return train.mapInArrow(released(count), schema).groupBy("term", "stem").agg(F.sum("n").alias("n"))
+    return train.where("toxic IN (0, 1)").select("toxic", "text").mapInArrow(released(count), schema).groupBy("term", "stem").agg(
+        F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Lexicon, np.ndarray | None]:
     """Lexicon and weights of the logistic model (None without both labels)."""
-    train = training_rows(docs, labels)
+    train = staged(training_rows(docs, labels).select("toxic", F.coalesce("text", F.lit("")).alias("text")).distinct())
     lexicon, (n_toxic, n_other) = learn_lexicon(train)
     if not n_toxic or not n_other:
         return lexicon, None
@@ -337,9 +346,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[L
         for batch in slices(batches):
             yield rows(schema, batch.column(0), *all_features(batch.column(1), shared.value).T)
 
-    # a share of the rows by the hash of their id: no sort, and the same rows in any order of the input
+    # a share of the texts by their hash: no sort, and the same texts in any order of the input
     share = min(1.0, fit_rows / (n_toxic + n_other))
-    sample = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = train.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
     table = sample.mapInArrow(released(measure), schema).toArrow().to_pandas()
     return lexicon, logistic(table[names].to_numpy(), table["toxic"].to_numpy(float))
 
