@@ -393,6 +393,20 @@ def test_redaction_takes_effect(docs):
     assert text == "[assign] [access] [hex]" and sum(secrets.spans_of(text, r) != [] for r in secrets.RULES) == 0
 
 
+def test_whole_keys_and_logins_are_redacted(spark):
+    lines = "\n".join(f"{i:04d}" + "aB3+" * 15 for i in range(200))
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0123456789ABCDEF\n\n"
+    texts = [
+        (f"a {begin}\n{lines}\n{end} z", "a [private] z"), (f"a\n{begin}\n{headers}{lines[:1200]}\n{end}\nz", "a\n[private]\nz"),
+        (f"a\n{begin}\n{headers}{lines}\nno end here", "a\n[private]\nno end here"), (f"a {begin} is a line", "a [private] is a line"),
+        (f"{begin}\n{lines}\n{begin}\n{lines}\n{end}", "[private]\n[private]"),
+        (f"see ftp://{'u' * 300}:{'p' * 500}@{'h' * 300}/x", "see [login]/x"),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    assert [r.text for r in secrets.redact(frame).orderBy("doc_id").collect()] == [want for _, want in texts]
+
+
 # 9 -------------------------------------------------------------------------------------------------------------
 def test_automaton_equals_edit_distance():
     lexicon = toxicity.Lexicon({"idiot": 2.0, "pathetic": 4.0, "scum": 1.0}, {"vequ": 3.0})

@@ -6,7 +6,8 @@ texts) of the trigrams that the rules ask for; the queries intersect and unite i
 that remain are verified with the expression. A rule whose tree has no mandatory trigram scans every text.
 The index folds the case of ASCII letters, so that one index serves both kinds of rules.
 
-Spans are code points, end exclusive, leftmost and non-overlapping within a kind.
+Spans are code points, end exclusive, leftmost and non-overlapping within a kind. A private key runs from its BEGIN line
+to its END line, however long; one without an END line before the next BEGIN to the last of the base64 lines after it.
 
 Defined cases: a null text counts as empty and has no spans; empty texts give an empty list and the digest of
 the empty text; repeated rows are scanned one by one; no texts give no rows; other columns are ignored, and kept
@@ -38,6 +39,7 @@ class Rule:
     least: int = 0      # code points that the measured group must have
     group: int = 0
     base: bool = False
+    body: bool = False  # a match begins a key, see ``key_spans``
 
 
 #: The three fixed kinds come first; the others are added by the method.
@@ -45,11 +47,11 @@ RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2, True),
     Rule("access", r"AKIA[A-Z0-9]+", 20, 0, True),
     Rule("hex", r"[0-9a-f]+", 24, 0, True),
-    Rule("private", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]{0,8000}-----END (?:[A-Z]+ )*PRIVATE KEY-----)?"),
+    Rule("private", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", body=True),
     Rule("forge", r"\b(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
     Rule("chat", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web", r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("login", r"[a-z][a-z0-9+.-]{0,20}://[^\s:/@]{1,200}:[^\s:/@]{1,200}@[^\s/]{1,200}"),
+    Rule("login", r"[a-z][a-z0-9+.-]{0,20}://[^\s:/@]+:[^\s:/@]+@[^\s/]+"),
 )
 
 #: A query is True (every text), or a frozenset of alternatives; an alternative is a frozenset of trigrams.
@@ -200,8 +202,26 @@ def wanted_trigrams(rules=RULES) -> tuple[list[str], np.ndarray]:
     return grams, lookup
 
 
+KEY_LINE = r"-----(BEGIN|END) (?:[A-Z]+ )*PRIVATE KEY-----"
+#: What a key without an END line holds: headers such as DEK-Info, then lines of base64.
+KEY_REST = r"(?:[ \t]*\r?\n[A-Za-z]+(?:-[A-Za-z]+)+:[^\n]*)*(?:\s*[A-Za-z0-9+/]+=*(?=[ \t]*(?:\r?\n|\Z)))*"
+
+
+def key_spans(text: str) -> list[tuple[int, int]]:
+    """Private keys with their bodies, in one pass over their BEGIN and END lines."""
+    out = []
+    lines = list(compiled(KEY_LINE).finditer(text))
+    for line, following in zip(lines, [*lines[1:], None]):
+        if line[1] == "BEGIN":
+            whole = following is not None and following[1] == "END"
+            out.append((line.start(), following.end() if whole else compiled(KEY_REST).match(text, line.end()).end()))
+    return out
+
+
 def spans_of(text: str, rule: Rule) -> list[tuple[int, int]]:
     """Leftmost, non-overlapping matches; those that are too short are dropped, not tried again."""
+    if rule.body:
+        return key_spans(text)
     return [
         m.span() for m in compiled(rule.pattern).finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least
     ]
