@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from thermopanel.llm import (
-    fingerprints, language_model, neardup, packing, perspectives, pieces, quality, resampling, runs, secrets, toxicity, whitening,
+    fingerprints, language_model, neardup, packing, perspectives, pieces, pii, quality, resampling, runs, secrets, toxicity, whitening,
 )
 from thermopanel.llm.common import table
 
@@ -74,6 +74,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest_runs(table(spark, sf_dir, "documents"), runs.planted)
