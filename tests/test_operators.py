@@ -38,20 +38,50 @@ def test_clip_keeps_null_and_wraps_negative_direction(spark):
 
 
 # ---- quantiles --------------------------------------------------------------
-@pytest.mark.parametrize("slices", [2, 64])
-def test_exact_quantiles_with_ties_and_skew(spark, slices):
+@pytest.mark.parametrize("cells, few", [(8, 16), (64, 8), (quantiles.CELLS, quantiles.FEW)])
+def test_exact_quantiles_with_ties_and_skew(spark, cells, few):
     rng = np.random.default_rng(3)
     big = np.round(rng.lognormal(0, 2, 5000), 1)
     pdf = pd.DataFrame({"k": ["hot"] * 5000 + ["one"] + ["two"] * 2, "v": [*big, 7.0, 1.0, 2.0]})
     df = spark.createDataFrame(pdf)
     q = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
-    got = quantiles.exact_quantiles(df, ["k"], "v", q, slices).toPandas().set_index("k")
+    got = quantiles.exact_quantiles(df, ["k"], "v", q, cells, few).toPandas().set_index("k")
     for key, group in pdf.groupby("k"):
         np.testing.assert_allclose(got.loc[key].to_numpy(), group["v"].quantile(list(q.values())).to_numpy(), rtol=1e-12)
     whole = quantiles.exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"]
     assert whole == pytest.approx(pdf["v"].median())
 
 
+def test_quantiles_over_many_magnitudes(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([10.0 ** rng.uniform(-300, 300, 400), -(10.0 ** rng.uniform(-300, 300, 300)), [0.0, -0.0, 1e308, -1e308, 5e-324]])
+    q = {f"q{i}": i / 20 for i in range(21)}
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    got = quantiles.exact_quantiles(df, [], "v", q, 8, 4).first()
+    np.testing.assert_allclose(list(got), np.quantile(x, list(q.values())), rtol=1e-12)
+    odd = spark.createDataFrame([(v,) for v in [1.0, 2.0, 3.0, float("inf"), float("-inf"), float("nan")] * 9], "v double")
+    assert [str(v) for v in quantiles.exact_quantiles(odd, [], "v", {"a": 0, "b": 18 / 53, "c": 0.75, "d": 1}, 4, 4).first()] == ["-inf", "2.0", "inf", "nan"]
+
+
+def test_a_column_with_all_rows_is_counted_in_its_partitions(spark):
+    """Rows are not dealt by value or group before their cell is small: what is shuffled are counts."""
+    df = spark.range(200_000).select(F.lit("hot").alias("k"), F.pmod(F.xxhash64("id"), F.lit(10 ** 9)).cast("double").alias("v"))
+    out = quantiles.exact_quantiles(df, ["k"], "v", {"m": 0.5})
+    want = np.median(df.toPandas()["v"])
+    assert out.first()["m"] == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(k" in line]
+    assert exchanges and "SinglePartition" not in plan
+    rows = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in rows
+
+
+def test_quantiles_of_nothing_and_of_null_keys(spark):
+    df = spark.createDataFrame([(None, 1.0), ("a", None), ("b", 4.0)], "k string, v double")
+    assert [tuple(r) for r in quantiles.exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()] == [("b", 4.0)]
+    assert quantiles.exact_quantiles(df.limit(0), [], "v", {"m": 0.5}).count() == 0
+
+
 def test_mode_takes_the_smallest_of_ties(spark):
     df = spark.createDataFrame([(2.0,), (2.0,), (1.0,), (1.0,), (5.0,)], "v double")
     assert quantiles.exact_mode(df, [], "v").first()["mode"] == 1.0

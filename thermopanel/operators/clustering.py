@@ -188,13 +188,13 @@ def dispersion_scores(points: DataFrame, vector: str, label: str, tile_rows: int
     """Calinski-Harabasz and Davies-Bouldin of a fixed assignment, for any number of groups."""
     centre = F.transform("s", lambda x: x / F.col("n"))
     groups = numbered(group_moments(points, vector, label).withColumn("c", centre))
-    totals = groups.groupBy(F.lit(0)).agg(  # by a constant: no groups give no row
-        F.count(F.lit(1)).alias("k"), F.sum("n").alias("all"), F.sum("q").alias("q"), F.sum(_dot(F.col("s"), F.col("s")) / F.col("n")).alias("kept"),
+    totals = groups.groupBy(F.lit("all")).agg(  # by a constant: no groups give no row
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("points"), F.sum("q").alias("q"), F.sum(_dot(F.col("s"), F.col("s")) / F.col("n")).alias("kept"),
         vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("grand"),
     )
-    between = F.col("kept") - _dot(F.col("grand"), F.col("grand")) / F.col("all")
+    between = F.col("kept") - _dot(F.col("grand"), F.col("grand")) / F.col("points")
     within = F.col("q") - F.col("kept")
-    calinski = F.try_divide(between * (F.col("all") - F.col("k")), within * (F.col("k") - 1))
+    calinski = F.try_divide(between * (F.col("points") - F.col("k")), within * (F.col("k") - 1))
 
     # mean distance to the own centre needs one more pass over the points
     to_own = _labelled(points, vector, label).withColumnRenamed("label0", "label").join(groups.select("label", "c"), "label")
