@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermopanel.functions.calendar import is_long_summer
-from thermopanel.operators.series import IDX, LEN, Series
+from thermopanel.operators.numbering import row_numbers
+from thermopanel.operators.series import IDX, LEN
 
-#: all sites in one time order; a chunk is one hour of all sites
-PANEL_ORDER = Series(keys=(), order=("tm", "branch_id"), axis="tm", span=1)
+#: all sites in one time order
+PANEL_ORDER = ("tm", "branch_id")
 HASH_SLOTS = 10_000
 
 
@@ -31,13 +32,13 @@ def time_holdout(df: DataFrame, start: str, end: str, tm: str = "tm") -> DataFra
     return df.withColumn("is_valid", F.col(tm).between(first, last))
 
 
-def expanding_folds(df: DataFrame, k: int = 3, series: Series = PANEL_ORDER) -> DataFrame:
+def expanding_folds(df: DataFrame, k: int = 3, order: Sequence[str] = PANEL_ORDER) -> DataFrame:
     """Number of the time fold that tests each row, -1 for rows that only train.
 
     With n rows and t = n // (k + 1), fold f tests the t rows from n - (k - f) t on
     and trains on every row before them: those with a smaller fold number.
     """
-    indexed = series.row_index(df)
+    indexed = row_numbers(df, order, IDX, LEN)
     t = F.floor(F.col(LEN) / (k + 1))
     back = F.floor(F.try_divide(F.col(LEN) - 1 - F.col(IDX), t))
     fold = F.when(back < k, k - 1 - back).otherwise(-1).cast("int")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from thermopanel import rules
 from thermopanel.functions import calendar as cal
 from thermopanel.functions.numeric import floor_at, numeric_columns, present, unpivot
+from thermopanel.operators.numbering import filled_along
 from thermopanel.operators.quantiles import exact_quantiles
 from thermopanel.operators.series import SITE_HOURS, Series
 
@@ -80,9 +81,8 @@ def fill_for_scoring(
     df: DataFrame, columns: Sequence[str], series: Series = SITE_HOURS, across_groups: bool = False
 ) -> DataFrame:
     """Last known value, then 0. ``across_groups`` follows the row id over all sites."""
-    if across_groups:
-        series = Series(keys=(), order=("id",), axis="id", span=100_000)
-    return series.fill(df, columns).na.fill(0.0, subset=list(columns))
+    filled = filled_along(df, ["id"], columns) if across_groups else series.fill(df, columns)
+    return filled.na.fill(0.0, subset=list(columns))
 
 
 def fill_residual(
