@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermopanel.functions.numeric import col
+from thermopanel.operators.gram import correlations
 
 
 def pearson(a: str | Column, b: str | Column) -> Column:
@@ -22,27 +23,12 @@ def pearson(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
-def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], keys: Sequence[str]) -> DataFrame:
-    """(keys, __pair, corr): one row per input row and pair meets one small aggregation.
-
-    Rows are combined before the shuffle, so only one row per group and pair and task
-    travels. Aggregates side by side for every pair would make one huge generated method.
-    """
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        entries.append(F.struct(F.lit(i).alias("__pair"), F.when(both, x).alias("__x"), F.when(both, y).alias("__y")))
-    long = df.select(*keys, F.inline(F.array(*entries)))
-    return long.groupBy(*keys, "__pair").agg(pearson("__x", "__y").alias("corr"))
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of every two columns over the rows that have both: (keys, a, b, corr)."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    half = _pair_correlations(df, pairs, keys)
-    first = F.get(F.array(*[F.lit(a) for a, _ in pairs]), F.col("__pair"))
-    second = F.get(F.array(*[F.lit(b) for _, b in pairs]), F.col("__pair"))
+    columns = list(columns)
+    half = correlations(df, columns, columns, keys, half=True)
+    names = F.lit(columns)
+    first, second = F.get(names, F.floor(F.col("pair") / len(columns)).cast("int")), F.get(names, F.col("pair") % len(columns))
     named = half.select(*keys, first.alias("a"), second.alias("b"), "corr")
     both_ways = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
         F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -52,9 +38,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], keys: Sequence[str
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Correlation of each column with the target: (keys, feature, corr)."""
-    long = _pair_correlations(df, [(c, target) for c in columns], keys)
-    feature = F.get(F.array(*[F.lit(c) for c in columns]), F.col("__pair"))
-    return long.select(*keys, feature.alias("feature"), "corr")
+    columns = list(columns)
+    return correlations(df, columns, [target], keys).select(*keys, F.get(F.lit(columns), F.col("pair")).alias("feature"), "corr")
 
 
 def correlation_difference(
@@ -153,10 +138,12 @@ def _beta_share(a: float, b: float, x: float) -> float:
 def variance_inflation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Variance inflation per column over complete rows: the diagonal of the inverse
     correlation matrix, which one aggregation reduces to columns x columns numbers."""
+    columns = list(columns)
     complete = df.select(*columns).na.drop("any")
-    matrix = F.array(*[F.array(*[pearson(a, b) for b in columns]) for a in columns])
-    names = F.array(*[F.lit(c) for c in columns])
-    row = complete.agg(matrix.alias("m")).select(F.arrays_zip(names.alias("feature"), _inverse_diagonal("m").alias("vif")).alias("z"))
+    cells = F.array_sort(F.collect_list(F.struct("pair", "corr")))
+    row = correlations(complete, columns, columns).agg(F.transform(cells, lambda c: c["corr"]).alias("m"))
+    names = F.lit(columns)
+    row = row.select(F.arrays_zip(names.alias("feature"), _inverse_diagonal("m").alias("vif")).alias("z"))
     return row.select(F.inline("z")).toDF("feature", "vif")
 
 
@@ -165,7 +152,8 @@ def _inverse_diagonal(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for matrices in batches:
         out = []
         for m in matrices:
-            values = np.array([np.asarray(r, dtype=float) for r in m])
+            cells = np.asarray(m, dtype=float)
+            values = cells.reshape(round(len(cells) ** 0.5), -1)
             try:
                 out.append(np.diag(np.linalg.inv(values)).tolist())
             except np.linalg.LinAlgError:
