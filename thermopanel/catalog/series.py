@@ -322,6 +322,20 @@ def _(spark, d):
     return stl.stl(rows, "ta_chi").select("id", "trend", "seasonal", "resid")
 
 
+@query(
+    "stl_parts_add_up_ts17",
+    f"""{HOURLY} SELECT branch_id, count(*) AS hours, 0e0 AS largest_gap, count(*) >= {stl.MIN_ROWS} AS has_season FROM ready GROUP BY 1""",
+    "largest_gap",
+)
+def _(spark, d):
+    """Trend, season and rest add up to the reading; series that are long enough have a season, the others none."""
+    rows = frames.ready(spark, d).select("id", "branch_id", "tm", "ta_chi")
+    parts = stl.robust_stl(rows, "ta_chi", rounds=1)
+    gap = F.abs(F.col("trend") + F.col("seasonal") + F.col("resid") - F.col("ta_chi"))
+    return parts.groupBy("branch_id").agg(
+        F.count(F.lit(1)).alias("hours"), F.max(gap).alias("largest_gap"), (F.max(F.abs("seasonal")) > 0).alias("has_season"))
+
+
 VARIABLES = ["ta_chi", "ws", "hm"]
 LAG_LIMIT = 30
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import SparkContext
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermopanel.models import encode
@@ -36,18 +40,77 @@ CV_SEARCH_RANGES = {
 # ---- end of fixed values --------------------------------------------------
 
 
-def booster(params: Mapping | None = None, label: str = "label", early_stop: bool = False) -> GBTRegressor:
-    """Early stopping looks at the rows marked ``is_valid``."""
+#: jobs submitted side by side
+THREADS = 8
+#: rounds without a better held-out error after which boosting counts as finished
+PATIENCE = 50
+
+
+def booster(params: Mapping | None = None, label: str = "label") -> GBTRegressor:
     options = {**BOOSTING, **(params or {})}
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", seed=SEED, **options)
-    return gbt.setValidationIndicatorCol("is_valid") if early_stop else gbt
+    return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", seed=SEED, **options)
+
+
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """Rounds to keep: the best one before ``patience`` rounds in a row brought nothing better."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def cut_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of the first ``rounds`` rounds."""
+    if rounds >= model.getNumTrees:
+        return model
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    regression = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    whole, shares = java.trees(), java.treeWeights()
+    for i in range(rounds):
+        trees[i], weights[i] = whole[i], shares[i]
+    shorter = regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    out = GBTRegressionModel(java.copyValues(shorter, java.extractParamMap()))
+    out._resetUid(model.uid)
+    return out
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Feature rows of one group: boosting passes over them once per tree level, so they are written to the shared folder once
+    and serve every model fitted on them."""
+
+    features: PipelineModel
+    numeric: list[str]
+    train: DataFrame
+    valid: DataFrame | None = None
+
+
+def prepare(train: DataFrame, target: str = "heat_demand_log", valid: DataFrame | None = None) -> Prepared:
+    """Encoders learnt on the training rows, and the vectors of both sets."""
+    rows = train.filter(F.col(target).isNotNull())
+    features, numeric = encode.fit_features(rows, target)
+
+    def vectors(df: DataFrame) -> DataFrame:
+        known = df.filter(F.col(target).isNotNull())
+        return materialise(encode.to_features(features, numeric, known).select("features", F.col(target).alias("label")))
+
+    return Prepared(features, numeric, vectors(rows), None if valid is None else vectors(valid))
 
 
 class GroupModel:
-    """Encoders and booster of one model group."""
+    """Encoders, column list and booster of one model group; ``errors`` are held-out errors per round, where known."""
+
+    def __init__(self, features, numeric: Sequence[str], model: GBTRegressionModel, errors: Sequence[float] = ()):
+        self.features, self.numeric, self.model, self.errors = features, list(numeric), model, list(errors)
 
-    def __init__(self, features, numeric: Sequence[str], model: GBTRegressionModel):
-        self.features, self.numeric, self.model = features, list(numeric), model
+    @property
+    def rounds(self) -> int:
+        return self.model.getNumTrees
 
     def predict(self, df: DataFrame) -> DataFrame:
         vectors = encode.to_features(self.features, self.numeric, df)
@@ -56,6 +119,16 @@ class GroupModel:
     def save(self, path: str) -> None:
         self.features.write().overwrite().save(f"{path}/features")
         self.model.write().overwrite().save(f"{path}/model")
+        spark = SparkSession.builder.getOrCreate()
+        about = [(self.numeric, [float(e) for e in self.errors])]
+        spark.createDataFrame(about, "numeric array<string>, errors array<double>").write.mode("overwrite").parquet(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> GroupModel:
+        """What :meth:`save` wrote; predicts as the saved model does."""
+        about = spark.read.parquet(f"{path}/about").first()
+        features, model = PipelineModel.load(f"{path}/features"), GBTRegressionModel.load(f"{path}/model")
+        return cls(features, about["numeric"], model, about["errors"])
 
     def importance(self, df: DataFrame, top: int = 20) -> DataFrame:
         """Strongest features; a one-hot vector counts as one feature per label."""
@@ -67,23 +140,47 @@ class GroupModel:
         return table.orderBy(F.desc("importance"), "feature").limit(top)
 
 
+def fit_prepared(prepared: Prepared, params: Mapping | None = None, patience: int | None = PATIENCE) -> GroupModel:
+    """Fit; with held-out rows (and a patience) the model is cut to its best round."""
+    model, errors = booster(params).fit(prepared.train), []
+    if prepared.valid is not None and patience is not None:
+        errors = model.evaluateEachIteration(prepared.valid, "squared")
+        model = cut_rounds(model, best_round(errors, patience))
+    return GroupModel(prepared.features, prepared.numeric, model, errors)
+
+
 def fit_group(
-    train: DataFrame, target: str = "heat_demand_log", params: Mapping | None = None, early_stop: bool = False
+    train: DataFrame, target: str = "heat_demand_log", params: Mapping | None = None, early_stop: bool = False,
+    patience: int = PATIENCE,
 ) -> GroupModel:
-    """Fit on the rows of one group. Boosting passes over the rows once per tree level,
-    so the feature rows are written to the shared folder first."""
-    rows = train.filter(F.col(target).isNotNull())
-    features, numeric = encode.fit_features(rows.drop("is_valid"), target)
-    keep = ["features", F.col(target).alias("label"), *(["is_valid"] if early_stop else [])]
-    staged = materialise(encode.to_features(features, numeric, rows).select(*keep))
-    return GroupModel(features, numeric, booster(params, early_stop=early_stop).fit(staged))
+    """Fit on the rows of one group; ``early_stop`` holds out the rows marked ``is_valid`` to find the best round."""
+    if early_stop:
+        fit, valid = (train.filter(c).drop("is_valid") for c in ("NOT is_valid", "is_valid"))
+        return fit_prepared(prepare(fit, target, valid), params, patience)
+    return fit_prepared(prepare(train.drop("is_valid"), target), params)
+
+
+def side_by_side(work: Callable, items: Sequence, threads: int = THREADS) -> list:
+    """Independent jobs submitted together, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(work, items))
 
 
 def fit_groups(
-    frames: Mapping[str, DataFrame], target: str = "heat_demand_log", params: Mapping | None = None
+    frames: Mapping[str, DataFrame], target: str = "heat_demand_log", params: Mapping | None = None, early_stop: bool = False,
+    tuned: Mapping[str, Mapping] | None = None, patience: int = PATIENCE,
 ) -> dict[str, GroupModel]:
-    """One model per group; the frames may differ in columns, as lag lists do."""
-    return {key: fit_group(train, target, params) for key, train in frames.items()}
+    """One model per group; the frames may differ in columns, as lag lists do. ``tuned`` holds parameters found for a
+    group, which go before ``params``. A group without rows to learn from has no model."""
+
+    def one(key: str) -> GroupModel | None:
+        learn = frames[key].filter(F.col(target).isNotNull())
+        if (learn.filter("NOT is_valid") if early_stop else learn).isEmpty():
+            return None
+        return fit_group(frames[key], target, {**(params or {}), **((tuned or {}).get(key) or {})}, early_stop, patience)
+
+    models = side_by_side(one, list(frames))
+    return {key: model for key, model in zip(frames, models) if model is not None}
 
 
 def predict_groups(
@@ -115,29 +212,71 @@ def draw_params(ranges: Mapping, rng: random.Random) -> dict:
     return out
 
 
-def random_search(
-    df: DataFrame, target: str, trials: int = 20, ranges: Mapping = SEARCH_RANGES, seed: int = SEED,
-    fixed: Mapping | None = None,
-) -> DataFrame:
-    """Random draws scored by validation RMSE on the demand scale: (trial, params, rmse).
+@dataclass(frozen=True)
+class Search:
+    """All trials, the best parameters, and the mean error they reached."""
 
-    With a ``fold`` column the score is the mean over expanding time folds, else the
-    rows marked ``is_valid`` are held out. The search order is fixed by the seed.
-    """
+    trials: list[tuple[int, dict, int, float]]
+    best: dict
+    rmse: float
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(trial, params, folds, abandoned, rmse): ``rmse`` is the mean over the folds a trial got to."""
+        most = max((folds for _, _, folds, _ in self.trials), default=0)
+        rows = [(t, str(sorted(p.items())), n, n < most, r) for t, p, n, r in self.trials]
+        return spark.createDataFrame(rows, "trial int, params string, folds int, abandoned boolean, rmse double").orderBy("rmse", "trial")
+
+
+def fold_splits(df: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Expanding time folds where there is a ``fold`` column, else the rows marked ``is_valid``."""
     staged = materialise(df)
     if "fold" in df.columns:
         k = staged.agg(F.max("fold")).first()[0] + 1
-        splits = [(staged.filter(F.col("fold") < f), staged.filter(F.col("fold") == f)) for f in range(k)]
+        pairs = [(staged.filter(F.col("fold") < f), staged.filter(F.col("fold") == f)) for f in range(k)]
     else:
-        splits = [(staged.filter(~F.col("is_valid")), staged.filter("is_valid"))]
-    rng, results = random.Random(seed), []
-    for trial in range(trials):
-        params = {**draw_params(ranges, rng), **(fixed or {})}
-        scores = []
-        for train, valid in splits:
-            model = fit_group(train.drop("fold", "is_valid"), target, params)
-            error = F.expm1(target) - F.expm1("prediction")
-            scored = model.predict(valid.drop("fold", "is_valid"))
-            scores.append(scored.agg(F.sqrt(F.avg(error * error)).alias("rmse")).first()[0])
-        results.append((trial, str(sorted(params.items())), sum(scores) / len(scores)))
-    return df.sparkSession.createDataFrame(results, "trial int, params string, rmse double").orderBy("rmse")
+        pairs = [(staged.filter(~F.col("is_valid")), staged.filter("is_valid"))]
+    return [(a.drop("fold", "is_valid"), b.drop("fold", "is_valid")) for a, b in pairs]
+
+
+def demand_error(prepared: Prepared, params: Mapping) -> float:
+    """Root mean squared error on the demand scale of a model on its held-out rows."""
+    error = F.expm1("label") - F.expm1("prediction")
+    scored = booster(params).fit(prepared.train).transform(prepared.valid)
+    return scored.agg(F.sqrt(F.avg(error * error)).alias("rmse")).first()[0]
+
+
+def search(
+    df: DataFrame, target: str, trials: int = 20, ranges: Mapping = SEARCH_RANGES, seed: int = SEED,
+    limits: Mapping | None = None, first: Sequence[Mapping] = (), keep: float = 0.5,
+) -> Search:
+    """Random draws scored by validation RMSE on the demand scale.
+
+    Features are learnt and written once per fold; the trials of a fold run side by side. After each fold only the ``keep``
+    share of trials with the best mean so far goes on, so poor parameters cost one fold. ``first`` are parameters tried
+    before the draws, ``limits`` upper bounds on numbers (a budget of rounds, say). The seed fixes the draws.
+    """
+    rng = random.Random(seed)
+    drawn = [dict(p) for p in first] + [draw_params(ranges, rng) for _ in range(trials)]
+    drawn = [{**p, **{c: min(p[c], most) for c, most in (limits or {}).items() if c in p}} for p in drawn]
+    scores: list[list[float]] = [[] for _ in drawn]
+    mean = lambda t: sum(scores[t]) / len(scores[t])
+    alive = list(range(len(drawn)))
+    splits = [(a, b) for a, b in fold_splits(df) if not a.isEmpty() and not b.isEmpty()]
+    for fold, prepared in enumerate(prepare(fit, target, valid) for fit, valid in splits):
+        for trial, score in zip(alive, side_by_side(lambda t, data=prepared: demand_error(data, drawn[t]), alive)):
+            scores[trial].append(score)
+        if fold < len(splits) - 1:
+            alive = sorted(alive, key=lambda t: (mean(t), t))[:max(1, math.ceil(keep * len(alive)))]
+    done = [(t, drawn[t], len(scores[t]), mean(t) if scores[t] else None) for t in range(len(drawn))]
+    winner = min((t for t in alive if scores[t]), key=lambda t: (mean(t), t), default=None)
+    return Search(done, {} if winner is None else drawn[winner], math.nan if winner is None else mean(winner))
+
+
+def random_search(df: DataFrame, target: str, trials: int = 20, **options) -> DataFrame:
+    """The trials of :func:`search` as a table."""
+    return search(df, target, trials, **options).table(df.sparkSession)
+
+
+def tune_groups(frames: Mapping[str, DataFrame], target: str = "heat_demand_log", **options) -> dict[str, Search]:
+    """A search per group; its best parameters are meant for :func:`fit_groups`."""
+    return {key: search(df, target, **options) for key, df in frames.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,11 @@ SEASON_NAMES = ("winter", "spring", "summer", "autumn")
 
 @dataclass(frozen=True)
 class Options:
-    """``split`` is 'random' or 'time'; ``models`` maps a name to booster parameters."""
+    """``split`` is 'random' or 'time'; ``models`` maps a name to booster parameters.
+
+    With ``trials`` a search over expanding time folds of each group's training rows adds a model ``tuned``; ``limits`` bound what
+    it may draw. ``patience`` turns on early stopping on the held-out rows of the validation run.
+    """
 
     split: str = "random"
     holdout: tuple[str, str] = ("2023-07-01 01:00:00", "2023-12-31 23:00:00")
@@ -31,6 +36,9 @@ class Options:
     keys: Sequence[str] = rules.CLUSTER_KEYS
     split_summer: bool = True
     target: str = "heat_demand"
+    trials: int = 0
+    limits: Mapping = field(default_factory=dict)
+    patience: int | None = None
 
 
 def hourly_features(raw: DataFrame) -> DataFrame:
@@ -69,29 +77,52 @@ def with_holdout(df: DataFrame, options: Options) -> DataFrame:
     raise ValueError(f"unknown split {options.split!r}")
 
 
-def validate(rows: DataFrame, options: Options) -> DataFrame:
+def learning_rows(rows: DataFrame, options: Options) -> DataFrame:
+    return cleaning.valid_target(rows, options.target).withColumn("heat_demand_log", F.log1p(options.target))
+
+
+def of_groups(df: DataFrame, options: Options) -> dict[str, DataFrame]:
+    return {key: df.filter(F.col("cluster_key") == key) for key in options.keys}
+
+
+def tune(rows: DataFrame, options: Options) -> dict[str, Mapping]:
+    """Best parameters per group, searched over expanding time folds; empty without trials."""
+    if not options.trials:
+        return {}
+    parts = of_groups(learning_rows(rows, options), options)
+    folded = {key: splits.expanding_folds(part) for key, part in parts.items() if not part.isEmpty()}
+    found = train.tune_groups(folded, trials=options.trials, ranges=train.CV_SEARCH_RANGES, limits=options.limits)
+    return {key: search.best for key, search in found.items()}
+
+
+def models_of(options: Options, tuned: Mapping[str, Mapping]) -> dict[str, tuple[Mapping, Mapping]]:
+    """name -> (parameters for all groups, parameters of single groups)."""
+    out = {name: (params, {}) for name, params in options.models.items()}
+    return out | ({"tuned": ({}, tuned)} if tuned else {})
+
+
+def validate(rows: DataFrame, options: Options, tuned: Mapping[str, Mapping] = MappingProxyType({})) -> DataFrame:
     """Validation predictions of every group and model, on the demand scale."""
-    marked = with_holdout(cleaning.valid_target(rows, options.target), options)
-    marked = marked.withColumn("heat_demand_log", F.log1p(options.target))
+    marked = of_groups(with_holdout(learning_rows(rows, options), options), options)
+    held = {key: part.filter("is_valid").drop("is_valid") for key, part in marked.items()}
     parts = []
-    for key in options.keys:
-        own = marked.filter(F.col("cluster_key") == key)
-        fit, held = own.filter(~F.col("is_valid")).drop("is_valid"), own.filter("is_valid").drop("is_valid")
-        for name, params in options.models.items():
-            model = train.fit_group(fit, params=params)
-            parts.append(train.predict_groups({key: model}, {key: held}, name=name))
+    for name, (params, own) in models_of(options, tuned).items():
+        stop = options.patience is not None
+        frames = marked if stop else {key: part.filter("NOT is_valid").drop("is_valid") for key, part in marked.items()}
+        models = train.fit_groups(frames, params=params, early_stop=stop, tuned=own, patience=options.patience or train.PATIENCE)
+        parts.append(train.predict_groups(models, held, name=name))
     return reduce(DataFrame.unionByName, parts)
 
 
-def score_test(rows: DataFrame, test: DataFrame, options: Options) -> DataFrame:
+def score_test(
+    rows: DataFrame, test: DataFrame, options: Options, tuned: Mapping[str, Mapping] = MappingProxyType({}),
+) -> DataFrame:
     """Fit on all training rows and predict the test rows: (cluster_key, model, id, tm, ...)."""
-    fit = cleaning.valid_target(rows, options.target).withColumn("heat_demand_log", F.log1p(options.target))
-    scored = test.withColumn("heat_demand_log", F.log1p(options.target))
+    fit = of_groups(learning_rows(rows, options), options)
+    new = of_groups(test.withColumn("heat_demand_log", F.log1p(options.target)), options)
     parts = []
-    for key in options.keys:
-        own, new = (f.filter(F.col("cluster_key") == key) for f in (fit, scored))
-        for name, params in options.models.items():
-            parts.append(train.predict_groups({key: train.fit_group(own, params=params)}, {key: new}, name=name))
+    for name, (params, own) in models_of(options, tuned).items():
+        parts.append(train.predict_groups(train.fit_groups(fit, params=params, tuned=own), new, name=name))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -102,8 +133,9 @@ def run(train_raw: DataFrame, test_raw: DataFrame, submission: DataFrame, option
     """
     rows = materialise(with_groups(hourly_features(train_raw), options))
     test = materialise(with_groups(hourly_features(test_raw), options))
-    validated = validate(rows, options)
-    predicted = score_test(rows, test, options)
+    tuned = tune(rows, options)
+    validated = validate(rows, options, tuned)
+    predicted = score_test(rows, test, options, tuned)
     mean = metrics.ensemble_mean(predicted, ("id",)).withColumnRenamed("prediction", options.target)
     scores = metrics.regression_metrics(validated, ["cluster_key", "model"])
     return {
