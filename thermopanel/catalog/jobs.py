@@ -7,6 +7,7 @@ from thermopanel.catalog.features import ALPHA
 from thermopanel.catalog.series import SHORT_LAGS, decomposition_sql, lag_sql, names, rolling_sql
 from thermopanel.operators import lags
 from thermopanel.plans import experiment, lag_discovery
+from thermopanel.sources.panels import WEATHER
 
 SHORT = names(SHORT_LAGS, "{c}_lag_{n}")
 MEANS = [f"{c}_ma" for c in lags.AVERAGE_COLUMNS]
@@ -61,13 +62,12 @@ def _(spark, d):
     return small_run(spark, d)["submission"].select("id", F.col("heat_demand").isNotNull().alias("filled"))
 
 
-VARIABLES = ["ta_chi", "ws", "hm"]
+VARIABLES = [c for c in WEATHER if c != "ta"]
 
 
 @query("residual_lag_discovery")
 def _(spark, d):
-    rows = frames.clean_season(spark, d).filter(F.col("branch_id").isin(*"ADHP"))
-    return lag_discovery.residual_lags(rows, "heat_demand", VARIABLES, robust=False)
+    return lag_discovery.residual_lags(frames.clean_season(spark, d), "heat_demand", list(WEATHER))
 
 
 @query("common_lagged_features")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from thermopanel import rules
 from thermopanel.catalog import BREAKPOINTS_SQL, CLUSTERS_SQL, HOURLY, NIGHTS_SQL, SEASON, frames, query
 from thermopanel.functions import calendar as cal
 from thermopanel.operators import aggregates, cleaning, gaps, joins, stats
@@ -64,11 +65,11 @@ def _(spark, d):
 @query(
     "submission_join_jn4",
     f"{HOURLY} SELECT o.id, p.heat_demand FROM obs o LEFT JOIN "
-    "(SELECT id, heat_demand / 2 + 1 AS heat_demand FROM ready WHERE id % 3 <> 0) p ON o.id = p.id",
+    "(SELECT id, heat_demand / 2 + 1 AS heat_demand FROM ready) p ON o.id = p.id",
     "heat_demand",
 )
 def _(spark, d):
-    scored = frames.ready(spark, d).filter("id % 3 <> 0").select("id", (F.col("heat_demand") / 2 + 1).alias("heat_demand"))
+    scored = frames.ready(spark, d).select("id", (F.col("heat_demand") / 2 + 1).alias("heat_demand"))
     return joins.fill_submission(frames.raw(spark, d).select("id", "heat_demand"), scored)
 
 
@@ -85,7 +86,8 @@ def _(spark, d):
     )
 
 
-HOLES = "holes AS (SELECT branch_id, tm FROM obs WHERE id % 23 <> 4)"
+#: hours that have a temperature reading
+HOLES = "holes AS (SELECT branch_id, tm FROM clean WHERE ta IS NOT NULL)"
 
 
 @query(
@@ -96,7 +98,7 @@ HOLES = "holes AS (SELECT branch_id, tm FROM obs WHERE id % 23 <> 4)"
     WHERE NOT EXISTS (SELECT 1 FROM holes h WHERE h.branch_id = s.branch_id AND h.tm = s.tm)""",
 )
 def _(spark, d):
-    holes = frames.raw(spark, d).filter("id % 23 <> 4").select("branch_id", "tm")
+    holes = frames.clean(spark, d).filter("ta IS NOT NULL").select("branch_id", "tm")
     return gaps.missing_hours(holes).withColumn("tm", frames.stamp())
 
 
@@ -131,13 +133,12 @@ FEATURES = ["ta", "ws", "hm", "si", "ta_chi"]
 
 @query(
     "correlations_side_by_side_jn9",
-    HOURLY + "SELECT feature, " + ", ".join(f"max(corr) FILTER (branch_id = '{s}') AS {s}" for s in "ADHP")
+    HOURLY + "SELECT feature, " + ", ".join(f"max(corr) FILTER (branch_id = '{s}') AS {s}" for s in rules.SITES)
     + " FROM (" + " UNION ALL ".join(
         f"SELECT branch_id, '{f}' AS feature, corr({f}, heat_demand) AS corr FROM ready GROUP BY 1" for f in FEATURES
-    ) + ") WHERE branch_id IN ('A','D','H','P') GROUP BY 1",
-    "A D H P",
+    ) + ") GROUP BY 1",
+    list(rules.SITES),
 )
 def _(spark, d):
-    sites = frames.ready(spark, d).filter(F.col("branch_id").isin(*"ADHP"))
-    long = stats.correlation_with(sites, "heat_demand", FEATURES, ["branch_id"])
-    return joins.side_by_side(long, "feature", "branch_id", list("ADHP"), "corr")
+    long = stats.correlation_with(frames.ready(spark, d), "heat_demand", FEATURES, ["branch_id"])
+    return joins.side_by_side(long, "feature", "branch_id", list(rules.SITES), "corr")

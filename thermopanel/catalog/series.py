@@ -24,7 +24,7 @@ def names(lag_map, name: str = "{c}_lag{n}") -> list[str]:
 
 LAGS = {c: lags.LAG_HOURS for c in lags.LAG_COLUMNS}
 SHORT_LAGS = {c: lags.SHORT_LAG_HOURS for c in lags.SHORT_LAG_COLUMNS}
-GRID = {c: range(1, 24) for c in ("ta", "hm")}
+GRID = {c: range(1, 24) for c in NUMERIC}
 
 
 @query("lag_set_ts1", f"{SEASON} SELECT id, {lag_sql(LAGS)} FROM ready {SITE}", names(LAGS))
@@ -44,16 +44,24 @@ def rolling_sql(c: str, first: int, last: int, name: str) -> str:
     return f"CASE WHEN count({c}) {over} = {last - first + 1} THEN avg({c}) {over} END AS {name}"
 
 
+ROLLED = [f"{c}_roll{k}" for c in lags.LAG_COLUMNS for k in lags.ROLL_HOURS]
+#: one infinite wind reading per site, which makes the means of its windows null and no others
+STORM = "id % 1000 < 19 AND id >= 1000"
+
+
+def storm_sql(c: str, k: int) -> str:
+    over = f"OVER (PARTITION BY branch_id ORDER BY tm ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
+    value = f"CASE WHEN {STORM} THEN NULL ELSE ws END" if c == "ws" else c
+    return f"CASE WHEN count({value}) {over} = {k} THEN avg({value}) {over} END AS {c}_roll{k}"
+
+
 @query(
     "past_rolling_means_ts3",
-    f"{SEASON} SELECT id, " + ", ".join(
-        rolling_sql(c, -k, -1, f"{c}_roll{k}") for c in ("ws", "ta_chi") for k in lags.ROLL_HOURS
-    ) + " FROM ready",
-    [f"{c}_roll{k}" for c in ("ws", "ta_chi") for k in lags.ROLL_HOURS],
+    f"{SEASON} SELECT id, " + ", ".join(storm_sql(c, k) for c in lags.LAG_COLUMNS for k in lags.ROLL_HOURS) + " FROM ready", ROLLED,
 )
 def _(spark, d):
-    rolled = lags.past_means(frames.ready_season(spark, d), ["ws", "ta_chi"])
-    return rolled.select("id", *[f"{c}_roll{k}" for c in ("ws", "ta_chi") for k in lags.ROLL_HOURS])
+    rows = frames.ready_season(spark, d).withColumn("ws", F.when(F.expr(STORM), float("inf")).otherwise(F.col("ws")))
+    return lags.past_means(rows).select("id", *ROLLED)
 
 
 @query(
@@ -65,59 +73,71 @@ def _(spark, d):
     return lags.moving_averages(frames.clean(spark, d)).select("id", *[f"{c}_ma" for c in lags.AVERAGE_COLUMNS])
 
 
-def padded_sql(c: str, n: int, longest: int, part: str) -> str:
+def heads_sql(columns, longest: int, keys: str) -> str:
+    """The first rows of each series as one list per column."""
+    lists = ", ".join(f"list({c} ORDER BY i) FILTER (i < {longest}) AS head_{c}" for c in columns)
+    return f"heads AS (SELECT {keys}, {lists} FROM placed GROUP BY {keys})"
+
+
+def padded_value(c: str, n: int, longest: int) -> str:
     """x[i-n], or x[p-n+i] among the first p = min(longest, length) rows."""
-    return (
-        f"CASE WHEN i >= {n} THEN lag({c}, {n}) OVER w ELSE (SELECT s.{c} FROM placed s WHERE {part} "
-        f"AND s.i = least({longest}, placed.len) - {n} + placed.i) END AS {c}_plag{n}"
-    )
+    place = f"least({longest}, len) - {n} + i"
+    return f"CASE WHEN i >= {n} THEN lag({c}, {n}) OVER w WHEN {place} >= 0 THEN head_{c}[{place} + 1] END"
 
 
-PADDED = {"ta": [1, 2, 3], "ws": [3, 4, 5], "hm": [5]}
+#: the longest lists of any group, of all readings
+PADDED = {c: list(n) for c, n in rules.LAG_LISTS["cluster0"].items() if c in NUMERIC}
+PADDED_LONGEST = max(max(ns) for ns in PADDED.values())
 
 
 @query(
     "padded_lags_ts5",
     f"""{HOURLY}, placed AS (SELECT *, row_number() OVER (PARTITION BY branch_id ORDER BY tm) - 1 AS i,
-    count(*) OVER (PARTITION BY branch_id) AS len FROM ready) SELECT id, """
-    + ", ".join(padded_sql(c, n, 5, "s.branch_id = placed.branch_id") for c, ns in PADDED.items() for n in ns)
-    + f" FROM placed {SITE}",
+    count(*) OVER (PARTITION BY branch_id) AS len FROM ready), {heads_sql(PADDED, PADDED_LONGEST, "branch_id")} SELECT id, """
+    + ", ".join(f"{padded_value(c, n, PADDED_LONGEST)} AS {c}_plag{n}" for c, ns in PADDED.items() for n in ns)
+    + f" FROM placed JOIN heads USING (branch_id) {SITE}",
     names(PADDED, "{c}_plag{n}"),
 )
 def _(spark, d):
     return lags.padded_lags(frames.ready(spark, d), PADDED).select("id", *names(PADDED, "{c}_plag{n}"))
 
 
-ROUTED = {key: {"ta": [n for n in rules.LAG_LISTS[key]["ta"] if n in (1, 3, 9, 24)]} for key in rules.CLUSTER_KEYS}
-ROUTED_NAMES = sorted({f"ta_plag{n}" for m in ROUTED.values() for n in m["ta"]}, key=lambda s: int(s[7:]))
+#: every list of every group, of readings and calendar columns
+PARTS_OF_TIME = ("year", "month", "day", "hour")
+ROUTED = {
+    key: {c: list(ns) for c, ns in lists.items() if c in (*NUMERIC, *PARTS_OF_TIME)} for key, lists in rules.LAG_LISTS.items()
+}
+ROUTED_COLUMNS = sorted({c for m in ROUTED.values() for c in m})
+ROUTED_NAMES = sorted({f"{c}_plag{n}" for m in ROUTED.values() for c, ns in m.items() for n in ns})
 
 
-def routed_sql(n: int) -> str:
-    own = "s.cluster_key = placed.cluster_key AND s.branch_id = placed.branch_id"
+def routed_sql(name: str) -> str:
+    c, n = name.split("_plag")[0], int(name.split("_plag")[1])
     cases = " ".join(
-        f"WHEN '{key}' THEN CASE WHEN i >= {n} THEN lag(ta, {n}) OVER w ELSE (SELECT s.ta FROM placed s WHERE {own} "
-        f"AND s.i = least({max(m['ta'])}, placed.len) - {n} + placed.i) END"
-        for key, m in ROUTED.items() if n in m["ta"]
+        f"WHEN '{key}' THEN {padded_value(c, n, lags.longest_lag(m))}" for key, m in ROUTED.items() if n in m.get(c, ())
     )
-    return f"CASE cluster_key {cases} END AS ta_plag{n}"
+    return f"CASE cluster_key {cases} END AS {name}"
 
 
 @query(
     "lags_by_model_group_ts6",
-    f"""{SEASON}, {KEYED}, placed AS (SELECT *, row_number() OVER (PARTITION BY cluster_key, branch_id ORDER BY tm) - 1
-    AS i, count(*) OVER (PARTITION BY cluster_key, branch_id) AS len FROM keyed) SELECT id, cluster_key, """
-    + ", ".join(routed_sql(int(c[7:])) for c in ROUTED_NAMES)
-    + " FROM placed WINDOW w AS (PARTITION BY cluster_key, branch_id ORDER BY tm)",
+    f"""{SEASON}, {KEYED}, dated AS (SELECT *, {", ".join(f"{c}(tm) AS {c}" for c in PARTS_OF_TIME)} FROM keyed),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY cluster_key, branch_id ORDER BY tm) - 1
+    AS i, count(*) OVER (PARTITION BY cluster_key, branch_id) AS len FROM dated),
+    {heads_sql(ROUTED_COLUMNS, 30, "cluster_key, branch_id")} SELECT id, cluster_key, """
+    + ", ".join(routed_sql(c) for c in ROUTED_NAMES)
+    + " FROM placed JOIN heads USING (cluster_key, branch_id) WINDOW w AS (PARTITION BY cluster_key, branch_id ORDER BY tm)",
     ROUTED_NAMES,
 )
 def _(spark, d):
-    placed = GROUP_SITES.row_index(keyed_season(spark, d).select("id", "branch_id", "tm", "cluster_key", "ta"))
+    dated = keyed_season(spark, d).withColumns({c: getattr(F, "dayofmonth" if c == "day" else c)("tm") for c in PARTS_OF_TIME})
+    placed = GROUP_SITES.row_index(dated.select("id", "branch_id", "tm", "cluster_key", *ROUTED_COLUMNS))
     out = None
     for key, lag_map in ROUTED.items():
         part = lags.padded_lags(placed.filter(F.col("cluster_key") == key), lag_map, GROUP_SITES)
         part = part.select("id", "cluster_key", *names(lag_map, "{c}_plag{n}"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    return out.select("id", "cluster_key", *[F.col(c).cast("double").alias(c) for c in ROUTED_NAMES])
 
 
 @query(
@@ -149,7 +169,7 @@ def _(spark, d):
 @query("lag_grid_ts9", f"{HOURLY} SELECT id, {lag_sql(GRID, '{c}_shift_{n}h')} FROM clean {SITE}",
        names(GRID, "{c}_shift_{n}h"))
 def _(spark, d):
-    return lags.lag_grid(frames.clean(spark, d), ["ta", "hm"]).select("id", *names(GRID, "{c}_shift_{n}h"))
+    return lags.lag_grid(frames.clean(spark, d), NUMERIC).select("id", *names(GRID, "{c}_shift_{n}h"))
 
 
 @query(
@@ -184,7 +204,7 @@ def _(spark, d):
 
 @query(
     "outage_runs_ts12",
-    f"""{HOURLY}, blank AS (SELECT branch_id, tm FROM clean WHERE ta IS NULL AND tm <> TIMESTAMP '2021-01-01 15:00:00'),
+    f"""{HOURLY}, blank AS (SELECT branch_id, tm FROM clean WHERE ta IS NULL),
     flagged AS (SELECT *, CASE WHEN tm - lag(tm) OVER (PARTITION BY branch_id ORDER BY tm) = INTERVAL 1 HOUR
       THEN 0 ELSE 1 END AS f FROM blank),
     grouped AS (SELECT *, sum(f) OVER (PARTITION BY branch_id ORDER BY tm ROWS UNBOUNDED PRECEDING) AS g FROM flagged),
@@ -192,8 +212,7 @@ def _(spark, d):
     SELECT branch_id, {SPAN}, duration FROM runs""",
 )
 def _(spark, d):
-    rows = frames.clean(spark, d).filter("tm <> timestamp'2021-01-01 15:00:00'")
-    runs = gaps.outage_runs(rows, ["ta"])
+    runs = gaps.outage_runs(frames.clean(spark, d), ["ta"])
     return runs.withColumns({c: frames.stamp(c) for c in ("start_time", "end_time")})
 
 
@@ -234,44 +253,49 @@ def _(spark, d):
     return gaps.interpolate_gaps(frames.clean_season(spark, d), ["ta"], mode="quadratic").select("id", "ta")
 
 
-SPARSE = "SELECT event_type, CAST(ts AS DATE) AS date, value FROM events WHERE day(ts) % 5 <> 2"
+#: orders by nation of the customer: many days have none
+SPARSE = "SELECT c_nationkey AS nation, CAST(o_orderdate AS DATE) AS date, o_totalprice AS value FROM orders JOIN customer ON o_custkey = c_custkey"
+
+
+def nation_orders(spark, d):
+    orders = frames.table(spark, d, "orders").select("o_custkey", "o_orderdate", F.col("o_totalprice").alias("value"))
+    nations = frames.table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    return orders.join(nations, "o_custkey")
 
 
 @query(
     "daily_resample_ts14",
-    f"""WITH sparse AS ({SPARSE}), daily AS (SELECT event_type, date, avg(value) AS value FROM sparse GROUP BY 1, 2),
-    spine AS (SELECT event_type, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+    f"""WITH sparse AS ({SPARSE}), daily AS (SELECT nation, date, avg(value) AS value FROM sparse GROUP BY 1, 2),
+    spine AS (SELECT nation, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
       FROM daily GROUP BY 1)
-    SELECT event_type, strftime(s.date, '%Y-%m-%d') AS date, value FROM spine s LEFT JOIN daily USING (event_type, date)""",
+    SELECT nation, strftime(s.date, '%Y-%m-%d') AS date, value FROM spine s LEFT JOIN daily USING (nation, date)""",
     "value",
 )
 def _(spark, d):
-    sparse = frames.table(spark, d, "events").filter(F.dayofmonth("ts") % 5 != 2)
-    return gaps.daily_resample(sparse, "value", ["event_type"], "ts").withColumn("date", frames.day())
+    return gaps.daily_resample(nation_orders(spark, d), "value", ["nation"], "o_orderdate").withColumn("date", frames.day())
 
 
-TYPE_DAYS = Series(keys=("event_type",), order=("date",), axis="date", span=1024)
+NATION_DAYS = Series(keys=("nation",), order=("date",), axis="date", span=1024)
 
 
 @query(
     "interpolate_in_time_ts15",
-    f"""WITH sparse AS ({SPARSE}), daily AS (SELECT event_type, date, avg(value) AS value FROM sparse GROUP BY 1, 2),
-    spine AS (SELECT event_type, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+    f"""WITH sparse AS ({SPARSE}), daily AS (SELECT nation, date, avg(value) AS value FROM sparse GROUP BY 1, 2),
+    spine AS (SELECT nation, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
       FROM daily GROUP BY 1),
-    j AS (SELECT event_type, s.date, value FROM spine s LEFT JOIN daily USING (event_type, date)),
-    e AS (SELECT *, max(CASE WHEN value IS NOT NULL THEN date END) OVER (PARTITION BY event_type ORDER BY date ROWS
-        UNBOUNDED PRECEDING) AS d0, min(CASE WHEN value IS NOT NULL THEN date END) OVER (PARTITION BY event_type
+    j AS (SELECT nation, s.date, value FROM spine s LEFT JOIN daily USING (nation, date)),
+    e AS (SELECT *, max(CASE WHEN value IS NOT NULL THEN date END) OVER (PARTITION BY nation ORDER BY date ROWS
+        UNBOUNDED PRECEDING) AS d0, min(CASE WHEN value IS NOT NULL THEN date END) OVER (PARTITION BY nation
         ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS d1 FROM j)
-    SELECT e.event_type, strftime(e.date, '%Y-%m-%d') AS date, coalesce(e.value, a.value + (b.value - a.value)
+    SELECT e.nation, strftime(e.date, '%Y-%m-%d') AS date, coalesce(e.value, a.value + (b.value - a.value)
       * (e.date - d0) / nullif(d1 - d0, 0), a.value, b.value) AS value FROM e
-    LEFT JOIN j a ON a.event_type = e.event_type AND a.date = d0
-    LEFT JOIN j b ON b.event_type = e.event_type AND b.date = d1""",
+    LEFT JOIN j a ON a.nation = e.nation AND a.date = d0
+    LEFT JOIN j b ON b.nation = e.nation AND b.date = d1""",
     "value",
 )
 def _(spark, d):
-    sparse = frames.table(spark, d, "events").filter(F.dayofmonth("ts") % 5 != 2)
-    daily = gaps.daily_resample(sparse, "value", ["event_type"], "ts")
-    return gaps.interpolate_in_time(daily, "value", TYPE_DAYS).withColumn("date", frames.day())
+    daily = gaps.daily_resample(nation_orders(spark, d), "value", ["nation"], "o_orderdate")
+    return gaps.interpolate_in_time(daily, "value", NATION_DAYS).withColumn("date", frames.day())
 
 
 def decomposition_sql(source: str, keys: str, order: str, value: str, period: int) -> str:
@@ -336,8 +360,8 @@ def _(spark, d):
         F.count(F.lit(1)).alias("hours"), F.max(gap).alias("largest_gap"), (F.max(F.abs("seasonal")) > 0).alias("has_season"))
 
 
-VARIABLES = ["ta_chi", "ws", "hm"]
-LAG_LIMIT = 30
+VARIABLES = list(WEATHER)
+LAG_LIMIT = 100
 
 
 def ccf_sql(keys: str) -> str:
@@ -352,18 +376,17 @@ def ccf_sql(keys: str) -> str:
     pairs AS (SELECT {", ".join("a." + k for k in keys.split(", "))}, a.variable, k AS lag, a.y, b.x FROM placed a,
       (SELECT unnest(range(1, {LAG_LIMIT + 1})) AS k) JOIN placed b ON {" AND ".join(f"a.{k} = b.{k}" for k in keys.split(", "))}
       AND a.variable = b.variable AND b.i = a.i + k),
-    ccf AS (SELECT {keys}, variable, CAST(lag AS INT) AS lag, sum((x - mx) * (y - my)) / any_value(n - lag)
-      / (any_value(sx) * any_value(sy)) AS ccf, any_value(1.96e0 / sqrt(n)) AS band
-      FROM pairs JOIN m USING ({keys}, variable) GROUP BY {keys}, variable, lag)"""
+    found AS (SELECT {keys}, variable, CAST(lag AS INT) AS lag, sum((x - mx) * (y - my)) / any_value(n - lag)
+      / (any_value(sx) * any_value(sy)) AS ccf FROM pairs JOIN m USING ({keys}, variable) GROUP BY {keys}, variable, lag),
+    every AS (SELECT {keys}, variable, n, CAST(unnest(range(1, {LAG_LIMIT + 1})) AS INT) AS lag FROM m),
+    ccf AS (SELECT {keys}, variable, lag, ccf, 1.96e0 / sqrt(n) AS band FROM every LEFT JOIN found USING ({keys}, variable, lag))"""
 
 
-SEASON_KEYED = """keyed AS (SELECT *, CAST(month(tm) BETWEEN 6 AND 9 AS INT) AS is_summer FROM clean
-    WHERE branch_id IN ('A','D','H','P'))"""
+SEASON_KEYED = "keyed AS (SELECT *, CAST(month(tm) BETWEEN 6 AND 9 AS INT) AS is_summer FROM clean)"
 
 
 def ccf_season(spark, d):
-    rows = frames.clean_season(spark, d).filter(F.col("branch_id").isin(*"ADHP"))
-    rows = rows.withColumn("is_summer", F.month("tm").between(6, 9).cast("int"))
+    rows = frames.clean_season(spark, d).withColumn("is_summer", F.month("tm").between(6, 9).cast("int"))
     lane = Series(keys=("is_summer", "branch_id"))
     return crosscorr.cross_correlation(rows, "heat_demand", VARIABLES, LAG_LIMIT, lane)
 
@@ -398,13 +421,12 @@ def _(spark, d):
 
 @query(
     "missing_hours_ts21",
-    """WITH present AS (SELECT DISTINCT event_type, date_trunc('hour', ts) AS tm FROM events WHERE hour(ts) % 6 <> 1),
-    ends AS (SELECT event_type, min(tm) AS a, max(tm) AS b FROM present GROUP BY 1),
-    spine AS (SELECT event_type, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS tm FROM ends)
-    SELECT s.event_type, strftime(s.tm, '%Y-%m-%d %H:%M:%S') AS tm FROM spine s
-    LEFT JOIN present p ON p.event_type = s.event_type AND p.tm = s.tm WHERE p.tm IS NULL""",
+    """WITH present AS (SELECT DISTINCT user_id, date_trunc('hour', ts) AS tm FROM events),
+    ends AS (SELECT user_id, min(tm) AS a, max(tm) AS b FROM present GROUP BY 1),
+    spine AS (SELECT user_id, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS tm FROM ends)
+    SELECT s.user_id, strftime(s.tm, '%Y-%m-%d %H:%M:%S') AS tm FROM spine s
+    LEFT JOIN present p ON p.user_id = s.user_id AND p.tm = s.tm WHERE p.tm IS NULL""",
 )
 def _(spark, d):
-    hours = frames.table(spark, d, "events").filter(F.hour("ts") % 6 != 1)
-    present = hours.select("event_type", F.date_trunc("hour", "ts").alias("tm")).distinct()
-    return gaps.missing_hours(present, ["event_type"]).withColumn("tm", frames.stamp())
+    present = frames.table(spark, d, "events").select("user_id", F.date_trunc("hour", "ts").alias("tm")).distinct()
+    return gaps.missing_hours(present, ["user_id"]).withColumn("tm", frames.stamp())

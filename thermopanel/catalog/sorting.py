@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from thermopanel import rules
 from thermopanel.catalog import HOURLY, frames, query
 from thermopanel.catalog.features import SECTOR8
 from thermopanel.functions import weather
@@ -44,13 +45,13 @@ def _(spark, d):
 
 @query(
     "union_of_groups_se1",
-    f"{HOURLY} SELECT id, 'north' AS part, ta, NULL::DOUBLE AS ws FROM clean WHERE branch_id < 'F' UNION ALL "
-    "SELECT id, 'south', NULL, ws FROM clean WHERE branch_id > 'M'", "ta ws",
+    f"{HOURLY} SELECT id, 'north' AS part, ta, NULL::DOUBLE AS ws FROM clean WHERE branch_id < 'J' UNION ALL "
+    "SELECT id, 'south', NULL, ws FROM clean WHERE branch_id >= 'J'", "ta ws",
 )
 def _(spark, d):
     rows = frames.clean(spark, d)
-    north = rows.filter("branch_id < 'F'").select("id", F.lit("north").alias("part"), "ta")
-    south = rows.filter("branch_id > 'M'").select("id", F.lit("south").alias("part"), "ws")
+    north = rows.filter("branch_id < 'J'").select("id", F.lit("north").alias("part"), "ta")
+    south = rows.filter("branch_id >= 'J'").select("id", F.lit("south").alias("part"), "ws")
     return ordering.union_all([north, south])
 
 
@@ -83,9 +84,9 @@ def _(spark, d):
 
 @query(
     "long_to_wide_se4",
-    HOURLY + f"SELECT {STAMP}, " + ", ".join(f"max(ta_chi) FILTER (branch_id = '{s}') AS {s}" for s in "ABC")
-    + " FROM clean WHERE branch_id IN ('A','B','C') GROUP BY clean.tm", "A B C",
+    HOURLY + f"SELECT {STAMP}, " + ", ".join(f"max(ta_chi) FILTER (branch_id = '{s}') AS {s}" for s in rules.SITES)
+    + " FROM clean GROUP BY clean.tm", list(rules.SITES),
 )
 def _(spark, d):
-    rows = frames.clean(spark, d).filter(F.col("branch_id").isin(*"ABC")).withColumn("tm", frames.stamp())
-    return joins.side_by_side(rows, "tm", "branch_id", list("ABC"), "ta_chi")
+    rows = frames.clean(spark, d).withColumn("tm", frames.stamp())
+    return joins.side_by_side(rows, "tm", "branch_id", list(rules.SITES), "ta_chi")

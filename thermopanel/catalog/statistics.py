@@ -88,7 +88,7 @@ def _(spark, d):
     return stats.correlation_difference(long, "season", "summer", "other", ["branch_id", "feature"])
 
 
-GRID = {c: range(1, 13) for c in ("ta_chi", "ws", "hm")}
+GRID = {c: range(1, 24) for c in WEATHER}
 GRID_NAMES = names(GRID, "{c}_shift_{n}h")
 GRID_FEATURES = [*GRID, *GRID_NAMES]
 GRID_SQL = f"grid AS (SELECT *, {lag_sql(GRID, '{c}_shift_{n}h')} FROM clean WINDOW w AS (PARTITION BY branch_id ORDER BY tm)),\n" \
@@ -97,7 +97,7 @@ GRID_SQL = f"grid AS (SELECT *, {lag_sql(GRID, '{c}_shift_{n}h')} FROM clean WIN
 
 def grid_correlations(spark, d):
     rows = frames.clean(spark, d).select("branch_id", "tm", "heat_demand", *GRID)
-    grid = lags.lag_grid(rows, list(GRID), 12)
+    grid = lags.lag_grid(rows, list(GRID))
     return stats.correlation_with(grid, "heat_demand", GRID_FEATURES, ["branch_id"])
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,21 +14,22 @@ from thermopanel.operators.lags import change_exprs, lag_exprs
 from thermopanel.operators.series import IDX, LEN, SITE_HOURS
 
 SEASONS = replace(stl.STL_SERIES, keys=("is_summer",))
+SERIES = replace(stl.STL_SERIES, keys=("is_summer", "variable"))
 
 
 def residual_lags(
-    df: DataFrame, target: str, variables: Sequence[str], max_lag: int = 30, robust: bool = True, period: int = 24
+    df: DataFrame, target: str, variables: Sequence[str], max_lag: int = 100, robust: bool = True, period: int = 24
 ) -> DataFrame:
     """Best lag per season and variable between residuals of hourly means over sites."""
     marked = df.withColumn("is_summer", is_long_summer(F.month("tm")).cast("int"))
     hourly = aggregates.group_means(marked, ["is_summer", "tm"], [target, *variables])
     decompose = stl.robust_stl if robust else stl.stl
-    parts = []
-    for c in (target, *variables):
-        known = hourly.select("is_summer", "tm", F.col(f"{c}_mean").alias("v")).filter(F.col("v").isNotNull())
-        parts.append(decompose(known, "v", period, series=SEASONS).select("is_summer", "tm", F.col("resid").alias(c)))
-    joined = reduce(lambda a, b: a.join(b, ["is_summer", "tm"], "left"), parts)
-    ccf = crosscorr.cross_correlation(joined, target, variables, max_lag, SEASONS)
+    # all columns and seasons are series of one table, so that a round of weights is one job for all of them
+    columns = [target, *variables]
+    long = hourly.unpivot(["is_summer", "tm"], [F.col(f"{c}_mean").alias(c) for c in columns], "variable", "v")
+    resid = decompose(long.filter(F.col("v").isNotNull()), "v", period, series=SERIES)
+    wide = resid.groupBy("is_summer", "tm").pivot("variable", columns).agg(F.first("resid"))
+    ccf = crosscorr.cross_correlation(wide, target, variables, max_lag, SEASONS)
     return crosscorr.best_lag(ccf, ["is_summer", "variable"])
 
 
