@@ -17,8 +17,8 @@ from thermopanel.sources import files, panels
 INVENTORY = {"io": 7, "cl": 19, "fe": 21, "jn": 9, "ag": 21, "ts": 21, "st": 9, "km": 7, "ml": 17, "so": 4, "se": 4}
 
 
-def test_every_inventory_line_has_a_query():
-    covered = {m.group(1) for n in contract.queries() if (m := re.search(r"_([a-z]{2}\d+)$", n))}
+def test_every_inventory_line_has_a_query_with_sql():
+    covered = {m.group(1) for n in contract.oracle_sql() if (m := re.search(r"_([a-z]{2}\d+)$", n))}
     assert {f"{k}{i}" for k, n in INVENTORY.items() for i in range(1, n + 1)} <= covered
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
@@ -81,6 +81,16 @@ def test_all_groups_keep_every_mapped_row(spark, sf_dir):
     assert not got.filter("cluster_key = 'cluster1' AND ta_plag24 IS NOT NULL").head(1)
 
 
+def test_all_groups_share_one_pass_over_the_panel(spark, sf_dir):
+    frames_of_groups = features.group_frames(panels.obs_season(spark, sf_dir), ("cluster1", "cluster3"), decompose=False, fill="group")
+    for key, frame in frames_of_groups.items():
+        plan = plan_of(frame)
+        assert "events.parquet" not in plan and frame.count() > 0
+        alone = features.group_frame(panels.obs_season(spark, sf_dir), key, decompose=False, fill="group")
+        columns = ["id", "ta", "ws", "ta_roll24", "cumulative_si", "dew_point"]
+        assert sorted(frame.select(*columns).collect()) == sorted(alone.select(*columns).collect())
+
+
 def test_training_run_end_to_end(spark, sf_dir):
     raw = panels.obs_season(spark, sf_dir)
     options = experiment.Options(models={"GBT": {"maxIter": 1, "maxDepth": 2}}, keys=("cluster1",))

@@ -61,6 +61,13 @@ def _(spark, d):
     return spark.read.schema(scores.schema).json(f"{path}/json")
 
 
+@query("read_metrics_back_io5", f"{WITH_PREDICTED} SELECT cluster_key, model, {SCORE_SQL} FROM predicted GROUP BY 1, 2", SCORES)
+def _(spark, d):
+    path = scratch_path(spark, "metrics")
+    files.write_metrics(metrics.regression_metrics(predicted(spark, d), ["cluster_key", "model"]), path)
+    return files.read_metrics(spark, path)
+
+
 @query(
     "write_submission_io6",
     f"{HOURLY} SELECT o.id, p.heat_demand FROM obs o LEFT JOIN (SELECT id, heat_demand * 2 AS heat_demand FROM ready) p "

@@ -8,6 +8,7 @@ from thermopanel.catalog import BREAKPOINTS_SQL, HOURLY, NIGHTS_SQL, SEASON, fra
 from thermopanel.catalog.aggregates import histogram_sql
 from thermopanel.catalog.cleaning import KEYED, keyed_season
 from thermopanel.catalog.features import ALPHA, SECTOR4
+from thermopanel.catalog.series import heads_sql, padded_value
 from thermopanel.functions.weather import wind_sector4
 from thermopanel.models import encode, metrics, splits, train
 from thermopanel.operators import ordering
@@ -343,16 +344,8 @@ def _(spark, d):
     return features.smoothed_daily(frames.raw(spark, d)).withColumn("date", frames.day())
 
 
-KEPT = ["ta", "ws", "hm", "ta_chi"]
-PLAG = {"ta": [1, 2, 3], "ws": [3, 4, 5]}
-FILLED = [*KEPT, *[f"{c}_plag{n}" for c, ns in PLAG.items() for n in ns]]
-
-
-def plag(c: str, n: int) -> str:
-    return (
-        f"CASE WHEN i >= {n} THEN lag({c}, {n}) OVER w ELSE (SELECT s.{c} FROM placed s WHERE s.branch_id = placed.branch_id "
-        f"AND s.i = least(5, placed.len) - {n} + placed.i) END AS {c}_plag{n}"
-    )
+KEPT = ["ta", "ws", "hm", "ta_chi", "rn_day", "rn_hr1"]
+SITE = "PARTITION BY branch_id ORDER BY tm"
 
 
 def fill_all(c: str) -> str:
@@ -363,22 +356,32 @@ def fill_all(c: str) -> str:
     )
 
 
-SITE = "PARTITION BY branch_id ORDER BY tm"
-FEATURE_DOUBLES = [
-    *FILLED, "si", "ta_lag24", "ta_roll24", "hm_roll3", "cumulative_si", "dew_point", "heating_degree", "hour_sin",
-    "heat_demand_log",
-]
+def group_lags(key: str) -> dict[str, list[int]]:
+    """The group's lag lists of the readings that its twin computes."""
+    return {c: list(ns) for c, ns in rules.LAG_LISTS[key].items() if c in KEPT}
 
 
-@query(
-    "features_of_cluster1",
-    f"""{SEASON}, own AS (SELECT r.*, CASE WHEN EXISTS (SELECT 1 FROM {NIGHTS_SQL} WHERE n.site = r.branch_id
+def group_names(key: str) -> list[str]:
+    return [*KEPT, *[f"{c}_plag{n}" for c, ns in group_lags(key).items() for n in ns]]
+
+
+FEATURE_DOUBLES = ["si", "ta_lag24", "ta_roll24", "hm_roll3", "cumulative_si", "dew_point", "heating_degree", "hour_sin", "heat_demand_log"]
+
+
+def group_sql(key: str) -> str:
+    """Readings, lag lists, fills over the group, rolling means, daily flags and scalar features of one group."""
+    listed, filled = group_lags(key), group_names(key)
+    # padding is as long as the longest of all the group's lists
+    longest = max(max(ns) for ns in rules.LAG_LISTS[key].values())
+    return f"""{SEASON}, {KEYED}, own AS (SELECT r.*, CASE WHEN EXISTS (SELECT 1 FROM {NIGHTS_SQL} WHERE n.site = r.branch_id
         AND month(r.tm) * 100 + day(r.tm) BETWEEN n.start_md AND n.end_md
         AND (hour(r.tm) >= n.night_start OR hour(r.tm) <= n.night_end)) THEN 0e0 ELSE si END AS si2
-      FROM ready r WHERE branch_id IN ('B','C','G')),
+      FROM keyed r WHERE cluster_key = '{key}'),
     placed AS (SELECT *, row_number() OVER ({SITE}) - 1 AS i, count(*) OVER (PARTITION BY branch_id) AS len FROM own),
-    lagged AS (SELECT *, {", ".join(plag(c, n) for c, ns in PLAG.items() for n in ns)} FROM placed WINDOW w AS ({SITE})),
-    filled AS (SELECT id, branch_id, tm, heat_demand, rn_hr1, {", ".join(fill_all(c) for c in [*FILLED, 'si2'])} FROM lagged),
+    {heads_sql(listed, longest, "branch_id")},
+    lagged AS (SELECT *, {", ".join(f"{padded_value(c, n, longest)} AS {c}_plag{n}" for c, ns in listed.items() for n in ns)}
+      FROM placed JOIN heads USING (branch_id) WINDOW w AS ({SITE})),
+    filled AS (SELECT id, branch_id, tm, heat_demand, {", ".join(fill_all(c) for c in [*filled, 'si2'])} FROM lagged),
     rolled AS (SELECT *, lag(ta, 24) OVER ({SITE}) AS ta_lag24,
       CASE WHEN count(ta) OVER r24 = 24 THEN avg(ta) OVER r24 END AS ta_roll24,
       CASE WHEN count(hm) OVER r3 = 3 THEN avg(hm) OVER r3 END AS hm_roll3,
@@ -387,16 +390,25 @@ FEATURE_DOUBLES = [
       r3 AS ({SITE} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)),
     flags AS (SELECT CAST(tm AS DATE) AS date, CAST(max(ta) >= 33 AS INT) AS heatwave, CAST(min(ta) <= -12 AS INT) AS coldwave
       FROM filled GROUP BY 1)
-    SELECT id, {", ".join(FILLED)}, si2 AS si, ta_lag24, ta_roll24, hm_roll3, cumulative_si, heatwave, coldwave,
+    SELECT id, {", ".join(filled)}, si2 AS si, ta_lag24, ta_roll24, hm_roll3, cumulative_si, heatwave, coldwave,
       (237.7e0 * {ALPHA}) / (17.27e0 - {ALPHA}) AS dew_point, greatest(18 - ta, 0) AS heating_degree,
       sin(2 * pi() * hour(tm) / 24) AS hour_sin, ln(1 + heat_demand) AS heat_demand_log,
       CASE WHEN ta < x0 THEN 'low' WHEN ta < x1 THEN 'mid' ELSE 'high' END AS ta_zone
-    FROM rolled JOIN flags ON flags.date = CAST(tm AS DATE) LEFT JOIN {BREAKPOINTS_SQL} ON b.site = rolled.branch_id""",
-    FEATURE_DOUBLES,
-)
-def _(spark, d):
-    frame = features.group_frame(frames.raw_season(spark, d), "cluster1", decompose=False, fill="group")
-    return frame.select("id", *FEATURE_DOUBLES, "heatwave", "coldwave", "ta_zone")
+    FROM rolled JOIN flags ON flags.date = CAST(tm AS DATE) LEFT JOIN {BREAKPOINTS_SQL} ON b.site = rolled.branch_id"""
+
+
+def register_group(key: str, name: str) -> None:
+    doubles = [*group_names(key), *FEATURE_DOUBLES]
+
+    @query(name, group_sql(key), doubles)
+    def _(spark, d):
+        frame = features.group_frame(frames.raw_season(spark, d), key, decompose=False, fill="group")
+        return frame.select("id", *doubles, "heatwave", "coldwave", "ta_zone")
+
+
+register_group("cluster1", "features_of_cluster1")
+for _key in ("cluster0", "cluster2_summer", "cluster2_non_summer", "cluster3"):
+    register_group(_key, f"filled_features_of_{_key}")
 
 
 @query("features_of_cluster0")
@@ -407,3 +419,11 @@ def _(spark, d):
 @query("features_of_cluster2_summer")
 def _(spark, d):
     return features.group_frame(frames.raw_season(spark, d), "cluster2_summer")
+
+
+@query("features_of_all_groups", f"{SEASON}, {KEYED} SELECT cluster_key, count(*) AS rows, count(*) FILTER (month(tm) BETWEEN 6 AND 9) AS summer FROM keyed GROUP BY 1")
+def _(spark, d):
+    """Complete frames of all groups, decomposition included, from one pass over the panel."""
+    frame = features.all_groups(frames.raw_season(spark, d))
+    return frame.groupBy("cluster_key").agg(
+        F.count("trend").alias("rows"), F.count_if(F.col("month").between(6, 9) & F.col("seasonal").isNotNull()).alias("summer"))

@@ -25,6 +25,7 @@ def wind_sector4(wd: str | Column = "wd", null_label: str = "Unknown") -> Column
     )
 
 
+# fixed value: names of the eight sectors
 SECTORS8 = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 
 
@@ -36,7 +37,7 @@ def wind_sector8(wd: str | Column = "wd", null_label: str = "Unknown") -> Column
     return F.when(wd.isNull(), null_label).otherwise(F.get(names, sector))
 
 
-#: calm, weak, medium, strong
+# fixed value: labels of calm, weak, medium and strong wind; their limits 1, 4 and 9 m/s are fixed too
 WIND_CLASSES = ("정지", "약풍", "중풍", "강풍")
 
 

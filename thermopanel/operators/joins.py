@@ -11,17 +11,16 @@ from pyspark.sql import functions as F
 from thermopanel import rules
 from thermopanel.functions.weather import temperature_zone
 
-SALTS = 32
-
 
 def salted_join(
-    facts: DataFrame, groups: DataFrame, keys: Sequence[str], salt: Column, how: str = "left", salts: int = SALTS
+    facts: DataFrame, groups: DataFrame, keys: Sequence[str], salt: Column, how: str = "left", salts: int | None = None
 ) -> DataFrame:
     """Join group-level rows to facts when few keys hold most of the facts.
 
-    The facts of a key are spread over ``salts`` tasks and its group row is repeated
-    for each. Where the group table is small enough, Spark broadcasts it anyway.
+    The facts of a key are spread over ``salts`` tasks, as many as a shuffle has partitions unless told, and its group row
+    is repeated for each. Where the group table is small enough, Spark broadcasts it anyway.
     """
+    salts = salts or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = facts.withColumn("__salt", F.pmod(F.hash(salt), F.lit(salts)))
     repeated = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(repeated, [*keys, "__salt"], how).drop("__salt")
@@ -66,12 +65,8 @@ def _flag(condition: Column) -> Column:
 
 
 def join_daily(df: DataFrame, daily: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:
-    """Daily columns on every row of the day.
-
-    A table keyed by date alone has one row per calendar day, so it is broadcast: a
-    century is 36 525 rows. With more keys Spark decides.
-    """
-    return df.join(F.broadcast(daily) if list(by) == ["date"] else daily, list(by), "left")
+    """Daily columns on every row of the day; how the two are joined is left to Spark's own check of their sizes."""
+    return df.join(daily, list(by), "left")
 
 
 def with_temperature_flags(df: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:

@@ -143,12 +143,15 @@ def _one_pass(
 ) -> DataFrame:
     """Inner iterations over blocks; with ``weight`` they start from the trend found before."""
     halo = reach(period, iterations)
+    indexed = df if IDX in df.columns else series.row_index(df)
+    # Python sees the place, the value and what weighs it; the other columns wait in the JVM for the result
+    before = [c for c in (weight, "trend" if weight else None) if c]
+    narrow = indexed.select(*series.keys, IDX, LEN, column, *before)
     # one null anywhere leaves the whole series as it is, whichever block it is in
-    gaps = df.groupBy(*series.keys).agg(F.max(F.col(column).isNull() | F.isnan(F.col(column).cast("double"))).alias(GAP))
-    laid = series.blocks(df, before=halo, after=halo)
+    gaps = narrow.groupBy(*series.keys).agg(F.max(F.col(column).isNull() | F.isnan(F.col(column).cast("double"))).alias(GAP))
+    laid = series.blocks(narrow, before=halo, after=halo)
     laid = salted_join(laid, gaps, list(series.keys), F.col(IDX)) if series.keys else laid.crossJoin(gaps)
-    helpers = [BLOCK, OWN, GAP] if IDX in df.columns else [IDX, LEN, BLOCK, OWN, GAP]
-    kept = [f for f in laid.schema if f.name not in (*helpers, *PARTS)]
+    kept = [f for f in laid.schema if f.name in (*series.keys, IDX)]
     out_schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in PARTS])
 
     def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -165,7 +168,11 @@ def _one_pass(
         pdf = pdf.assign(trend=trend, seasonal=seasonal, resid=y - trend - seasonal)
         return pdf.loc[pdf[OWN], [f.name for f in out_schema]]
 
-    return laid.groupBy(*series.keys, BLOCK).applyInPandas(decompose, out_schema)
+    parts = laid.groupBy(*series.keys, BLOCK).applyInPandas(decompose, out_schema)
+    place = F.floor(F.col(IDX) / F.lit(series.block_rows))  # rows of a place meet in bounded groups
+    out = indexed.drop(*PARTS).withColumn("__at", place).join(parts.withColumn("__at", place), [*series.keys, "__at", IDX])
+    return out.drop("__at", *([] if IDX in df.columns else [IDX, LEN])).select(
+        *[c for c in df.columns if c not in PARTS], *PARTS)
 
 
 def robust_stl(

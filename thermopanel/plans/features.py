@@ -16,6 +16,7 @@ from thermopanel.functions.numeric import present
 from thermopanel.models.splits import with_cluster_key
 from thermopanel.operators import cleaning, gaps, joins, lags, stl
 from thermopanel.operators.series import IDX, LEN, SITE_HOURS, Series
+from thermopanel.session import materialise
 from thermopanel.sources.panels import WEATHER
 
 GROUP_SITES = Series(keys=("cluster_key", "branch_id"), order=("tm",), axis="tm")
@@ -50,16 +51,39 @@ def site_trend(df: DataFrame, column: str | None, rows: DataFrame) -> DataFrame:
     return with_trend(df, column, stl.MIN_ROWS, GROUP_SITES).drop("__ta")
 
 
-def group_frame(
-    raw: DataFrame,
+def grouped_base(raw: DataFrame, keys: Sequence[str], is_test: bool = False, decompose: bool = True) -> DataFrame:
+    """Cleaned rows of all asked groups with their group and place in it: the panel is read once for all of them.
+
+    The rows are written out, as every group's summaries and blocks start from them.
+    """
+    clusters = sorted({int(key[len("cluster"):][0]) for key in keys})
+    sites = [site for c in clusters for site in rules.cluster_members(c)]
+    df = base_frame(raw.filter(F.col("branch_id").isin(sites)), is_test)
+    df = base = materialise(with_cluster_key(joins.with_cluster(df)).drop("cluster_id"))
+    if decompose and 2 in clusters:
+        # the trend of these sites runs through both seasons
+        split = F.col("branch_id").isin(rules.cluster_members(2))
+        two = base.filter(split)
+        two = gap_free(SITE_HOURS.row_index(two), "ta", "__ta", SITE_HOURS, two)
+        two = with_trend(two, "__ta", 72, SITE_HOURS).drop("__ta", IDX, LEN)
+        df = two.unionByName(base.filter(~split), allowMissingColumns=True) if len(clusters) > 1 else two
+    return materialise(GROUP_SITES.row_index(df.filter(F.col("cluster_key").isin(list(keys))), source=base))
+
+
+def group_frame(raw: DataFrame, cluster_key: str, is_test: bool = False, decompose: bool = True, **options) -> DataFrame:
+    """Features of one model group, one row per site and hour; see :func:`frame_of`."""
+    return frame_of(grouped_base(raw, [cluster_key], is_test, decompose), cluster_key, decompose, **options)
+
+
+def frame_of(
+    base: DataFrame,
     cluster_key: str,
-    is_test: bool = False,
     decompose: bool = True,
     padded: bool = True,
     fill: str | None = "site",
     lag_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Features of one model group, one row per site and hour.
+    """Features of one model group from :func:`grouped_base`.
 
     ``padded``: the first hours of the group's lag list borrow from the head of their
     own series; else they are null. ``fill`` says how nulls are filled: 'site' fills
@@ -68,17 +92,10 @@ def group_frame(
     which differs in the first hours of a site only; None leaves nulls. Padding and
     backward fills look ahead in time: switch both off to train without leakage.
     """
-    cluster = int(cluster_key[len("cluster")])
-    sites = rules.cluster_members(cluster)
-    df = base_frame(raw.filter(F.col("branch_id").isin(sites)), is_test)
-    df = with_cluster_key(df.withColumn("cluster_id", F.lit(cluster))).drop("cluster_id")
-    if decompose and cluster == 2:
-        df = gap_free(SITE_HOURS.row_index(df), "ta", "__ta", SITE_HOURS, df)
-        df = with_trend(df, "__ta", 72, SITE_HOURS).drop("__ta", IDX, LEN)
-    own = F.col("cluster_key") == cluster_key
-    rows = base_frame(raw.filter(F.col("branch_id").isin(sites)), is_test)
-    rows = with_cluster_key(rows.withColumn("cluster_id", F.lit(cluster))).filter(own)
-    df = GROUP_SITES.row_index(df.filter(own), source=rows)
+    df = rows = base.filter(F.col("cluster_key") == cluster_key)
+    through_seasons = cluster_key.startswith("cluster2")
+    if not (decompose and through_seasons):
+        df = rows = rows.drop("trend", "seasonal")
 
     wanted = {c: n for c, n in rules.LAG_LISTS[cluster_key].items() if c in df.columns}
     if lag_columns is not None:
@@ -106,7 +123,7 @@ def group_frame(
         df = cleaning.fill_residual(df, readings + new, across_groups=True)
     elif fill == "site":
         df = GROUP_SITES.fill(df, readings, True, True, source=rows)
-    if decompose and cluster != 2:
+    if decompose and not through_seasons:
         df = site_trend(df, "ta" if fill else None, rows)
     df = joins.join_daily(joins.with_temperature_zone(lags.running_radiation(df)), flags)
     scalars = {
@@ -127,8 +144,12 @@ def group_frame(
     return cleaning.drop_service_columns(GROUP_SITES.own_rows(wide))
 
 
-def group_frames(raw: DataFrame, keys: Sequence[str] = rules.CLUSTER_KEYS, **options) -> dict[str, DataFrame]:
-    return {key: group_frame(raw, key, **options) for key in keys}
+def group_frames(
+    raw: DataFrame, keys: Sequence[str] = rules.CLUSTER_KEYS, is_test: bool = False, decompose: bool = True, **options
+) -> dict[str, DataFrame]:
+    """A frame per group, from one pass over the panel."""
+    base = grouped_base(raw, keys, is_test, decompose)
+    return {key: frame_of(base, key, decompose, **options) for key in keys}
 
 
 def all_groups(raw: DataFrame, keys: Sequence[str] = rules.CLUSTER_KEYS, **options) -> DataFrame:

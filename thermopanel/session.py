@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
 CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
-_TEST_DIRS: dict[str, str] = {}
+SHARED = "spark.checkpoint.dir"
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "thermopanel", master: str | None = None, partitions: int | None = None) -> SparkSession:
@@ -24,6 +27,8 @@ def build_session(app: str = "thermopanel", master: str | None = None, partition
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if (master or "").startswith("local") and not SparkConf().get(SHARED, None):
+        builder = builder.config(SHARED, tempfile.mkdtemp(prefix="thermopanel-"))  # tests of one machine
     if master:
         builder = builder.master(master).config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEM", "12g"))
     if partitions:
@@ -38,25 +43,36 @@ def prepare(spark: SparkSession) -> SparkSession:
     allows it: a feature frame is built from thousands of them.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship(spark)
     if spark.conf.isModifiable(CALL_SITES):
         spark.conf.set(CALL_SITES, "false")
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, wherever the driver was started; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    # the context's own folder goes when it stops; Spark copies the file to the executors
+    path = os.path.join(context._temp_dir, "thermopanel.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as packed:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    packed.write(full, os.path.relpath(full, os.path.dirname(here)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
 
-    Only a local session that names none (a test) gets a folder of this machine; on a cluster that is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _TEST_DIRS:
-        _TEST_DIRS[app] = tempfile.mkdtemp(prefix="thermopanel-")
-    return _TEST_DIRS[app]
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session, which must be set."""
+    base = spark.conf.get(SHARED, None)
+    if not base:
+        raise ValueError(f"{SHARED} must name a folder that all executors share")
+    return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -73,6 +73,14 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(f"{path}/csv", header=True)
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV that :func:`write_metrics` wrote, with numbers as numbers."""
+    names = spark.read.csv(f"{path}/csv", header=True).columns
+    text = ("cluster_key", "model")
+    schema = ", ".join(f"`{c}` {'string' if c in text else 'double'}" for c in names)
+    return spark.read.schema(schema).csv(f"{path}/csv", header=True)
+
+
 def write_submission(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Submission CSV. ``single_file`` is for frames known to be small."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").csv(path, header=True)
