@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from collections.abc import Sequence
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -30,7 +32,7 @@ from thermopanel.llm.common import per_text, ragged
 
 MARK = "▁"
 #: Distinct segments remembered by a task; bounds its memory.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 class Agenda:
@@ -244,11 +246,20 @@ class Encoder:
         self.number: dict[bytes, int] = {}
         self._reset()
 
-    def _reset(self) -> None:
-        self.number.clear()
-        self.counts: list[int] = []
-        self.ids_text: list[bytes] = []
-        self.plain: list[bytes] = []
+    def _reset(self, keep: Sequence[int] = ()) -> None:
+        """Forget all segments but those with these numbers."""
+        segments = list(self.number) if len(keep) else []
+        self.number = {segments[i]: n for n, i in enumerate(keep)}
+        self.counts: list[int] = [self.counts[i] for i in keep]
+        self.ids_text: list[bytes] = [self.ids_text[i] for i in keep]
+        self.plain: list[bytes] = [self.plain[i] for i in keep]
+        self.last = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep what the last slice had more than once, the most frequent segments first, up to half of the memory."""
+        often = np.bincount(self.last, minlength=len(self.counts))
+        again = np.flatnonzero(often > 1)
+        self._reset(again[np.argsort(-often[again], kind="stable")][:REMEMBERED // 2].tolist())
 
     def _learn(self, segments: list[bytes]) -> None:
         strings = [s.decode() for s in segments]
@@ -259,25 +270,30 @@ class Encoder:
         digits = self.agenda.digits.__getitem__
         self.ids_text += [b"".join(map(digits, found)) for found in ids]
         # a segment's bytes are whole characters, so it decodes apart from the text around it
-        self.plain += [self.agenda.plain(found).encode() for found in ids]
+        # pieces that stand for themselves join to the segment they were cut from
+        mark, spoken = MARK.encode(), self.agenda.spoken.issuperset
+        self.plain += [
+            s.replace(mark, b" ") if spoken(found) else self.agenda.plain(found).encode() for s, found in zip(segments, ids)
+        ]
 
     def run(self, column: pa.Array) -> dict:
         mark = MARK.encode()
         if len(self.number) > REMEMBERED:
-            self._reset()
+            self._forget()
         lists: list[list[bytes]] = []
         texts = [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
         for text in texts:
             lists.append(self._cut(mark + text.replace(b" ", mark)) if text else [])
-        new = {s for x in lists for s in x}.difference(self.number)
+        new = set(chain.from_iterable(lists)).difference(self.number)
         if new:
             self._learn(list(new))
-        numbers = np.fromiter((self.number[s] for x in lists for s in x), np.int64)
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(lists)), np.int64)
+        self.last = numbers
         sizes = np.array([len(x) for x in lists], np.int64)
         bounds = np.concatenate(([0], np.cumsum(sizes)))
         counts = np.concatenate(([0], np.cumsum(np.asarray(self.counts, np.int64)[numbers] if len(numbers) else np.zeros(0, np.int64))))
-        ids = self._joined(self.ids_text, numbers, bounds)
-        plain = self._joined(self.plain, numbers, bounds)
+        used, inverse = np.unique(numbers, return_inverse=True)
+        ids, plain = (self._joined(pool, used.tolist(), inverse, bounds) for pool in (self.ids_text, self.plain))
         end = b"%d" % self.agenda.end
         return {
             "n_tokens": counts[bounds[1:]] - counts[bounds[:-1]] + 1,
@@ -291,6 +307,8 @@ class Encoder:
         mark = MARK.encode()
         parts = text.split(mark)
         # the text begins with a mark, so parts[0] is empty; an empty part is a further mark of the next segment
+        if all(parts[1:]):
+            return [mark + part for part in parts[1:]]
         out, run = [], 0
         for part in parts[1:]:
             run += 1
@@ -302,14 +320,13 @@ class Encoder:
         return out
 
     @staticmethod
-    def _joined(pool: list[bytes], numbers: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    def _joined(pool: list[bytes], used: list[int], inverse: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """Per text, the stretches of its segments one after the other."""
-        used, inverse = np.unique(numbers, return_inverse=True)
-        parts = [pool[i] for i in used.tolist()]
+        parts = [pool[i] for i in used]
         lengths = np.array([len(x) for x in parts], np.int64)
         starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-        data = ragged(np.frombuffer(b"".join(parts), np.uint8), starts[inverse], lengths[inverse]) if len(numbers) else np.zeros(0, np.uint8)
-        ends = np.concatenate(([0], np.cumsum(lengths[inverse]) if len(numbers) else []))[bounds].astype(np.int64)
+        data = ragged(np.frombuffer(b"".join(parts), np.uint8), starts[inverse], lengths[inverse]) if len(inverse) else np.zeros(0, np.uint8)
+        ends = np.concatenate(([0], np.cumsum(lengths[inverse]) if len(inverse) else []))[bounds].astype(np.int64)
         whole = data.tobytes()
         return [whole[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
