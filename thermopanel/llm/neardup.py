@@ -19,8 +19,10 @@ Components are found by alternating large and small stars over the confirmed lin
 each round.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with nothing; fewer words than
-a shingle make one shingle of them all; repeated rows and equal ids share one component; null ids
-are left out of linking and form no component; no rows give no rows; other columns are ignored.
+a shingle make one shingle of them all; no rows give no rows; other columns are ignored. Where an id is null or stands for
+different texts, rows are linked by their place in the table instead of their id (``by_row``): a component's id is the smallest
+id in it, null if none of its rows has one. ``filter_documents`` decides row by row: of a component one row stays, the one with
+the smallest id (of equals the first), also where ids repeat or are null; rows without shingles all stay.
 """
 
 from __future__ import annotations
@@ -34,9 +36,10 @@ from thermopanel.llm.common import Texts, finished, keep_rows, marked, mixed, re
 WORDS = 4
 SIMILARITY = 80           # percent
 PERMUTATIONS, BINS, ROWS = 10, 30, 5
-#: Signature values of which two bits each go with a document, and how many must agree for a comparison: 217.6 of
-#: 256 agree on average at a similarity of 0.8, with a standard deviation of 5.7.
-VALUES, AGREE = 256, 195
+#: Signature values of which two bits each go with a document, and how many must agree for a comparison of sets that have
+#: ``FEW`` shingles or more: 217.6 of 256 agree on average at a similarity of 0.8, with a standard deviation of 5.7, so 160
+#: are ten deviations off. Smaller sets, whose bins are mostly borrowed and vary together, are always compared.
+VALUES, AGREE, FEW = 256, 160, 64
 BANDS = PERMUTATIONS * BINS // ROWS
 ATTEMPTS = 64
 #: Ids sent to the tasks as one array (8 bytes each); beyond, documents are joined with them.
@@ -210,14 +213,14 @@ def _mark(edges: DataFrame) -> tuple:
 
 
 def possible(similarity: int = SIMILARITY):
-    """Column: sizes and signature bits of the sides x and y leave the similarity possible."""
+    """Column: sizes of the sides x and y, and the signature bits of large sets, leave the similarity possible."""
     low = F.lit(0x5555555555555555)
     differ = None
     for k in range(LONGS):
         z = F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])
         n = F.bit_count((z.bitwiseOR(F.shiftrightunsigned(z, 1))).bitwiseAND(low))
         differ = n if differ is None else differ + n
-    return (differ <= VALUES - AGREE) & (
+    return ((F.least("x.n_shingles", "y.n_shingles") < FEW) | (differ <= VALUES - AGREE)) & (
         F.lit(100) * F.least("x.n_shingles", "y.n_shingles") >= F.lit(similarity) * F.greatest("x.n_shingles", "y.n_shingles"))
 
 
@@ -309,25 +312,56 @@ def _cell(grams: np.ndarray) -> np.ndarray:
 
 def label(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
-    name = ["n_shingles", "name_hi", "name_lo"]
     rows_ = staged(signed(docs, words))
+    own = F.struct("n_shingles", "name_hi", "name_lo")
+    unclear = rows_.groupBy("doc_id").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("doc_id IS NULL OR low < high")
+    if not unclear.isEmpty():
+        return by_row(docs, words, similarity)[2].drop("row", "group")
+    return _kept(_labelled(rows_, docs, words, similarity))
+
+
+def _kept(labelled: DataFrame) -> DataFrame:
+    return labelled.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _labelled(rows_: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """doc_id, n_shingles, component_id for written rows of ``signed``, whose ids are not null and name one set each."""
+    name = ["n_shingles", "name_hi", "name_lo"]
     narrow = rows_.select("doc_id", *name)
-    classes = narrow.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep"))
-    classes = staged(classes.where("rep IS NOT NULL"))
-    # repeated ids with one set are one row here
+    classes = staged(narrow.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep")))
+    # repeated rows are one row here
     reps = rows_.join(classes.select(F.col("rep").alias("doc_id"), *name), ["doc_id", *name], "left_semi")
     links = links_of(reps.dropDuplicates(["doc_id"]), docs, words, similarity)
     named = components(links).withColumnRenamed("node", "rep")
     groups = classes.join(named, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
-    return narrow.join(groups, name, "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return narrow.join(groups, name, "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def by_row(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> tuple[DataFrame, str, DataFrame]:
+    """The documents, written with a column for their row; its name (the first of ``row``, ``row_``, ... that is free); and
+    doc_id, n_shingles, component_id, row, group and kept of each row."""
+    place = "row"
+    while place in docs.columns:
+        place += "_"
+    numbered = staged(docs.withColumn(place, F.monotonically_increasing_id()))
+    texts = numbered.select(F.col(place).alias("doc_id"), "text")
+    found = staged(_labelled(staged(signed(texts, words)), texts, words, similarity))
+    ids = numbered.select(F.col(place).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    rows_ = found.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("group")).join(ids, "row")
+    least = rows_.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    return numbered, place, _kept(rows_.join(least, "group").select("doc_id", "n_shingles", "component_id", "row", "group"))
 
 
 def filter_documents(docs: DataFrame, words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
-    """One document of each group, with all its columns; rows that repeat an id stay or go together."""
+    """One row of each component, with all its columns."""
     columns = docs.columns
-    gone = label(docs, words, similarity).where("NOT kept").select("doc_id")
+    rows_ = staged(signed(docs, words))
+    if not rows_.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id IS NULL OR n > 1").isEmpty():
+        numbered, place, found = by_row(docs, words, similarity)
+        first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+        chosen = found.groupBy("group").agg(first.alias(place)).select(place)
+        return numbered.join(chosen, place, "left_semi").select(*columns)
+    gone = _kept(_labelled(rows_, docs, words, similarity)).where("NOT kept").select("doc_id")
     docs, ids = marked(docs, staged(gone), WANTED_LIMIT, "__gone")
     if ids is None:
         return docs.where("__gone IS NULL").select(*columns)

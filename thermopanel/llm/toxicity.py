@@ -18,7 +18,9 @@ labels every score is 0; repeated rows are scored one by one; no rows give no ro
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
 
@@ -181,13 +183,14 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     """Strongest window, logarithms of the sums of exact and of misspelled hits, number of hits (up to 5)."""
     hits: list[tuple[int, float, int]] = []
     n, previous = 0, ""
-    marks: list[int] | None = None
-    for m in WORD.finditer(text.lower()):
+    quotes: Quotes | None = None
+    text = text.lower()  # some letters get longer, so that all places are those of this text
+    for m in WORD.finditer(text):
         weight, edits = lexicon.weight(m.group())
         if weight > 0:
-            if marks is None:
-                marks = [i for i, c in enumerate(text) if c in "\"“”„«»"]
-            hits.append((n, weight * (QUOTED if previous in REPORTING or _quoted(text, marks, m.start(), m.end()) else 1.0), edits))
+            if quotes is None:
+                quotes = Quotes(text)
+            hits.append((n, weight * (QUOTED if previous in REPORTING or quotes.hold(m.start(), m.end()) else 1.0), edits))
         previous = m.group()
         n += 1
     if not hits:
@@ -217,15 +220,22 @@ def all_features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
     return out
 
 
-def _quoted(text: str, marks: list[int], start: int, end: int) -> bool:
-    """An odd number of quote marks before on its line, and one after it on the line."""
-    if not marks:
-        return False
-    line_start = text.rfind("\n", 0, start) + 1
-    line_end = text.find("\n", end)
-    line_end = len(text) if line_end < 0 else line_end
-    before = sum(line_start <= i < start for i in marks)
-    return before % 2 == 1 and any(end <= i < line_end for i in marks)
+class Quotes:
+    """Places of quote marks and line ends of a text, in order."""
+
+    def __init__(self, text: str):
+        self.marks = [m.start() for m in re.finditer("[\"“”„«»]", text)]
+        self.lines = [m.start() for m in re.finditer("\n", text)] if self.marks else []
+
+    def hold(self, start: int, end: int) -> bool:
+        """An odd number of quote marks before on its line, and one after it on the line."""
+        if not self.marks:
+            return False
+        line = bisect_left(self.lines, start)
+        line_start = self.lines[line - 1] + 1 if line else 0
+        line_end = self.lines[line] if line < len(self.lines) else math.inf
+        here, after = bisect_left(self.marks, start), bisect_left(self.marks, end)
+        return (here - bisect_left(self.marks, line_start)) % 2 == 1 and after < len(self.marks) and self.marks[after] < line_end
 
 
 def _terms(text: str) -> tuple[set[str], set[str]]:
