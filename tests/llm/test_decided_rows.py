@@ -53,3 +53,26 @@ def test_many_quoted_hits_take_linear_time():
     start = time.process_time()
     toxicity.features('"grobian" ' * 40_000, lexicon)
     assert time.process_time() - start < 5
+
+
+def test_words_ruled_out_together_are_those_the_automaton_rejects():
+    rnd = random.Random(7)
+    terms = ["".join(rnd.choice("abcde") for _ in range(n)) for n in (3, 4, 5, 6, 7, 7, 8, 9, 12)]
+    lexicon = toxicity.Lexicon({t: 1.0 for t in terms}, {})
+    words = ["".join(rnd.choice("abcdef") for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    for t in terms:
+        for _ in range(300):
+            w = list(t)
+            for _ in range(rnd.randint(0, 3)):
+                i, kind = rnd.randrange(len(w) + 1), rnd.randrange(4)
+                if kind == 0:
+                    w.insert(i, rnd.choice("abcdef"))
+                elif kind == 1 and i < len(w):
+                    w[i] = rnd.choice("abcdef")
+                elif kind == 2 and i < len(w):
+                    del w[i]
+                elif i + 1 < len(w):
+                    w[i], w[i + 1] = w[i + 1], w[i]
+            words.append("".join(w))
+    near = lexicon.near(words)
+    assert near.tolist() == [lexicon.match(w)[0] > 0 for w in words] and 0 < near.sum() < len(words)

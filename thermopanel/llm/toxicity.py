@@ -22,7 +22,9 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +50,11 @@ LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7"
 #: Terms shorter than this are matched exactly; from LONG on, two edits are allowed.
 SHORT, LONG = 4, 8
 BY_DISTANCE = (1.0, 0.8, 0.6)
+#: Most edits of any term, and words set against the lexicon at once.
+MOST_EDITS, NEAR_WORDS = 2, 16_384
 #: Words whose match a worker remembers, states of the automaton that it keeps, and terms that a task counts before it
 #: passes them on; these bound its memory.
-REMEMBERED, STATES, COUNTED = 100_000, 20_000, 300_000
+REMEMBERED, STATES, COUNTED = 200_000, 20_000, 300_000
 
 
 def allowed(term: str) -> int:
@@ -87,6 +91,7 @@ class Lexicon:
                 node = node.next.setdefault(letter, Node())
             node.term, node.most = term, max(node.most, allowed(term))
         self.letters = {c for t in weights for c in t}
+        self.known: dict[str, tuple[float, int]] = {}  # outlives the states
         self.reset()
 
     def reset(self) -> None:
@@ -94,7 +99,6 @@ class Lexicon:
         self.steps: list[dict[str, int]] = []
         self.sets: list[frozenset] = []
         self.accepts: list[tuple[float, int]] = []
-        self.known: dict[str, tuple[float, int]] = {}
         self.start = self._state({(self.root, 0, "")})
 
     def __getstate__(self):
@@ -145,6 +149,41 @@ class Lexicon:
                                 found.add((swapped, edits + 1, other))
         return self._state(found) if found else -1
 
+    def near(self, words: list[str]) -> np.ndarray:
+        """Which words can match a term at all; only these need the automaton.
+
+        A pair of word and term is ruled out by lengths, by letters (an edit adds or takes at most one), and then by
+        the edit distance with swaps of neighbours, worked out for many pairs at once within a band around the diagonal.
+        """
+        out = np.zeros(len(words), bool)
+        terms = list(self.weights)
+        if not terms or not words:
+            return out
+        sizes, masks, letters = _as_arrays(words, max(map(len, terms)) + MOST_EDITS)
+        t_sizes, t_masks, t_letters = _as_arrays(terms, max(map(len, terms)))
+        edits = np.array([allowed(t) for t in terms])
+        for first in range(0, len(words), NEAR_WORDS):
+            part = slice(first, first + NEAR_WORDS)
+            size, mask, pairs = sizes[part], masks[part], []
+            for t in range(len(terms)):
+                fit = np.flatnonzero(np.abs(size - t_sizes[t]) <= edits[t])
+                fit = fit[(np.bitwise_count(mask[fit] & ~t_masks[t]) <= edits[t]) & (np.bitwise_count(t_masks[t] & ~mask[fit]) <= edits[t])]
+                pairs.append(np.column_stack([fit, np.full(len(fit), t)]))
+            w, t = np.concatenate(pairs).T
+            hit = _distances(letters[part][w], size[w], t_letters[t], t_sizes[t]) <= edits[t]
+            out[first + w[hit]] = True
+        return out
+
+    def meet(self, words: Iterable[str]) -> None:
+        """Remember at once all new words that no term can match; the others go through the automaton when asked for."""
+        new = [w for w in set(words) if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        plain = [w if w.isalpha() else w.translate(LOOKALIKE) for w in new]
+        stem = np.array([any(x[:n] in self.stems for x in (w, p) for n in STEM_LENGTHS) for w, p in zip(new, plain)], bool)
+        far = ~(self.near(new) | self.near(plain) | stem)
+        self.known.update((new[i], (0.0, 0)) for i in np.flatnonzero(far).tolist())
+
     def match(self, word: str) -> tuple[float, int]:
         """Weight and edits of the best whole term; (0, 0) without one."""
         state = self.start
@@ -176,6 +215,42 @@ class Lexicon:
         return found
 
 
+def _as_arrays(words: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, sets of letters as bits, and letters in ``width`` columns; longer words are cut, their length says so."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    cut = "".join([w[:width].ljust(width, "\0") for w in words])
+    letters = np.frombuffer(cut.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), width)
+    bits = np.where(letters > 0, np.uint64(1) << (letters % 64).astype(np.uint64), np.uint64(0))
+    return sizes, np.bitwise_or.reduce(bits, axis=1), letters
+
+
+def _distances(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> np.ndarray:
+    """Edits (one letter more, less, other, or two swapped) between rows, right up to ``MOST_EDITS``, larger beyond."""
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    n, far = a.shape[1], np.uint8(MOST_EDITS + 1)
+    out = np.where(a_sizes == 0, np.minimum(b_sizes, far), far).astype(np.uint8)
+    rows_: list[dict[int, np.ndarray]] = [{}, {j: np.full(n, j, np.uint8) for j in range(min(MOST_EDITS, len(b)) + 1)}]
+    none = np.full(n, far)
+    for i in range(1, len(a) + 1):
+        row: dict[int, np.ndarray] = {}
+        for j in range(max(0, i - MOST_EDITS), min(len(b), i + MOST_EDITS) + 1):
+            if not j:
+                row[0] = np.full(n, min(i, far), np.uint8)
+                continue
+            best = rows_[1].get(j - 1, none) + (a[i - 1] != b[j - 1])
+            best = np.minimum(best, np.minimum(rows_[1].get(j, none), row.get(j - 1, none)) + np.uint8(1))
+            if i > 1 and j > 1 and j - 2 in rows_[0]:
+                swapped = (a[i - 1] == b[j - 2]) & (a[i - 2] == b[j - 1])
+                best = np.where(swapped, np.minimum(best, rows_[0][j - 2] + np.uint8(1)), best)
+            row[j] = np.minimum(best, far)
+        ends = a_sizes == i
+        for j, value in row.items():
+            here = ends & (b_sizes == j)
+            out[here] = value[here]
+        rows_ = [rows_[1], row]
+    return out
+
+
 FEATURES = 4
 
 
@@ -212,7 +287,9 @@ def all_features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
     _, first, inverse = np.unique(texts.hashes(), return_index=True, return_inverse=True)
     data = texts.data.tobytes()
     spans = zip(texts.starts[first].tolist(), texts.ends[first].tolist())
-    hit = np.array([any(lexicon.weight(w)[0] > 0 for w in WORD.findall(data[a:b].decode().lower())) for a, b in spans], bool)
+    found = [WORD.findall(data[a:b].decode().lower()) for a, b in spans]
+    lexicon.meet(chain.from_iterable(found))
+    hit = np.array([any(lexicon.weight(w)[0] > 0 for w in x) for x in found], bool)
     out = np.zeros((len(texts), FEATURES))
     if len(hit):
         for i in np.unique(texts.owners[hit[inverse]]).tolist():
