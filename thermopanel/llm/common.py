@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import os
-import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -14,6 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from thermopanel.session import shared_dir, ship
+
 #: Text handled at once inside a task.
 SLICE_ROWS, SLICE_BYTES = 2_000, 2 << 20
 
@@ -30,25 +30,19 @@ def small_batches(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only a local session that names none gets a folder of this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    base = os.path.join(tempfile.gettempdir(), f"corpus-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+def stage_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session, which must be set."""
+    return shared_dir(spark).rstrip("/")
 
 
 def staged(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: later passes start from files, not from lineage."""
     small_batches(df.sparkSession)
-    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = f"{stage_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
