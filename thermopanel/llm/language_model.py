@@ -1,20 +1,25 @@
 """LM scoring by a gated recurrent network with a class-factored softmax.
 
-Words of the training documents are counted over the whole corpus. The ``VOCABULARY`` most frequent ones, the mark
-for all other words, and the end mark are the network's tokens; frequent tokens sit in small classes, and
+Words of the training documents are counted over the whole corpus. The most frequent ones, the mark for all other
+words, and the end mark are the network's tokens; frequent tokens sit in small classes, and
 p(token) = p(class | state) p(token | class, state). A word outside the vocabulary has the probability of the mark
-times its add-one share among such words, so every text has a proper probability.
+times its add-one share among such words, so every text has a proper probability. The vocabulary grows with the cube
+root of the counted tokens (``vocabulary_size``: 5,000 words for 4 million tokens, 55,000 for 5 billion, 800,000 for
+16 trillion), the classes with the root of the vocabulary.
 
 Training is truncated backpropagation through time in numpy, over windows of ``WINDOW`` steps with the state carried
-from window to window within a document. A first model is trained on a bounded sample; from it, up to ``SHARDS``
-tasks train on all training documents, each on its share, and their weights are averaged by the tokens
-seen. The output biases start at the unigram distribution.
+from window to window; documents of more than ``STRETCH`` tokens are trained on as stretches that begin with a state of
+zero. Steps after the end of a lane are masked. A first model is trained on a bounded sample; from it, shards train on
+all training documents, each on its share, and their weights are averaged by the tokens seen, in two levels. A row's
+shard and its place there come from a hash of its id and text, so the result does not depend on how rows lie in
+files; the number of shards grows with the root of the counted tokens. The output biases start at the unigram
+distribution.
 
 Scoring reads whole documents, in lanes that are laid end to end, the state carried across windows and set to zero
 where a document begins; the result is the base-10 log-likelihood of the complete document.
 
-Counts go by 64-bit hashes of words (equal for two words with a chance of 2**-64). The ``HEAD`` most frequent words'
-counts travel with the tasks, a table of fixed size; the rest are joined by word, none of which is frequent.
+Counts go by 64-bit hashes of words (equal for two words with a chance of 2**-64). The counts of the most frequent words
+(``HEAD``, or eight times the vocabulary) travel with the tasks; the rest are joined by word, none of which is frequent.
 
 Defined cases: a null or empty text is its end mark alone; without training documents N and V are 0, every word is
 unknown and the score is that of an untrained network; repeated rows are scored one by one, null ids belong to
@@ -23,24 +28,39 @@ training; no rows give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermopanel.llm.common import Texts, arrow_schema, released, remainder, remainder_column, rows, slices, staged
+from thermopanel.llm.common import Texts, arrow_schema, ragged, released, remainder, remainder_column, rows, slices, staged
 
-VOCABULARY, CLASSES, HIDDEN = 2046, 32, 16
+HIDDEN = 16
 HEAD = 1 << 16
 WINDOW, LANES, SCORED_LANES = 16, 256, 512
-#: Documents of the first model's sample, on average, and tasks that train on from it, at most.
-SAMPLE, SHARDS = 2_000, 64
-RATE = 0.01
+STRETCH = 1024
+#: Positions whose output is computed at once in scoring.
+SCORED_AT_ONCE = 1 << 16
+#: Documents of the first model's sample, on average; shards added up in one task; weights in one row.
+SAMPLE, ADDED, PIECE = 2_000, 32, 1 << 16
+RATE = 0.02
 FOLDS, HELD_OUT = 7, 2
 END, OTHER = 0, 1         # token numbers; vocabulary words follow
 
 
+def vocabulary_size(n_tokens: int) -> int:
+    """Words that the network knows."""
+    return int(32 * max(n_tokens, 1) ** (1 / 3))
+
+
+def shard_count(n_tokens: int) -> int:
+    """Shards of the training documents: a few for a small corpus, so that each sees enough of it."""
+    return max(1, math.ceil(math.sqrt(n_tokens / (1 << 19))))
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """word (hash), c over all texts; each task adds up its own first."""
     schema = "word long, c long"
@@ -75,54 +95,64 @@ class Words:
     token_counts: np.ndarray
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Row of each word, -1 if it is not among the most frequent."""
+        """Row of each word, -1 if it is not among the most frequent; hashes are spread evenly, so their leading bits
+        lead to a few rows."""
         if not len(self.hashes):
             return np.full(len(keys), -1)
-        once, inverse = np.unique(keys, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.hashes, once), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == once, at, -1)[inverse]
+        bits = max(1, len(self.hashes).bit_length() + 2)
+        if not hasattr(self, "rows_from"):
+            self.rows_from = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+            self.crowded = int(np.diff(self.rows_from, append=len(self.hashes)).max())
+        at = self.rows_from[keys >> np.uint64(64 - bits)]
+        last, found = len(self.hashes) - 1, np.full(len(keys), -1)
+        for _ in range(self.crowded):
+            row = np.minimum(at, last)
+            np.copyto(found, row, where=self.hashes[row] == keys)
+            at += 1
+        return found
 
 
 def gather(counts: DataFrame, n_documents: int) -> Words:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).toArrow().to_pandas()
+    known = vocabulary_size(int(total) + n_documents)
+    top = counts.orderBy(F.desc("c"), "word").limit(max(HEAD, 8 * known)).toArrow().to_pandas()
     words, c = top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
-    token = np.where(np.arange(len(words)) < VOCABULARY, np.arange(len(words)) + 2, OTHER)
-    inside = c[:VOCABULARY]
+    token = np.where(np.arange(len(words)) < known, np.arange(len(words)) + 2, OTHER)
+    inside = c[:known]
     order = np.argsort(words)
     outside = int(total - inside.sum())
     return Words(words[order], c[order], token[order], int(total) + n_documents, int(distinct) + (n_documents > 0), n_documents,
                  outside, int(distinct) - len(inside), np.concatenate([[n_documents, outside], inside]).astype(np.int64))
 
 
-def laid_out(tokens: np.ndarray, bounds: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents laid end to end in lanes, the longest first; (steps, lanes) of position in ``tokens`` (-1: none) and
-    whether a document begins there. Lanes come longest first, so the lanes still running are the first ones."""
+def laid_out(bounds: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sequences laid end to end in lanes, the longest first: positions lane by lane, where each lane starts in them, and
+    its length. Lanes come longest first, so the lanes still running are the first ones."""
     sizes = np.diff(bounds)
     order = np.argsort(-sizes, kind="stable")
     lanes = max(1, min(lanes, len(order)))
-    filled, plan = np.zeros(lanes, np.int64), [[] for _ in range(lanes)]
-    for i in order.tolist():
-        lane = int(filled.argmin())
-        plan[lane].append(i)
-        filled[lane] += sizes[i]
+    ends, lane_of = [(0, lane) for lane in range(lanes)], np.empty(len(order), np.int64)
+    for k, size in enumerate(sizes[order].tolist()):
+        filled, lane = ends[0]
+        lane_of[k] = lane
+        heapq.heapreplace(ends, (filled + size, lane))
+    filled = np.zeros(lanes, np.int64)
+    for size, lane in ends:
+        filled[lane] = size
     by_length = np.argsort(-filled, kind="stable")
-    at = np.full((int(filled.max(initial=0)), lanes), -1, np.int64)
-    begins = np.zeros(at.shape, bool)
-    for column, lane in enumerate(by_length.tolist()):
-        step = 0
-        for i in plan[lane]:
-            at[step:step + sizes[i], column] = np.arange(bounds[i], bounds[i + 1])
-            begins[step, column] = True
-            step += sizes[i]
-    return at, begins, filled[by_length]
+    rank = np.empty(lanes, np.int64)
+    rank[by_length] = np.arange(lanes)
+    order = order[np.argsort(rank[lane_of], kind="stable")]
+    filled = filled[by_length]
+    return ragged(np.arange(bounds[-1]), bounds[order], sizes[order]), np.cumsum(filled) - filled, filled
 
 
 class Network:
     """Gated recurrent unit, class and word softmax; weights are float32 arrays in ``w``."""
 
-    def __init__(self, token_counts: np.ndarray, classes: int = CLASSES, hidden: int = HIDDEN, seed: int = 7):
+    def __init__(self, token_counts: np.ndarray, classes: int | None = None, hidden: int = HIDDEN, seed: int = 7):
         n = len(token_counts)
+        classes = classes or max(8, math.isqrt(n) // 2)
         self.hidden = hidden
         # classes of about equal share of the square root of counts: frequent tokens in small ones
         share = np.sqrt(token_counts + 1.0)
@@ -135,9 +165,9 @@ class Network:
         self.within[order] = np.arange(n) - self.first[place]
         rng = np.random.default_rng(seed)
         f = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-        logs = np.log(token_counts[order] + 1.0)
         k = int(place.max()) + 1
         totals = np.add.reduceat(token_counts[order] + 1.0, self.first[:-1])
+        logs = np.log((token_counts[order] + 1.0) / totals[place])
         self.w = {
             "input": f(n, 3 * hidden), "gates": f(hidden, 2 * hidden), "state": f(hidden, hidden), "bias": np.zeros(3 * hidden, np.float32),
             "class": f(hidden, k), "class_bias": np.log(totals / totals.sum()).astype(np.float32),
@@ -145,75 +175,109 @@ class Network:
         }
         self.squares = {name: np.full_like(x, 1e-3) for name, x in self.w.items()}
 
-    def forward(self, inputs: np.ndarray, begins: np.ndarray, h: np.ndarray):
-        """States of a window: inputs and begins are (steps, lanes). Returns what the way back needs."""
+    def check(self) -> None:
+        """Whether exponents could leave the range of a float: states lie between -1 and 1, and the biases are logarithms
+        of shares to begin with. Weights move by less than the room left while a slice is learnt."""
+        reach = [np.abs(self.w["word"]).sum(axis=1) + np.abs(self.w["word_bias"]), np.abs(self.w["class"]).sum(axis=0) + np.abs(self.w["class_bias"])]
+        self.wide = max(float(x.max()) for x in reach) > 40
+
+    def exponentials(self, logits: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """exp(logits), its sum by row, and the log share of ``place``."""
+        if self.wide:
+            logits -= logits.max(axis=1, keepdims=True)
+        chosen = logits[np.arange(len(place)), place]
+        p = np.exp(logits, out=logits)
+        total = p @ np.ones(p.shape[1], np.float32)
+        return p, total, chosen - np.log(total)
+
+    def forward(self, inputs: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool):
+        """States of a window: inputs and begins are (steps, lanes). With ``keep`` also what the way back needs."""
         w, n = self.w, self.hidden
-        given = w["input"][inputs] + w["bias"]
-        kept = []
-        for t in range(len(inputs)):
-            if begins[t].any():
+        given = w["input"].take(inputs, axis=0)
+        given += w["bias"]
+        starting, kept = begins.any(axis=1).tolist(), []
+        states = np.empty((*inputs.shape, n), np.float32)
+        for t, some in enumerate(starting):
+            if some:
                 h = np.where(begins[t][:, None], np.float32(0), h)
-            zr = 0.5 + 0.5 * np.tanh(0.5 * (given[t][:, :2 * n] + h @ w["gates"]))
+            zr = h @ w["gates"]
+            zr += given[t, :, :2 * n]
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
             z, r = zr[:, :n], zr[:, n:]
-            candidate = np.tanh(given[t][:, 2 * n:] + (r * h) @ w["state"])
-            new = h + z * (candidate - h)
-            kept.append((h, z, r, candidate))
+            candidate = (r * h) @ w["state"]
+            candidate += given[t, :, 2 * n:]
+            np.tanh(candidate, out=candidate)
+            new = states[t]
+            np.subtract(candidate, h, out=new)
+            new *= z
+            new += h
+            if keep:
+                kept.append((h, z, r, candidate))
             h = new
-            given[t, :, :n] = new          # the input part is used up: its place holds the state
-        return given[:, :, :n], kept, h
+        return states, kept, h
 
     def output(self, states: np.ndarray, targets: np.ndarray, learn: bool):
         """log p of each target; with ``learn`` also the gradient at the states, having added those of the output."""
         w = self.w
-        logits = states @ w["class"] + w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(axis=1)
+        # rows in order of class, so that a class is a stretch of them
         klass = self.klass[targets]
-        each = np.arange(len(targets))
-        out = logits[each, klass] - np.log(total)
+        order = np.argsort(klass.astype(np.uint16) if len(self.first) < 1 << 16 else klass, kind="stable")
+        states, klass, places = states[order], klass[order], self.within[targets[order]]
+        p, total, out = self.exponentials(states @ w["class"] + w["class_bias"], klass)
         if learn:
-            p /= total[:, None]
-            p[each, klass] -= 1
+            p *= (1 / total)[:, None]
+            p[np.arange(len(klass)), klass] -= 1
             self.grads["class"] = states.T @ p
-            self.grads["class_bias"] = p.sum(axis=0)
+            self.grads["class_bias"] = np.ones(len(p), np.float32) @ p
             back = p @ w["class"].T
-        order = np.argsort(klass, kind="stable")
-        cuts = np.searchsorted(klass[order], np.arange(len(self.first)))
-        for k in range(len(self.first) - 1):
-            mine = order[cuts[k]:cuts[k + 1]]
-            if not len(mine):
-                continue
+        present, starts = np.unique(klass, return_index=True)
+        for k, start, end in zip(present.tolist(), starts.tolist(), [*starts[1:].tolist(), len(klass)]):
             part = slice(self.first[k], self.first[k + 1])
-            h = states[mine]
-            logits = h @ w["word"][part].T + w["word_bias"][part]
-            logits -= logits.max(axis=1, keepdims=True)
-            p = np.exp(logits)
-            total = p.sum(axis=1)
-            place = self.within[targets[mine]]
-            out[mine] += logits[np.arange(len(mine)), place] - np.log(total)
+            if part.stop - part.start == 1:
+                continue             # a class of one token
+            h, place = states[start:end], places[start:end]
+            p, total, logs = self.exponentials(h @ w["word"][part].T + w["word_bias"][part], place)
+            out[start:end] += logs
             if learn:
-                p /= total[:, None]
-                p[np.arange(len(mine)), place] -= 1
-                back[mine] += p @ w["word"][part]
+                p *= (1 / total)[:, None]
+                p[np.arange(len(place)), place] -= 1
+                back[start:end] += p @ w["word"][part]
                 self.step("word", p.T @ h, part)
-                self.step("word_bias", p.sum(axis=0), part)
-        return out, back if learn else None
+                self.step("word_bias", np.ones(len(p), np.float32) @ p, part)
+        found = np.empty_like(out)
+        found[order] = out
+        if not learn:
+            return found, None
+        given = np.empty_like(back)
+        given[order] = back
+        return found, given
 
     def step(self, name: str, grad: np.ndarray, part) -> None:
         """A step of the method that divides by the root of the squares so far. The gradient is per full window, so
         the few lanes that run on with long documents take small steps."""
-        grad = np.clip(grad * np.float32(4 / (LANES * WINDOW)), -1, 1)
-        self.squares[name][part] += grad * grad
-        self.w[name][part] -= np.float32(RATE) * grad / np.sqrt(self.squares[name][part])
-
-    def learn(self, inputs: np.ndarray, targets: np.ndarray, begins: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
-        """One window: forward, back through its steps, and a step of all weights."""
+        grad = grad * np.float32(4 / (LANES * WINDOW))
+        np.clip(grad, -1, 1, out=grad)
+        squares = self.squares[name][part] + grad * grad
+        self.squares[name][part] = squares
+        grad *= np.float32(RATE)
+        grad /= np.sqrt(squares)
+        self.w[name][part] -= grad
+
+    def learn(self, inputs: np.ndarray, targets: np.ndarray, begins: np.ndarray, there: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
+        """One window: forward, back through its steps, and a step of all weights. Steps that are not ``there`` count for
+        nothing; they follow all others of their lane."""
         w, n = self.w, self.hidden
-        states, kept, last = self.forward(inputs, begins, h)
+        states, kept, last = self.forward(inputs, begins, h, True)
         self.grads: dict[str, np.ndarray] = {}
-        score, back = self.output(states.reshape(-1, n), targets.reshape(-1), True)
-        back = back.reshape(states.shape)
+        if there.all():
+            score, back = self.output(states.reshape(-1, n), targets.reshape(-1), True)
+            back = back.reshape(states.shape)
+        else:
+            back = np.zeros_like(states)
+            score, back[there] = self.output(states[there], targets[there], True)
         given = np.empty((*inputs.shape, 3 * n), np.float32)
         gates, state = np.zeros_like(w["gates"]), np.zeros_like(w["state"])
         dh = np.zeros_like(h)
@@ -249,78 +313,106 @@ def sequences(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray, np.nd
     return tokens, texts.bounds + np.arange(len(texts) + 1), found
 
 
-def windows(tokens: np.ndarray, bounds: np.ndarray, lanes: int, steps: int):
-    """(inputs, targets, begins, position, lanes still running) of each window, in order."""
-    at, begins, filled = laid_out(tokens, bounds, lanes)
-    before = np.where(begins, END, tokens[np.maximum(at - 1, 0)])
-    for t in range(0, len(at), steps):
-        running = int((filled > t).sum())
-        part = at[t:t + steps, :running]
-        yield before[t:t + steps, :running], tokens[part], begins[t:t + steps, :running], part, running
+def windows(tokens: np.ndarray, bounds: np.ndarray, lanes: int, at_once: int | None = None):
+    """(inputs, targets, begins, position, whether there is a token) of each window, in order: (steps, lanes still running).
+    ``WINDOW`` steps each, or as many as ``at_once`` positions allow."""
+    at, starts, filled = laid_out(bounds, lanes)
+    first = np.zeros(len(tokens), bool)
+    first[bounds[:-1]] = True
+    before = np.concatenate([[END], tokens[:-1]])       # a text follows the end of another
+    t = 0
+    while len(at) and t < filled[0]:
+        running = int(np.searchsorted(-filled, -t))
+        steps = WINDOW if at_once is None else max(WINDOW, at_once // running)
+        steps = min(steps, int(filled[0]) - t)
+        time = np.arange(t, t + steps)[:, None]
+        there = time < filled[:running]
+        part = at[np.minimum(starts[:running] + time, len(at) - 1)]
+        yield before[part], tokens[part], first[part] & there, part, there
+        t += steps
 
 
 def train(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> int:
-    """All windows of the texts that fill every step; returns the tokens seen."""
-    h, seen = np.zeros((LANES, network.hidden), np.float32), 0
-    for inputs, targets, begins, part, running in windows(tokens, bounds, LANES, WINDOW):
-        full = (part >= 0).all(axis=0)
-        h = h[:running]
-        if full.any():
-            _, h[full] = network.learn(inputs[:, full], targets[:, full], begins[:, full], h[full])
-            seen += int(full.sum()) * len(inputs)
-    return seen
+    """All windows of all texts; returns the tokens seen."""
+    sizes = np.diff(bounds)
+    pieces = -(-sizes // STRETCH)
+    number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    cuts = np.append(np.repeat(bounds[:-1], pieces) + number * STRETCH, bounds[-1])
+    network.check()
+    h = np.zeros((LANES, network.hidden), np.float32)
+    for inputs, targets, begins, _, there in windows(tokens, cuts, LANES):
+        _, h = network.learn(inputs, targets, begins, there, h[:there.shape[1]])
+    return len(tokens)
 
 
 def score_texts(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log-likelihood of each text's tokens, float64."""
     each = np.zeros(len(tokens))
+    network.check()
     h = np.zeros((SCORED_LANES, network.hidden), np.float32)
-    for inputs, targets, begins, part, running in windows(tokens, bounds, SCORED_LANES, WINDOW):
-        states, _, h = network.forward(inputs, begins, h[:running])
-        there = part >= 0
-        found, _ = network.output(states.reshape(-1, network.hidden)[there.reshape(-1)], targets[there], False)
-        each[part[there]] = found
+    for inputs, targets, begins, part, there in windows(tokens, bounds, SCORED_LANES, SCORED_AT_ONCE):
+        states, _, h = network.forward(inputs, begins, h[:there.shape[1]], False)
+        each[part[there]], _ = network.output(states[there], targets[there], False)
     return np.add.reduceat(each, bounds[:-1]) if len(bounds) > 1 else each
 
 
-WEIGHTS = "name string, tokens long, weights binary"
+WEIGHTS = "shard long, name string, piece long, tokens long, weights binary"
 
 
 def fit(training: DataFrame, words: Words) -> Network:
-    """The averaged network; what reaches the driver is ``SHARDS`` sets of weights at most, added up in tasks."""
+    """The averaged network. Only its weights reach the driver; the shards' are added up in tasks, ``ADDED`` at a time."""
     spark = training.sparkSession
     network = Network(words.token_counts)
     if not words.ends:
         return network
     share = min(1.0, SAMPLE / words.ends)
-    some = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("doc_id").select("text").limit(4 * SAMPLE).toArrow()
-    texts = Texts(some.column(0).combine_chunks())
-    if len(texts):
-        tokens, bounds, _ = sequences(texts, words)
+    dealt = training.select("text", F.xxhash64("doc_id", "text").alias("place"))
+    some = dealt.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("place").limit(4 * SAMPLE).toArrow()
+    for batch in slices(some.to_batches()):
+        tokens, bounds, _ = sequences(Texts(batch.column(0)), words)
         train(network, tokens, bounds)
-    shared = spark.sparkContext.broadcast((network, words))
+    shared, shards = spark.sparkContext.broadcast((network, words)), shard_count(words.n)
+
+    def weights(shard, own, seen):
+        for name, x in own.w.items():
+            for i, start in enumerate(range(0, x.size, PIECE)):
+                part = x.reshape(-1)[start:start + PIECE].astype(np.float64) * seen
+                yield rows(WEIGHTS, [shard], [name], [i], [seen], [part.tobytes()])
 
     def shard(batches):
         start, table = shared.value
-        own = Network(table.token_counts)
-        own.w = {k: x.copy() for k, x in start.w.items()}
-        own.squares = {k: x.copy() for k, x in start.squares.items()}
-        seen = 0
+        own, mine, seen = None, None, 0
         for batch in slices(batches, rows=4_000, size=4 << 20):
-            tokens, bounds, _ = sequences(Texts(batch.column(0)), table)
-            seen += train(own, tokens, bounds)
+            numbers = batch.column(1).to_numpy()
+            for first in np.flatnonzero(np.diff(numbers, prepend=-1)).tolist():
+                if numbers[first] != mine:
+                    if seen:
+                        yield from weights(mine, own, seen)
+                    own, mine, seen = Network(table.token_counts), int(numbers[first]), 0
+                    own.w = {k: x.copy() for k, x in start.w.items()}
+                    own.squares = {k: x.copy() for k, x in start.squares.items()}
+                part = batch.slice(first, int(np.searchsorted(numbers, mine, side="right")) - first)
+                tokens, bounds, _ = sequences(Texts(part.column(0)), table)
+                seen += train(own, tokens, bounds)
         if seen:
-            for name, x in own.w.items():
-                yield rows(WEIGHTS, [name], [seen], [(x.astype(np.float64) * seen).tobytes()])
+            yield from weights(mine, own, seen)
 
     def added(key, group):
-        total = sum(np.frombuffer(x, np.float64) for x in group.column(2).to_pylist())
-        return pa.table({"name": [key[0].as_py()], "tokens": [sum(group.column(1).to_pylist())], "weights": [total.tobytes()]}, schema=arrow_schema(WEIGHTS))
-
-    shards = training.select("text").coalesce(SHARDS).mapInArrow(released(shard), WEIGHTS)
-    for row in shards.groupBy("name").applyInArrow(added, WEIGHTS).toLocalIterator():
-        x = np.frombuffer(row["weights"], np.float64) / row["tokens"]
-        network.w[row["name"]] = x.reshape(network.w[row["name"]].shape).astype(np.float32)
+        group = group.sort_by("shard")
+        total = sum(np.frombuffer(x, np.float64) for x in group.column("weights").to_pylist())
+        return pa.table({"shard": group.column("shard")[:1], "name": [key[0].as_py()], "piece": [key[1].as_py()],
+                         "tokens": [sum(group.column("tokens").to_pylist())], "weights": [total.tobytes()]}, schema=arrow_schema(WEIGHTS))
+
+    trained = (dealt.withColumn("shard", F.pmod(F.shiftright("place", 8), F.lit(shards)).cast("int"))
+               .repartitionById(shards, "shard").sortWithinPartitions("shard", "place")
+               .select("text", "shard").mapInArrow(released(shard), WEIGHTS))
+    some = trained.groupBy("name", "piece", F.floor(F.col("shard") / ADDED)).applyInArrow(added, WEIGHTS)
+    parts: dict[str, dict[int, np.ndarray]] = {}
+    for row in some.groupBy("name", "piece").applyInArrow(added, WEIGHTS).toLocalIterator():
+        parts.setdefault(row["name"], {})[row["piece"]] = np.frombuffer(row["weights"], np.float64) / row["tokens"]
+    for name, found in parts.items():
+        whole = np.concatenate([found[i] for i in sorted(found)])
+        network.w[name] = whole.reshape(network.w[name].shape).astype(np.float32)
     return network
 
 
