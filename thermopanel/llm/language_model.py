@@ -174,6 +174,7 @@ class Network:
             "word": f(n, hidden), "word_bias": logs.astype(np.float32),   # rows in order of class
         }
         self.squares = {name: np.full_like(x, 1e-3) for name, x in self.w.items()}
+        self.wide = True
 
     def check(self) -> None:
         """Whether exponents could leave the range of a float: states lie between -1 and 1, and the biases are logarithms
@@ -190,7 +191,7 @@ class Network:
         total = p @ np.ones(p.shape[1], np.float32)
         return p, total, chosen - np.log(total)
 
-    def forward(self, inputs: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool):
+    def forward(self, inputs: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool = False):
         """States of a window: inputs and begins are (steps, lanes). With ``keep`` also what the way back needs."""
         w, n = self.w, self.hidden
         given = w["input"].take(inputs, axis=0)
