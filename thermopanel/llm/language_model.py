@@ -40,13 +40,15 @@ from thermopanel.llm.common import Texts, arrow_schema, ragged, released, remain
 
 HIDDEN = 16
 HEAD = 1 << 16
-WINDOW, LANES, SCORED_LANES = 16, 256, 512
+WINDOW, LANES, SCORED_LANES = 32, 256, 256
 STRETCH = 1024
 #: Positions whose output is computed at once in scoring.
-SCORED_AT_ONCE = 1 << 16
+SCORED_AT_ONCE = 1 << 14
+#: Texts scored together.
+SCORED_ROWS, SCORED_BYTES = 8_000, 16 << 20
 #: Documents of the first model's sample, on average; shards added up in one task; weights in one row.
 SAMPLE, ADDED, PIECE = 2_000, 32, 1 << 16
-RATE = 0.02
+RATE = 0.05
 FOLDS, HELD_OUT = 7, 2
 END, OTHER = 0, 1         # token numbers; vocabulary words follow
 
@@ -170,8 +172,9 @@ class Network:
         logs = np.log((token_counts[order] + 1.0) / totals[place])
         self.w = {
             "input": f(n, 3 * hidden), "gates": f(hidden, 2 * hidden), "state": f(hidden, hidden), "bias": np.zeros(3 * hidden, np.float32),
-            "class": f(hidden, k), "class_bias": np.log(totals / totals.sum()).astype(np.float32),
-            "word": f(n, hidden), "word_bias": logs.astype(np.float32),   # rows in order of class
+            # a row per class and per token, tokens in order of class: the bias, the weights, and a one that adds up rows
+            "class": np.column_stack([np.log(totals / totals.sum()), f(k, hidden), np.ones(k)]).astype(np.float32),
+            "word": np.column_stack([logs, f(n, hidden), np.ones(n)]).astype(np.float32),
         }
         self.squares = {name: np.full_like(x, 1e-3) for name, x in self.w.items()}
         self.wide = True
@@ -179,17 +182,28 @@ class Network:
     def check(self) -> None:
         """Whether exponents could leave the range of a float: states lie between -1 and 1, and the biases are logarithms
         of shares to begin with. Weights move by less than the room left while a slice is learnt."""
-        reach = [np.abs(self.w["word"]).sum(axis=1) + np.abs(self.w["word_bias"]), np.abs(self.w["class"]).sum(axis=0) + np.abs(self.w["class_bias"])]
-        self.wide = max(float(x.max()) for x in reach) > 40
+        self.wide = any(float(np.abs(self.w[name][:, :-1]).sum(axis=1).max()) > 40 for name in ("class", "word"))
 
-    def exponentials(self, logits: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """exp(logits), its sum by row, and the log share of ``place``."""
+    def softmax(self, name: str, part: slice, states: np.ndarray, place: np.ndarray, back: np.ndarray | None) -> np.ndarray:
+        """log p of each row's place among the rows ``part`` of a table; ``states`` are between a one and a zero. With
+        ``back`` the gradient at the states is added to it and the table takes a step."""
+        table, each = self.w[name][part], np.arange(len(place))
+        p = states @ table.T
         if self.wide:
-            logits -= logits.max(axis=1, keepdims=True)
-        chosen = logits[np.arange(len(place)), place]
-        p = np.exp(logits, out=logits)
-        total = p @ np.ones(p.shape[1], np.float32)
-        return p, total, chosen - np.log(total)
+            p -= p.max(axis=1, keepdims=True)
+        chosen = p[each, place]
+        np.exp(p, out=p)
+        if back is None:
+            return chosen - np.log(p @ table[:, -1])
+        # the last column is the sum of p; dividing by it is left to the narrow arrays
+        sums = p @ table
+        total = sums[:, -1:].copy()
+        sums /= total
+        sums -= table[place]
+        back += sums[:, 1:-1]
+        p[each, place] -= total[:, 0]
+        self.step(name, p.T @ (states / total), part)
+        return chosen - np.log(total[:, 0])
 
     def forward(self, inputs: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool = False):
         """States of a window: inputs and begins are (steps, lanes). With ``keep`` also what the way back needs."""
@@ -207,7 +221,7 @@ class Network:
             np.tanh(zr, out=zr)
             zr *= 0.5
             zr += 0.5
-            z, r = zr[:, :n], zr[:, n:]
+            z, r = zr[:, :n].copy(), zr[:, n:].copy()
             candidate = (r * h) @ w["state"]
             candidate += given[t, :, 2 * n:]
             np.tanh(candidate, out=candidate)
@@ -226,28 +240,19 @@ class Network:
         # rows in order of class, so that a class is a stretch of them
         klass = self.klass[targets]
         order = np.argsort(klass.astype(np.uint16) if len(self.first) < 1 << 16 else klass, kind="stable")
-        states, klass, places = states[order], klass[order], self.within[targets[order]]
-        p, total, out = self.exponentials(states @ w["class"] + w["class_bias"], klass)
-        if learn:
-            p *= (1 / total)[:, None]
-            p[np.arange(len(klass)), klass] -= 1
-            self.grads["class"] = states.T @ p
-            self.grads["class_bias"] = np.ones(len(p), np.float32) @ p
-            back = p @ w["class"].T
+        klass, places = klass[order], self.within[targets[order]]
+        ready = np.zeros((len(order), self.hidden + 2), np.float32)
+        ready[:, 0] = 1
+        ready[:, 1:-1] = states[order]
+        back = np.zeros((len(order), self.hidden), np.float32) if learn else None
         present, starts = np.unique(klass, return_index=True)
-        for k, start, end in zip(present.tolist(), starts.tolist(), [*starts[1:].tolist(), len(klass)]):
+        ends = [*starts[1:].tolist(), len(klass)]
+        out = np.zeros(len(order), np.float32)
+        for k, start, end in zip(present.tolist(), starts.tolist(), ends):
             part = slice(self.first[k], self.first[k + 1])
-            if part.stop - part.start == 1:
-                continue             # a class of one token
-            h, place = states[start:end], places[start:end]
-            p, total, logs = self.exponentials(h @ w["word"][part].T + w["word_bias"][part], place)
-            out[start:end] += logs
-            if learn:
-                p *= (1 / total)[:, None]
-                p[np.arange(len(place)), place] -= 1
-                back[start:end] += p @ w["word"][part]
-                self.step("word", p.T @ h, part)
-                self.step("word_bias", np.ones(len(p), np.float32) @ p, part)
+            if part.stop - part.start > 1:             # else a class of one token
+                out[start:end] = self.softmax("word", part, ready[start:end], places[start:end], back[start:end] if learn else None)
+        out += self.softmax("class", slice(None), ready, klass, back)
         found = np.empty_like(out)
         found[order] = out
         if not learn:
@@ -259,12 +264,14 @@ class Network:
     def step(self, name: str, grad: np.ndarray, part) -> None:
         """A step of the method that divides by the root of the squares so far. The gradient is per full window, so
         the few lanes that run on with long documents take small steps."""
-        grad = grad * np.float32(4 / (LANES * WINDOW))
-        np.clip(grad, -1, 1, out=grad)
-        squares = self.squares[name][part] + grad * grad
-        self.squares[name][part] = squares
-        grad *= np.float32(RATE)
+        grad *= np.float32(4 / (LANES * WINDOW))
+        np.minimum(np.maximum(grad, np.float32(-1), out=grad), np.float32(1), out=grad)
+        squares = self.squares[name][part]
+        squares += grad * grad
+        if isinstance(part, np.ndarray):           # chosen rows are a copy, a stretch of them is not
+            self.squares[name][part] = squares
         grad /= np.sqrt(squares)
+        grad *= np.float32(RATE)
         self.w[name][part] -= grad
 
     def learn(self, inputs: np.ndarray, targets: np.ndarray, begins: np.ndarray, there: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
@@ -272,7 +279,6 @@ class Network:
         nothing; they follow all others of their lane."""
         w, n = self.w, self.hidden
         states, kept, last = self.forward(inputs, begins, h, True)
-        self.grads: dict[str, np.ndarray] = {}
         if there.all():
             score, back = self.output(states.reshape(-1, n), targets.reshape(-1), True)
             back = back.reshape(states.shape)
@@ -285,22 +291,24 @@ class Network:
         for t in range(len(inputs) - 1, -1, -1):
             dh = dh + back[t]
             h, z, r, candidate = kept[t]
-            d_candidate = dh * z * (1 - candidate * candidate)
+            through = dh * z
+            d_candidate = through * (1 - candidate * candidate)
             rh = r * h
             d_rh = d_candidate @ w["state"].T
-            given[t, :, :n] = dh * (candidate - h) * z * (1 - z)
-            given[t, :, n:2 * n] = d_rh * h * r * (1 - r)
+            given[t, :, :n] = through * (candidate - h) * (1 - z)
+            given[t, :, n:2 * n] = d_rh * rh * (1 - r)
             given[t, :, 2 * n:] = d_candidate
             state += rh.T @ d_candidate
             gates += h.T @ given[t, :, :2 * n]
-            dh = dh * (1 - z) + d_rh * r + given[t, :, :2 * n] @ w["gates"].T
+            dh -= through
+            dh += d_rh * r
+            dh += given[t, :, :2 * n] @ w["gates"].T
             if begins[t].any():
                 dh = np.where(begins[t][:, None], np.float32(0), dh)
         flat, ids = given.reshape(-1, 3 * n), inputs.reshape(-1)
         order = np.argsort(ids, kind="stable")
         used, first = np.unique(ids[order], return_index=True)
         for name, grad, part in (("gates", gates, ...), ("state", state, ...), ("bias", flat.sum(axis=0), ...),
-                                 ("class", self.grads["class"], ...), ("class_bias", self.grads["class_bias"], ...),
                                  ("input", np.add.reduceat(flat[order], first), used)):
             self.step(name, grad, part)
         return float(score.sum()), last
@@ -346,6 +354,19 @@ def train(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> int:
     return len(tokens)
 
 
+def merged(batches):
+    """Batches of a few thousand texts each, or ``SCORED_BYTES``: the longest texts run on alone at the end of a batch."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.nbytes
+        if size >= SCORED_BYTES or sum(map(len, waiting)) >= SCORED_ROWS:
+            yield pa.concat_batches(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 def score_texts(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log-likelihood of each text's tokens, float64."""
     each = np.zeros(len(tokens))
@@ -433,7 +454,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def score(batches):
         network, table = shared.value
         log_counts = np.log10(table.counts + 1.0)
-        for batch in slices(batches, rows=4_000, size=8 << 20):
+        for batch in slices(merged(batches), rows=SCORED_ROWS, size=SCORED_BYTES):
             texts = Texts(batch.column(1))
             tokens, bounds, found = sequences(texts, table)
             owner, keys = texts.owners, texts.hashes(lower=True)
