@@ -45,7 +45,7 @@ STRETCH = 1024
 #: Positions whose output is computed at once in scoring.
 SCORED_AT_ONCE = 1 << 14
 #: Texts scored together.
-SCORED_ROWS, SCORED_BYTES = 8_000, 16 << 20
+SCORED_ROWS, SCORED_BYTES = 4_000, 8 << 20
 #: Documents of the first model's sample, on average; shards added up in one task; weights in one row.
 SAMPLE, ADDED, PIECE = 2_000, 32, 1 << 16
 RATE = 0.05
