@@ -52,6 +52,30 @@ RULES = (
     Rule("chat", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web", r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("login", r"[a-z][a-z0-9+.-]{0,20}://[^\s:/@]+:[^\s:/@]+@[^\s/]+"),
+    # cloud
+    Rule("session", r"\bASIA[A-Z0-9]{16}\b"),
+    Rule("maps", r"\bAIza[0-9A-Za-z_-]{35}"),
+    Rule("storage", r"\bAccountKey=[A-Za-z0-9+/]{40,}={0,2}"),
+    Rule("droplet", r"\bdo[opr]_v1_[0-9a-f]{64}"),
+    # code forges, package registries and model hubs
+    Rule("forge_fine", r"\bgithub_pat_[0-9A-Za-z_]{22,}"),
+    Rule("forge_own", r"\bglpat-[0-9A-Za-z_-]{20,}"),
+    Rule("registry", r"\bnpm_[A-Za-z0-9]{36}"),
+    Rule("index", r"\bpypi-[A-Za-z0-9_-]{50,}"),
+    Rule("hub", r"\bhf_[A-Za-z0-9]{34}"),
+    # payment and shops
+    Rule("payment", r"\b(?:sk|rk)_(?:live|test)_[0-9A-Za-z]{16,}"),
+    Rule("till", r"\bsq0(?:atp|csp)-[0-9A-Za-z_-]{22,}"),
+    Rule("shop", r"\bshp(?:at|ca|pa|ss)_[0-9a-fA-F]{32}"),
+    # mail and messages
+    Rule("mail", r"\bSG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}"),
+    Rule("mail_list", r"\b[0-9a-f]{32}-us[0-9]{1,2}\b"),
+    Rule("mail_key", r"\bkey-[0-9a-f]{32}\b"),
+    Rule("hook", r"https://hooks\.slack\.com/services/[A-Za-z0-9/]{20,}"),
+    Rule("bot", r"\b[0-9]{8,10}:AA[A-Za-z0-9_-]{33}"),
+    # headers and connection strings of web services and databases
+    Rule("header", r"""(?i:authorization)["']?\x20*[:=]\x20*["']?(?i:bearer|basic)\x20+[A-Za-z0-9+/_.=~-]{16,}"""),
+    Rule("connection", r"(?i:(?:password|pwd))\x20*=\x20*[^;\s\"']{4,};"),
 )
 
 #: A query is True (every text), or a frozenset of alternatives; an alternative is a frozenset of trigrams.
