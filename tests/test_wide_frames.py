@@ -33,3 +33,62 @@ def test_rounding_is_that_of_round(spark):
 def test_queries_round_without_decimals(spark, sf_dir):
     plan = contract.queries()["lag_grid_ts9"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "rint(" in plan.lower()
+
+
+#: site: readings of x in order
+READINGS = {
+    "A": [None] * 5,
+    "B": [None, None, 3.0, None, 5.0, *[float(i) for i in range(40)], None, None],
+    "C": [7.5],
+    "D": [*[None] * 30, math.nan, 1.0, None],
+    "E": [None, 2.0, None, None],
+}
+
+
+@pytest.fixture(scope="module")
+def panel(spark):
+    rows = [
+        (s, START + timedelta(hours=i), x, i, i) for s, xs in READINGS.items() for i, x in enumerate(xs)
+    ]
+    return LANE.row_index(spark.createDataFrame(rows, "branch_id string, tm timestamp, x double, k int, i int"))
+
+
+def padded_lag(xs, n, longest, padded):
+    p = min(longest, len(xs)) if padded else 0
+    ahead = [xs[p - n + i] if 0 <= p - n + i < p else None for i in range(n)]
+    return (ahead + xs)[:len(xs)]
+
+
+def same(a, b):
+    return a == b or (a is not None and b is not None and math.isnan(a) and math.isnan(b))
+
+
+@pytest.mark.parametrize("padded", [True, False])
+def test_lags_filled_over_a_group(spark, panel, padded):
+    wanted, longest = {"x": [1, 3, 9], "k": [2]}, 9
+    df, listed = lags.group_filled(panel, ["x"], wanted, padded, LANE)
+    laid = LANE.blocks(df, before=longest).select("*", *[c.alias(name) for name, c in listed.items()])
+    names = ["x", *listed]
+    got = LANE.own_rows(laid).orderBy("branch_id", "tm").select(*names).collect()
+    for name in names:
+        c, n = ("x", 0) if name == "x" else (name[0], int(name[6:]))
+        flat = []
+        for s in sorted(READINGS):
+            xs = READINGS[s] if c == "x" else list(range(len(READINGS[s])))
+            flat += padded_lag(xs, n, longest, padded)
+        for way in (range(len(flat)), reversed(range(len(flat)))):
+            last = None
+            for i in way:
+                last = flat[i] = last if flat[i] is None else flat[i]
+        assert all(same(row[name], v) for row, v in zip(got, flat, strict=True)), name
+
+
+def test_group_fill_sorts_no_row_per_lag(panel):
+    df, listed = lags.group_filled(panel, ["x"], {"x": range(1, 10)}, True, LANE)
+    laid = LANE.own_rows(LANE.blocks(df, before=9).select("*", *[c.alias(name) for name, c in listed.items()]))
+    assert plan_of(laid).count("\n") < 40 and "Join" not in plan_of(laid)
+
+
+def test_fill_adds_up_chunks_without_sorting_them(panel):
+    plan = plan_of(LANE.fill(panel, ["x"], True, True))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

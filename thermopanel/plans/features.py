@@ -116,11 +116,9 @@ def frame_of(
         days = cleaning.fill_residual(days, ["ta"], across_groups=fill == "group", source=days)
     flags = joins.daily_temperature_flags(days)
 
+    listed: dict[str, Column] = {}
     if fill == "group":
-        base = df.columns
-        df = GROUP_SITES.own_rows(with_listed(GROUP_SITES.blocks(df, before=longest)), indexed=True)
-        new = [c for c in df.columns if c not in base]
-        df = cleaning.fill_residual(df, readings + new, across_groups=True)
+        df, listed = lags.group_filled(df, readings, wanted, padded, GROUP_SITES)
     elif fill == "site":
         df = GROUP_SITES.fill(df, readings, True, True, source=rows)
     if decompose and not through_seasons:
@@ -140,7 +138,11 @@ def frame_of(
     # lags and scalar features in one projection, after the shuffle
     laid = lags.with_frame_means(GROUP_SITES.blocks(df, before=max(longest, widest)), w, means)
     added = [*general, *[c.alias(name) for name, c in scalars.items()]]
-    wide = laid.select("*", *added) if fill == "group" else with_listed(laid, added)
+    if fill == "group":
+        wide = laid.select("*", *[c.alias(name) for name, c in listed.items()], *added)
+        wide = wide.drop("__site", *[lags.KNOWN.format(c=c) for c in wanted])
+    else:
+        wide = with_listed(laid, added)
     return cleaning.drop_service_columns(GROUP_SITES.own_rows(wide))
 
 
