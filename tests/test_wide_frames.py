@@ -92,3 +92,12 @@ def test_group_fill_sorts_no_row_per_lag(panel):
 def test_fill_adds_up_chunks_without_sorting_them(panel):
     plan = plan_of(LANE.fill(panel, ["x"], True, True))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_padded_lags_compute_no_lead(panel):
+    out = lags.padded_lags(panel, {"x": [1, 3, 9]}, LANE)
+    assert "lead(" not in plan_of(out)
+    for n in (1, 3, 9):
+        for s, xs in READINGS.items():
+            got = [r[0] for r in out.filter(F.col("branch_id") == s).orderBy("tm").select(f"x_plag{n}").collect()]
+            assert all(map(same, got, padded_lag(xs, n, 9, True)))
