@@ -101,3 +101,18 @@ def test_padded_lags_compute_no_lead(panel):
         for s, xs in READINGS.items():
             got = [r[0] for r in out.filter(F.col("branch_id") == s).orderBy("tm").select(f"x_plag{n}").collect()]
             assert all(map(same, got, padded_lag(xs, n, 9, True)))
+
+
+def test_models_of_a_group_share_its_rows_and_features(spark, tmp_path):
+    rows = spark.range(200).select(
+        "id", F.lit(START).alias("tm"), F.lit("B").alias("branch_id"), (F.col("id") % 7).cast("double").alias("x"),
+        F.log1p(F.col("id") % 7).alias("heat_demand_log"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    frames = {"g": spark.read.parquet(f"{tmp_path}/rows")}
+    small, deep = {"maxIter": 2, "maxDepth": 2}, {"maxIter": 2, "maxDepth": 3}
+    both = train.fit_models(frames, {"small": (small, {}), "deep": (small, {"g": deep})})
+    assert both["small"]["g"].features is both["deep"]["g"].features
+    got = train.predict_models(both, frames)
+    assert plan_of(got).count("FileScan parquet") == 1
+    apart = [train.predict_groups(both[m], frames, name=m) for m in ("small", "deep")]
+    assert sorted(got.collect()) == sorted(apart[0].unionByName(apart[1]).collect()) and got.count() == 400
