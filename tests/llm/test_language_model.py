@@ -117,3 +117,62 @@ def test_windows_hold_every_token_once_in_order():
 def test_sizes_grow_with_the_corpus():
     assert lm.vocabulary_size(4_000_000) < lm.vocabulary_size(88_000_000) < lm.vocabulary_size(5_000_000_000)
     assert lm.shard_count(0) == 1 and lm.shard_count(4_000_000) < lm.shard_count(88_000_000)
+
+
+def sets_of_sequences(rng, sizes):
+    tokens = [rng.integers(1, 8, sum(some)) for some in sizes]
+    bounds = [np.append(0, np.cumsum(some)) for some in sizes]
+    for t, b in zip(tokens, bounds):
+        t[b[1:] - 1] = lm.END
+    return tokens, bounds
+
+
+def test_lanes_go_on_with_the_next_set_and_lose_no_token():
+    rng = np.random.default_rng(2)
+    tokens, bounds = sets_of_sequences(rng, [rng.integers(1, 90, 25) for _ in range(40)] + [[1500, 3], [2]])
+    lanes, seen, windows, alone, places = lm.Lanes(8, 1), [], [], 0, 0
+    for k, (t, b) in enumerate(zip(tokens, bounds)):
+        lanes.add(t, b, np.arange(len(t)) + places)
+        for inputs, targets, begins, marks, there in lanes.windows(last=k == len(tokens) - 1):
+            if k < 40:
+                assert there.all() and there.shape == (lm.WINDOW, 8)
+            windows.append(there.size)
+            for lane in range(there.shape[1]):
+                # the state of a lane is the last mark it has seen
+                before = lanes.h[lane, 0]
+                for step in np.flatnonzero(there[:, lane]):
+                    mark, whole = marks[step, lane], np.concatenate(tokens)
+                    assert targets[step, lane] == whole[mark]
+                    assert begins[step, lane] or (before == mark and inputs[step, lane] == whole[mark - 1])
+                    before = mark + 1
+                    seen.append(mark)
+                lanes.h[lane, 0] = before
+        places += len(t)
+        alone += sum(there.size for *_, there in lm.windows(t, b, 8))
+    assert sorted(seen) == list(range(places))
+    # far fewer steps are run in vain than if each set were run to its end
+    assert sum(windows) - places < 0.5 * (alone - places)
+
+
+def test_scores_over_several_sets_equal_those_of_each_text_alone():
+    rng = np.random.default_rng(3)
+    net = lm.Network(np.array([5, 3, 9, 1, 1, 4, 7, 2]), classes=3, hidden=4)
+    tokens, bounds = sets_of_sequences(rng, [[400, 3, 1], [20, 70, 5, 9], [1], [33] * 12])
+    found, lanes = np.zeros(0), lm.Lanes(3, 4, 40)
+    for t, b in zip(tokens, bounds):
+        marks = len(found) + np.repeat(np.arange(len(b) - 1), np.diff(b))
+        lanes.add(t, b, marks)
+        found = np.append(found, np.zeros(len(b) - 1))
+        done = lm.score_texts(net, lanes, found, False)
+        assert done <= len(found)
+    assert done < lm.score_texts(net, lanes, found, True) == len(found)
+    plain = [sum(plain_steps(net, [lm.END, *t[i:j - 1]], t[i:j])) for t, b in zip(tokens, bounds) for i, j in zip(b[:-1], b[1:])]
+    assert np.allclose(found, plain, rtol=1e-5)
+
+
+def test_sums_of_stretches():
+    rng = np.random.default_rng(4)
+    values = rng.standard_normal((400, 6))
+    first = np.array([0, 1, 2, 9, 10, 18, 27, 200, 399])
+    assert np.allclose(lm.added_up(values, first), np.add.reduceat(values, first))
+    assert np.allclose(lm.added_up(values[:1], first[:1]), values[:1])

@@ -29,7 +29,9 @@ training; no rows give no rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,12 +42,14 @@ from thermopanel.llm.common import Texts, arrow_schema, ragged, released, remain
 
 HIDDEN = 16
 HEAD = 1 << 16
-WINDOW, LANES, SCORED_LANES = 32, 256, 256
+WINDOW, LANES, SCORED_LANES = 32, 256, 512
 STRETCH = 1024
 #: Positions whose output is computed at once in scoring.
-SCORED_AT_ONCE = 1 << 14
-#: Texts scored together.
-SCORED_ROWS, SCORED_BYTES = 4_000, 8 << 20
+SCORED_AT_ONCE = 1 << 15
+#: Entries of a softmax made at once: they fit into a core's cache.
+SOFTMAX_AT_ONCE = 1 << 16
+#: Bytes of texts begun or not yet scored, and of their rows, that a task of scoring keeps.
+WAITING_BYTES = 48 << 20
 #: Documents of the first model's sample, on average; shards added up in one task; weights in one row.
 SAMPLE, ADDED, PIECE = 2_000, 32, 1 << 16
 RATE = 0.05
@@ -127,26 +131,78 @@ def gather(counts: DataFrame, n_documents: int) -> Words:
                  outside, int(distinct) - len(inside), np.concatenate([[n_documents, outside], inside]).astype(np.int64))
 
 
-def laid_out(bounds: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sequences laid end to end in lanes, the longest first: positions lane by lane, where each lane starts in them, and
-    its length. Lanes come longest first, so the lanes still running are the first ones."""
-    sizes = np.diff(bounds)
-    order = np.argsort(-sizes, kind="stable")
-    lanes = max(1, min(lanes, len(order)))
-    ends, lane_of = [(0, lane) for lane in range(lanes)], np.empty(len(order), np.int64)
-    for k, size in enumerate(sizes[order].tolist()):
-        filled, lane = ends[0]
-        lane_of[k] = lane
-        heapq.heapreplace(ends, (filled + size, lane))
-    filled = np.zeros(lanes, np.int64)
-    for size, lane in ends:
-        filled[lane] = size
-    by_length = np.argsort(-filled, kind="stable")
-    rank = np.empty(lanes, np.int64)
-    rank[by_length] = np.arange(lanes)
-    order = order[np.argsort(rank[lane_of], kind="stable")]
-    filled = filled[by_length]
-    return ragged(np.arange(bounds[-1]), bounds[order], sizes[order]), np.cumsum(filled) - filled, filled
+def added_up(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of rows that begin at ``first``: short ones together, row by row, long ones each by itself."""
+    sizes, out = np.diff(first, append=len(values)), values[first]
+    more = np.flatnonzero(sizes > 1)
+    for k in range(1, 8):
+        out[more] += values[first[more] + k]
+        more = more[sizes[more] > k + 1]
+    for i in more.tolist():
+        out[i] += values[first[i] + 8:first[i] + sizes[i]].sum(axis=0)
+    return out
+
+
+class Lanes:
+    """Sequences laid end to end in lanes, the longest of a set first. A lane goes on with the next set, so that all lanes
+    run until nothing follows; ``h`` holds their states."""
+
+    def __init__(self, lanes: int, hidden: int = HIDDEN, at_once: int | None = None):
+        self.lanes, self.hidden, self.at_once = lanes, hidden, at_once
+        self.empty()
+
+    def empty(self) -> None:
+        # per position: input, target, the caller's mark, whether a sequence begins; lane by lane, the longest lane first
+        self.left = [np.zeros(0, kind) for kind in (np.int32, np.int32, np.int32, bool)]
+        self.sizes, self.h = np.zeros(self.lanes, np.int64), np.zeros((self.lanes, self.hidden), np.float32)
+
+    def add(self, tokens: np.ndarray, bounds: np.ndarray, marks: np.ndarray) -> None:
+        """Lay out further sequences, ``tokens`` cut at ``bounds``, behind those that are left."""
+        begins = np.zeros(len(tokens), bool)
+        begins[bounds[:-1]] = True
+        before = np.concatenate([[END], tokens[:-1]])       # a text follows the end of another
+        sizes = np.diff(bounds)
+        order = np.argsort(-sizes, kind="stable")
+        ends, lane_of = [(size, lane) for lane, size in enumerate(self.sizes.tolist())], np.empty(len(order), np.int64)
+        heapq.heapify(ends)
+        for k, size in enumerate(sizes[order].tolist()):
+            filled, lane_of[k] = ends[0]
+            heapq.heapreplace(ends, (filled + size, int(lane_of[k])))
+        lane_of = np.concatenate([np.arange(self.lanes), lane_of])
+        starts = np.concatenate([np.cumsum(self.sizes) - self.sizes, len(self.left[0]) + bounds[:-1][order]])
+        sizes = np.concatenate([self.sizes, sizes[order]])
+        filled = np.bincount(lane_of, sizes, self.lanes).astype(np.int64)
+        by_length, rank = np.argsort(-filled, kind="stable"), np.empty(self.lanes, np.int64)
+        rank[by_length] = np.arange(self.lanes)
+        order = np.argsort(rank[lane_of], kind="stable")
+        at = ragged(np.arange(len(self.left[0]) + len(tokens)), starts[order], sizes[order])
+        self.left = [np.concatenate([old, new.astype(old.dtype)])[at] for old, new in zip(self.left, (before, tokens, marks, begins))]
+        self.sizes, self.h = filled[by_length], self.h[by_length]
+
+    def windows(self, last: bool):
+        """(inputs, targets, begins, marks, whether there is a token) of each window, in order: (steps, lanes still running).
+        ``WINDOW`` steps each, or as many as ``at_once`` positions allow. Windows that some lane does not fill wait for what
+        follows, unless this is the ``last`` set."""
+        inputs, targets, marks, first = self.left
+        starts, t = np.cumsum(self.sizes) - self.sizes, 0
+        until = int(self.sizes[0 if last else -1])
+        while t < until:
+            running = int(np.searchsorted(-self.sizes, -t))
+            steps = WINDOW if self.at_once is None else max(WINDOW, self.at_once // running)
+            if not last and t + steps > until:
+                break
+            steps = min(steps, until - t)
+            time = np.arange(t, t + steps)[:, None]
+            there = time < self.sizes[:running]
+            part = np.minimum(starts[:running] + time, len(targets) - 1)
+            self.h = self.h[:running]
+            yield inputs[part], targets[part], first[part] & there, marks[part], there
+            t += steps
+        if last:
+            self.empty()
+        elif t:
+            at = ragged(np.arange(len(targets)), starts + t, self.sizes - t)
+            self.left, self.sizes = [x[at] for x in self.left], self.sizes - t
 
 
 class Network:
@@ -184,88 +240,111 @@ class Network:
         of shares to begin with. Weights move by less than the room left while a slice is learnt."""
         self.wide = any(float(np.abs(self.w[name][:, :-1]).sum(axis=1).max()) > 40 for name in ("class", "word"))
 
-    def softmax(self, name: str, part: slice, states: np.ndarray, place: np.ndarray, back: np.ndarray | None) -> np.ndarray:
-        """log p of each row's place among the rows ``part`` of a table; ``states`` are between a one and a zero. With
-        ``back`` the gradient at the states is added to it and the table takes a step."""
-        table, each = self.w[name][part], np.arange(len(place))
-        p = states @ table.T
-        if self.wide:
-            p -= p.max(axis=1, keepdims=True)
-        chosen = p[each, place]
-        np.exp(p, out=p)
-        if back is None:
-            return chosen - np.log(p @ table[:, -1])
-        # the last column is the sum of p; dividing by it is left to the narrow arrays
-        sums = p @ table
-        total = sums[:, -1:].copy()
-        sums /= total
-        sums -= table[place]
-        back += sums[:, 1:-1]
-        p[each, place] -= total[:, 0]
-        self.step(name, p.T @ (states / total), part)
-        return chosen - np.log(total[:, 0])
+    def softmax(self, name: str, part: slice, states: np.ndarray, place: np.ndarray, total: np.ndarray,
+                back: np.ndarray | None = None, grad: np.ndarray | None = None) -> np.ndarray:
+        """Exponent of each column's place among the rows ``part`` of a table, ``total`` gets the sum of the powers; ``states``
+        are columns between a one and a zero. ``grad`` gets the gradient of the table, and ``back`` that
+        at the states, times ``total``."""
+        table, out = self.w[name][part], np.empty(len(place), np.float32)
+        at_once = max(1, SOFTMAX_AT_ONCE // len(table))
+        for start in range(0, len(place), at_once):
+            block = slice(start, min(start + at_once, len(place)))
+            ready, each = states[:, block], np.arange(block.stop - start)
+            p = table @ ready
+            if self.wide:
+                p -= p.max(axis=0)
+            flat, chosen = p.reshape(-1), place[block] * len(each) + each
+            out[block] = flat.take(chosen)
+            np.exp(p, out=p)
+            sums = np.matmul(np.ones(len(table), np.float32), p, out=total[block])
+            if grad is None:
+                continue
+            flat[chosen] -= sums
+            np.matmul(table[:, 1:-1].T, p, out=back[:, block])
+            weighted = ready * (1 / sums)
+            if start:
+                grad += p @ weighted.T
+            else:
+                np.matmul(p, weighted.T, out=grad)
+        return out
 
     def forward(self, inputs: np.ndarray, begins: np.ndarray, h: np.ndarray, keep: bool = False):
-        """States of a window: inputs and begins are (steps, lanes). With ``keep`` also what the way back needs."""
+        """States of a window: inputs and begins are (steps, lanes). With ``keep`` also what the way back needs: update and
+        reset gates (2, steps, lanes, hidden), candidates, and the states that steps begin with."""
         w, n = self.w, self.hidden
-        given = w["input"].take(inputs, axis=0)
-        given += w["bias"]
-        starting, kept = begins.any(axis=1).tolist(), []
+        # the three parts of the input apart, each a whole array; halves, as the gates are tanh(x / 2) / 2 + 1 / 2
+        given = w["input"].reshape(-1, n).take(3 * inputs + np.arange(3)[:, None, None], axis=0)
+        given += w["bias"].reshape(3, 1, 1, n)
+        given[:2] *= 0.5
+        gates = w["gates"].reshape(n, 2, n).transpose(1, 0, 2) * np.float32(0.5)
+        starting, first = begins.any(axis=1).tolist(), h
         states = np.empty((*inputs.shape, n), np.float32)
+        zr, rh = np.empty((2, *h.shape), np.float32), np.empty_like(h)
         for t, some in enumerate(starting):
             if some:
                 h = np.where(begins[t][:, None], np.float32(0), h)
-            zr = h @ w["gates"]
-            zr += given[t, :, :2 * n]
-            zr *= 0.5
+            np.matmul(h, gates, out=zr)
+            zr += given[:2, t]
             np.tanh(zr, out=zr)
             zr *= 0.5
             zr += 0.5
-            z, r = zr[:, :n].copy(), zr[:, n:].copy()
-            candidate = (r * h) @ w["state"]
-            candidate += given[t, :, 2 * n:]
+            candidate = np.matmul(np.multiply(zr[1], h, out=rh), w["state"])
+            candidate += given[2, t]
             np.tanh(candidate, out=candidate)
             new = states[t]
             np.subtract(candidate, h, out=new)
-            new *= z
+            new *= zr[0]
             new += h
-            if keep:
-                kept.append((h, z, r, candidate))
             h = new
-        return states, kept, h
+            if keep:           # what was given is not needed again
+                given[:2, t], given[2, t] = zr, candidate
+        if not keep:
+            return states, None, h
+        before = np.concatenate([first[None], states[:-1]])
+        before[begins] = 0
+        return states, (given[:2], given[2], before), h
 
     def output(self, states: np.ndarray, targets: np.ndarray, learn: bool):
         """log p of each target; with ``learn`` also the gradient at the states, having added those of the output."""
-        w = self.w
         # rows in order of class, so that a class is a stretch of them
-        klass = self.klass[targets]
+        klass, places = self.klass[targets], self.within[targets]
         order = np.argsort(klass.astype(np.uint16) if len(self.first) < 1 << 16 else klass, kind="stable")
-        klass, places = klass[order], self.within[targets[order]]
-        ready = np.zeros((len(order), self.hidden + 2), np.float32)
-        ready[:, 0] = 1
-        ready[:, 1:-1] = states[order]
-        back = np.zeros((len(order), self.hidden), np.float32) if learn else None
-        present, starts = np.unique(klass, return_index=True)
-        ends = [*starts[1:].tolist(), len(klass)]
+        klass, places = klass[order], places[order]
+        ready = np.zeros((self.hidden + 2, len(order)), np.float32)
+        ready[0] = 1
+        ready[1:-1] = states[order].T
+        total = np.ones((2, len(order)), np.float32)
+        grads, back = {"word": None, "class": None}, [None, None]
+        if learn:
+            grads, back = {name: np.zeros_like(self.w[name]) for name in grads}, np.zeros((2, self.hidden, len(order)), np.float32)
+        starts = np.flatnonzero(np.diff(klass, prepend=-1))
         out = np.zeros(len(order), np.float32)
-        for k, start, end in zip(present.tolist(), starts.tolist(), ends):
-            part = slice(self.first[k], self.first[k + 1])
-            if part.stop - part.start > 1:             # else a class of one token
-                out[start:end] = self.softmax("word", part, ready[start:end], places[start:end], back[start:end] if learn else None)
-        out += self.softmax("class", slice(None), ready, klass, back)
+        for k, start, end in zip(klass[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(klass)]):
+            part, these = slice(self.first[k], self.first[k + 1]), slice(start, end)
+            if part.stop - part.start > 1:             # else a class of one token, which is certain
+                out[these] = self.softmax("word", part, ready[:, these], places[these], total[0, these],
+                                          back[0][:, these] if learn else None, grads["word"][part] if learn else None)
+        out += self.softmax("class", slice(None), ready, klass, total[1], back[1], grads["class"])
+        logs = np.log(total)
+        out -= logs[0]
+        out -= logs[1]
         found = np.empty_like(out)
         found[order] = out
         if not learn:
             return found, None
-        given = np.empty_like(back)
-        given[order] = back
+        back /= total[:, None]
+        back[0] += back[1]
+        given = np.empty((len(order), self.hidden), np.float32)
+        given[order] = back[0].T
+        for name, grad in grads.items():
+            self.step(name, grad, slice(None))
         return found, given
 
     def step(self, name: str, grad: np.ndarray, part) -> None:
         """A step of the method that divides by the root of the squares so far. The gradient is per full window, so
         the few lanes that run on with long documents take small steps."""
         grad *= np.float32(4 / (LANES * WINDOW))
-        np.minimum(np.maximum(grad, np.float32(-1), out=grad), np.float32(1), out=grad)
+        np.clip(grad, np.float32(-1), np.float32(1), out=grad)
         squares = self.squares[name][part]
         squares += grad * grad
         if isinstance(part, np.ndarray):           # chosen rows are a copy, a stretch of them is not
@@ -278,104 +357,97 @@ class Network:
         """One window: forward, back through its steps, and a step of all weights. Steps that are not ``there`` count for
         nothing; they follow all others of their lane."""
         w, n = self.w, self.hidden
-        states, kept, last = self.forward(inputs, begins, h, True)
+        states, ((z, r), candidate, before), last = self.forward(inputs, begins, h, True)
         if there.all():
             score, back = self.output(states.reshape(-1, n), targets.reshape(-1), True)
             back = back.reshape(states.shape)
         else:
             back = np.zeros_like(states)
             score, back[there] = self.output(states[there], targets[there], True)
-        given = np.empty((*inputs.shape, 3 * n), np.float32)
-        gates, state = np.zeros_like(w["gates"]), np.zeros_like(w["state"])
-        dh = np.zeros_like(h)
+        # what the gradient at a state is multiplied by on its way, for all steps at once
+        stays = 1 - z
+        to_candidate = candidate * candidate
+        np.subtract(1, to_candidate, out=to_candidate)
+        to_candidate *= z
+        to_update = candidate - before
+        to_update *= z
+        to_update *= stays
+        reset = r * before
+        to_reset = 1 - r
+        to_reset *= reset
+        turned, state = w["gates"].reshape(n, 2, n).transpose(1, 2, 0).copy(), w["state"].T.copy()
+        given = np.empty((3, *inputs.shape, n), np.float32)
+        dh, more, ending = np.zeros_like(back[0]), np.empty((2, *back[0].shape), np.float32), begins.any(axis=1).tolist()
         for t in range(len(inputs) - 1, -1, -1):
-            dh = dh + back[t]
-            h, z, r, candidate = kept[t]
-            through = dh * z
-            d_candidate = through * (1 - candidate * candidate)
-            rh = r * h
-            d_rh = d_candidate @ w["state"].T
-            given[t, :, :n] = through * (candidate - h) * (1 - z)
-            given[t, :, n:2 * n] = d_rh * rh * (1 - r)
-            given[t, :, 2 * n:] = d_candidate
-            state += rh.T @ d_candidate
-            gates += h.T @ given[t, :, :2 * n]
-            dh -= through
-            dh += d_rh * r
-            dh += given[t, :, :2 * n] @ w["gates"].T
-            if begins[t].any():
-                dh = np.where(begins[t][:, None], np.float32(0), dh)
-        flat, ids = given.reshape(-1, 3 * n), inputs.reshape(-1)
-        order = np.argsort(ids, kind="stable")
-        used, first = np.unique(ids[order], return_index=True)
-        for name, grad, part in (("gates", gates, ...), ("state", state, ...), ("bias", flat.sum(axis=0), ...),
-                                 ("input", np.add.reduceat(flat[order], first), used)):
+            dh += back[t]
+            d_candidate = np.multiply(dh, to_candidate[t], out=given[2, t])
+            d_rh = d_candidate @ state
+            np.multiply(dh, to_update[t], out=given[0, t])
+            np.multiply(d_rh, to_reset[t], out=given[1, t])
+            dh *= stays[t]
+            d_rh *= r[t]
+            dh += d_rh
+            np.matmul(given[:2, t], turned, out=more)
+            dh += more[0]
+            dh += more[1]
+            if ending[t]:
+                dh[begins[t]] = 0
+        flat, ids = given.reshape(3, -1, n), inputs.reshape(-1)
+        gates = before.reshape(-1, n).T @ flat[:2]
+        order = np.argsort(ids.astype(np.uint16) if len(w["input"]) < 1 << 16 else ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.diff(ids, prepend=-1))
+        in_order = given.reshape(-1, n).take(order[:, None] + len(order) * np.arange(3), axis=0).reshape(-1, 3 * n)
+        for name, grad, part in (("gates", gates.transpose(1, 0, 2).reshape(n, 2 * n), ...), ("state", reset.reshape(-1, n).T @ flat[2], ...),
+                                 ("bias", (np.ones(len(order), np.float32) @ flat).reshape(-1), ...), ("input", added_up(in_order, first), ids[first])):
             self.step(name, grad, part)
         return float(score.sum()), last
 
 
-def sequences(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of all texts, an end after each; bounds; row of each word in the table (-1: none, ends left out)."""
-    found = words.find(texts.hashes(lower=True))
+def sequences(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of all texts, an end after each; bounds; hash of each word and its row in the table (-1: none), ends left out."""
+    keys = texts.hashes(lower=True)
+    found = words.find(keys)
     tokens = np.where(found >= 0, words.tokens[np.maximum(found, 0)] if len(words.tokens) else OTHER, OTHER)
     tokens = np.insert(tokens, texts.bounds[1:], END)
-    return tokens, texts.bounds + np.arange(len(texts) + 1), found
+    return tokens, texts.bounds + np.arange(len(texts) + 1), keys, found
 
 
 def windows(tokens: np.ndarray, bounds: np.ndarray, lanes: int, at_once: int | None = None):
-    """(inputs, targets, begins, position, whether there is a token) of each window, in order: (steps, lanes still running).
-    ``WINDOW`` steps each, or as many as ``at_once`` positions allow."""
-    at, starts, filled = laid_out(bounds, lanes)
-    first = np.zeros(len(tokens), bool)
-    first[bounds[:-1]] = True
-    before = np.concatenate([[END], tokens[:-1]])       # a text follows the end of another
-    t = 0
-    while len(at) and t < filled[0]:
-        running = int(np.searchsorted(-filled, -t))
-        steps = WINDOW if at_once is None else max(WINDOW, at_once // running)
-        steps = min(steps, int(filled[0]) - t)
-        time = np.arange(t, t + steps)[:, None]
-        there = time < filled[:running]
-        part = at[np.minimum(starts[:running] + time, len(at) - 1)]
-        yield before[part], tokens[part], first[part] & there, part, there
-        t += steps
-
-
-def train(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> int:
+    """The windows of one set of sequences that nothing follows; marks are positions in ``tokens``."""
+    laid = Lanes(lanes, at_once=at_once)
+    laid.add(tokens, bounds, np.arange(len(tokens)))
+    yield from laid.windows(last=True)
+
+
+def train(network: Network, texts: Iterable[Texts], words: Words) -> int:
     """All windows of all texts; returns the tokens seen."""
-    sizes = np.diff(bounds)
-    pieces = -(-sizes // STRETCH)
-    number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    cuts = np.append(np.repeat(bounds[:-1], pieces) + number * STRETCH, bounds[-1])
-    network.check()
-    h = np.zeros((LANES, network.hidden), np.float32)
-    for inputs, targets, begins, _, there in windows(tokens, cuts, LANES):
-        _, h = network.learn(inputs, targets, begins, there, h[:there.shape[1]])
-    return len(tokens)
-
-
-def merged(batches):
-    """Batches of a few thousand texts each, or ``SCORED_BYTES``: the longest texts run on alone at the end of a batch."""
-    waiting, size = [], 0
-    for batch in batches:
-        waiting.append(batch)
-        size += batch.nbytes
-        if size >= SCORED_BYTES or sum(map(len, waiting)) >= SCORED_ROWS:
-            yield pa.concat_batches(waiting)
-            waiting, size = [], 0
-    if waiting:
-        yield pa.concat_batches(waiting)
-
-
-def score_texts(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Natural log-likelihood of each text's tokens, float64."""
-    each = np.zeros(len(tokens))
-    network.check()
-    h = np.zeros((SCORED_LANES, network.hidden), np.float32)
-    for inputs, targets, begins, part, there in windows(tokens, bounds, SCORED_LANES, SCORED_AT_ONCE):
-        states, _, h = network.forward(inputs, begins, h[:there.shape[1]], False)
-        each[part[there]], _ = network.output(states[there], targets[there], False)
-    return np.add.reduceat(each, bounds[:-1]) if len(bounds) > 1 else each
+    lanes, seen = Lanes(LANES, network.hidden), 0
+
+    def learn(last: bool) -> None:
+        network.check()
+        for inputs, targets, begins, _, there in lanes.windows(last):
+            _, lanes.h = network.learn(inputs, targets, begins, there, lanes.h)
+
+    for some in texts:
+        tokens, bounds, _, _ = sequences(some, words)
+        sizes = np.diff(bounds)
+        pieces = -(-sizes // STRETCH)
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        lanes.add(tokens, np.append(np.repeat(bounds[:-1], pieces) + number * STRETCH, bounds[-1]), np.zeros(len(tokens)))
+        learn(last=False)
+        seen += len(tokens)
+    learn(last=True)
+    return seen
+
+
+def score_texts(network: Network, lanes: Lanes, found: np.ndarray, last: bool) -> int:
+    """Add the log-likelihood of the tokens that can be run to ``found``, at their marks; how many of the first texts are done."""
+    for inputs, targets, begins, marks, there in lanes.windows(last):
+        states, _, lanes.h = network.forward(inputs, begins, lanes.h)
+        each, _ = network.output(states[there], targets[there], False)
+        found += np.bincount(marks[there], each, len(found))
+    return int(lanes.left[2].min(initial=len(found)))
 
 
 WEIGHTS = "shard long, name string, piece long, tokens long, weights binary"
@@ -390,9 +462,7 @@ def fit(training: DataFrame, words: Words) -> Network:
     share = min(1.0, SAMPLE / words.ends)
     dealt = training.select("text", F.xxhash64("doc_id", "text").alias("place"))
     some = dealt.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("place").limit(4 * SAMPLE).toArrow()
-    for batch in slices(some.to_batches()):
-        tokens, bounds, _ = sequences(Texts(batch.column(0)), words)
-        train(network, tokens, bounds)
+    train(network, (Texts(batch.column(0)) for batch in slices(some.to_batches())), words)
     shared, shards = spark.sparkContext.broadcast((network, words)), shard_count(words.n)
 
     def weights(shard, own, seen):
@@ -403,21 +473,19 @@ def fit(training: DataFrame, words: Words) -> Network:
 
     def shard(batches):
         start, table = shared.value
-        own, mine, seen = None, None, 0
-        for batch in slices(batches, rows=4_000, size=4 << 20):
-            numbers = batch.column(1).to_numpy()
-            for first in np.flatnonzero(np.diff(numbers, prepend=-1)).tolist():
-                if numbers[first] != mine:
-                    if seen:
-                        yield from weights(mine, own, seen)
-                    own, mine, seen = Network(table.token_counts), int(numbers[first]), 0
-                    own.w = {k: x.copy() for k, x in start.w.items()}
-                    own.squares = {k: x.copy() for k, x in start.squares.items()}
-                part = batch.slice(first, int(np.searchsorted(numbers, mine, side="right")) - first)
-                tokens, bounds, _ = sequences(Texts(part.column(0)), table)
-                seen += train(own, tokens, bounds)
-        if seen:
-            yield from weights(mine, own, seen)
+
+        def pieces():
+            for batch in slices(batches, rows=4_000, size=4 << 20):
+                numbers = batch.column(1).to_numpy()
+                for first in np.flatnonzero(np.diff(numbers, prepend=-1)).tolist():
+                    last = int(np.searchsorted(numbers, numbers[first], side="right"))
+                    yield int(numbers[first]), Texts(batch.column(0).slice(first, last - first))
+
+        for number, group in itertools.groupby(pieces(), key=lambda piece: piece[0]):
+            own = Network(table.token_counts)
+            own.w = {k: x.copy() for k, x in start.w.items()}
+            own.squares = {k: x.copy() for k, x in start.squares.items()}
+            yield from weights(number, own, train(own, (texts for _, texts in group), table))
 
     def added(key, group):
         group = group.sort_by("shard")
@@ -439,6 +507,7 @@ def fit(training: DataFrame, words: Words) -> Network:
 
 
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_sum double, net double, rare array<long>"
+NET = 6
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -453,25 +522,42 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def score(batches):
         network, table = shared.value
+        network.check()
         log_counts = np.log10(table.counts + 1.0)
-        for batch in slices(merged(batches), rows=SCORED_ROWS, size=SCORED_BYTES):
+        lanes, waiting, net = Lanes(SCORED_LANES, network.hidden, SCORED_AT_ONCE), [], np.zeros(0)
+
+        def scored(last):
+            """Rows of the first slices whose texts are all scored."""
+            nonlocal net
+            done, start = score_texts(network, lanes, net, last), 0
+            while waiting and start + len(waiting[0]) <= done:
+                batch = waiting.pop(0)
+                found = batch.column(NET).to_numpy() + net[start:start + len(batch)] / np.log(10)
+                yield batch.set_column(NET, "net", pa.array(found))
+                start += len(batch)
+            net = net[start:]
+            lanes.left[2] -= np.int32(start)
+
+        for batch in slices(batches):
             texts = Texts(batch.column(1))
-            tokens, bounds, found = sequences(texts, table)
-            owner, keys = texts.owners, texts.hashes(lower=True)
-            n, known = len(texts), found >= 0
+            tokens, bounds, keys, found = sequences(texts, table)
+            owner, n, known = texts.owners, len(texts), found >= 0
+            lanes.add(tokens, bounds, len(net) + np.repeat(np.arange(n), np.diff(bounds)))
+            net = np.append(net, np.zeros(n))
             base = np.bincount(owner[known], log_counts[found[known]], n) + np.log10(table.ends + 1.0)
             rare_owner, rare = owner[~known], keys[~known].view(np.int64)
             cuts = np.searchsorted(rare_owner, np.arange(n + 1)).astype(np.int32)
             # words of the table outside the vocabulary: their share among such words
             tail = known.copy()
             tail[known] = table.tokens[found[known]] == OTHER
-            net = score_texts(network, tokens, bounds) / np.log(10)
-            net += np.bincount(owner[tail], log_counts[found[tail]], n) - np.bincount(owner[tail], minlength=n) * share
+            outside = np.bincount(owner[tail], log_counts[found[tail]], n) - np.bincount(owner[tail], minlength=n) * share
             ids = batch.column(0).to_pylist()
-            yield rows(
+            waiting.append(rows(
                 SCORED, np.zeros(n, np.int64), batch.column(0), [remainder(i, FOLDS) == HELD_OUT for i in ids], texts.sizes + 1,
-                np.bincount(owner[known], minlength=n) + (table.ends > 0), base, net,
-                pa.ListArray.from_arrays(cuts, pa.array(rare)))
+                np.bincount(owner[known], minlength=n) + (table.ends > 0), base, outside,
+                pa.ListArray.from_arrays(cuts, pa.array(rare))))
+            yield from scored(sum(x.nbytes for x in [*waiting, *lanes.left]) > WAITING_BYTES)
+        yield from scored(True)
 
     share = float(np.log10(words.outside + words.outside_distinct + 1))
     scored = staged(docs.mapInArrow(released(score), SCORED).withColumn("row", F.monotonically_increasing_id()))
