@@ -15,8 +15,8 @@ shard and its place there come from a hash of its id and text, so the result doe
 files; the number of shards grows with the root of the counted tokens. The output biases start at the unigram
 distribution.
 
-Scoring reads whole documents, in lanes that are laid end to end, the state carried across windows and set to zero
-where a document begins; the result is the base-10 log-likelihood of the complete document.
+Scoring reads whole documents, in lanes that are laid end to end and go on from slice to slice, the state carried across
+windows and set to zero where a document begins; the result is the base-10 log-likelihood of the complete document.
 
 Counts go by 64-bit hashes of words (equal for two words with a chance of 2**-64). The counts of the most frequent words
 (``HEAD``, or eight times the vocabulary) travel with the tasks; the rest are joined by word, none of which is frequent.
@@ -31,7 +31,6 @@ from __future__ import annotations
 import heapq
 import itertools
 import math
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -420,25 +419,18 @@ def windows(tokens: np.ndarray, bounds: np.ndarray, lanes: int, at_once: int | N
     yield from laid.windows(last=True)
 
 
-def train(network: Network, texts: Iterable[Texts], words: Words) -> int:
+def train(network: Network, texts: Texts, words: Words) -> int:
     """All windows of all texts; returns the tokens seen."""
-    lanes, seen = Lanes(LANES, network.hidden), 0
-
-    def learn(last: bool) -> None:
-        network.check()
-        for inputs, targets, begins, _, there in lanes.windows(last):
-            _, lanes.h = network.learn(inputs, targets, begins, there, lanes.h)
-
-    for some in texts:
-        tokens, bounds, _, _ = sequences(some, words)
-        sizes = np.diff(bounds)
-        pieces = -(-sizes // STRETCH)
-        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        lanes.add(tokens, np.append(np.repeat(bounds[:-1], pieces) + number * STRETCH, bounds[-1]), np.zeros(len(tokens)))
-        learn(last=False)
-        seen += len(tokens)
-    learn(last=True)
-    return seen
+    tokens, bounds, _, _ = sequences(texts, words)
+    sizes = np.diff(bounds)
+    pieces = -(-sizes // STRETCH)
+    number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    cuts = np.append(np.repeat(bounds[:-1], pieces) + number * STRETCH, bounds[-1])
+    network.check()
+    h = np.zeros((LANES, network.hidden), np.float32)
+    for inputs, targets, begins, _, there in windows(tokens, cuts, LANES):
+        _, h = network.learn(inputs, targets, begins, there, h[:there.shape[1]])
+    return len(tokens)
 
 
 def score_texts(network: Network, lanes: Lanes, found: np.ndarray, last: bool) -> int:
@@ -462,7 +454,8 @@ def fit(training: DataFrame, words: Words) -> Network:
     share = min(1.0, SAMPLE / words.ends)
     dealt = training.select("text", F.xxhash64("doc_id", "text").alias("place"))
     some = dealt.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("place").limit(4 * SAMPLE).toArrow()
-    train(network, (Texts(batch.column(0)) for batch in slices(some.to_batches())), words)
+    for batch in slices(some.to_batches()):
+        train(network, Texts(batch.column(0)), words)
     shared, shards = spark.sparkContext.broadcast((network, words)), shard_count(words.n)
 
     def weights(shard, own, seen):
@@ -485,7 +478,7 @@ def fit(training: DataFrame, words: Words) -> Network:
             own = Network(table.token_counts)
             own.w = {k: x.copy() for k, x in start.w.items()}
             own.squares = {k: x.copy() for k, x in start.squares.items()}
-            yield from weights(number, own, train(own, (texts for _, texts in group), table))
+            yield from weights(number, own, sum(train(own, texts, table) for _, texts in group))
 
     def added(key, group):
         group = group.sort_by("shard")
