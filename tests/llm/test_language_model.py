@@ -163,9 +163,9 @@ def test_scores_over_several_sets_equal_those_of_each_text_alone():
         marks = len(found) + np.repeat(np.arange(len(b) - 1), np.diff(b))
         lanes.add(t, b, marks)
         found = np.append(found, np.zeros(len(b) - 1))
-        done = lm.score_texts(net, lanes, found, False)
+        done = lm.score_lanes(net, lanes, found, False)
         assert done <= len(found)
-    assert done < lm.score_texts(net, lanes, found, True) == len(found)
+    assert done < lm.score_lanes(net, lanes, found, True) == len(found)
     plain = [sum(plain_steps(net, [lm.END, *t[i:j - 1]], t[i:j])) for t, b in zip(tokens, bounds) for i, j in zip(b[:-1], b[1:])]
     assert np.allclose(found, plain, rtol=1e-5)
 

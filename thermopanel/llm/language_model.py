@@ -419,9 +419,8 @@ def windows(tokens: np.ndarray, bounds: np.ndarray, lanes: int, at_once: int | N
     yield from laid.windows(last=True)
 
 
-def train(network: Network, texts: Texts, words: Words) -> int:
+def train(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> int:
     """All windows of all texts; returns the tokens seen."""
-    tokens, bounds, _, _ = sequences(texts, words)
     sizes = np.diff(bounds)
     pieces = -(-sizes // STRETCH)
     number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -433,7 +432,7 @@ def train(network: Network, texts: Texts, words: Words) -> int:
     return len(tokens)
 
 
-def score_texts(network: Network, lanes: Lanes, found: np.ndarray, last: bool) -> int:
+def score_lanes(network: Network, lanes: Lanes, found: np.ndarray, last: bool) -> int:
     """Add the log-likelihood of the tokens that can be run to ``found``, at their marks; how many of the first texts are done."""
     for inputs, targets, begins, marks, there in lanes.windows(last):
         states, _, lanes.h = network.forward(inputs, begins, lanes.h)
@@ -442,6 +441,15 @@ def score_texts(network: Network, lanes: Lanes, found: np.ndarray, last: bool) -
     return int(lanes.left[2].min(initial=len(found)))
 
 
+def score_texts(network: Network, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Natural log-likelihood of each text of one set that nothing follows, float64."""
+    network.check()
+    lanes, found = Lanes(SCORED_LANES, network.hidden, SCORED_AT_ONCE), np.zeros(len(bounds) - 1)
+    lanes.add(tokens, bounds, np.repeat(np.arange(len(found)), np.diff(bounds)))
+    score_lanes(network, lanes, found, last=True)
+    return found
+
+
 WEIGHTS = "shard long, name string, piece long, tokens long, weights binary"
 
 
@@ -455,7 +463,7 @@ def fit(training: DataFrame, words: Words) -> Network:
     dealt = training.select("text", F.xxhash64("doc_id", "text").alias("place"))
     some = dealt.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("place").limit(4 * SAMPLE).toArrow()
     for batch in slices(some.to_batches()):
-        train(network, Texts(batch.column(0)), words)
+        train(network, *sequences(Texts(batch.column(0)), words)[:2])
     shared, shards = spark.sparkContext.broadcast((network, words)), shard_count(words.n)
 
     def weights(shard, own, seen):
@@ -478,7 +486,7 @@ def fit(training: DataFrame, words: Words) -> Network:
             own = Network(table.token_counts)
             own.w = {k: x.copy() for k, x in start.w.items()}
             own.squares = {k: x.copy() for k, x in start.squares.items()}
-            yield from weights(number, own, sum(train(own, texts, table) for _, texts in group))
+            yield from weights(number, own, sum(train(own, *sequences(texts, table)[:2]) for _, texts in group))
 
     def added(key, group):
         group = group.sort_by("shard")
@@ -522,7 +530,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         def scored(last):
             """Rows of the first slices whose texts are all scored."""
             nonlocal net
-            done, start = score_texts(network, lanes, net, last), 0
+            done, start = score_lanes(network, lanes, net, last), 0
             while waiting and start + len(waiting[0]) <= done:
                 batch = waiting.pop(0)
                 found = batch.column(NET).to_numpy() + net[start:start + len(batch)] / np.log(10)
